@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from scholaris import settings
 from scholaris.functions.numeric import ratio
 from scholaris.operators.quality import union
-from scholaris.operators.ranking import dense_key, positioned
+from scholaris.operators.ranking import POSITION, dense_key
 
 C = F.col
 
@@ -82,17 +82,17 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("dup_count")).filter(C("dup_count") > 1)
 
 
-def duplicate_rows(df: DataFrame, key: str, order: list[str], in_files: bool = False) -> DataFrame:
-    """All rows, flagged as duplicate unless first of their key in `order`.
+def duplicate_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """All rows of a `positioned` frame, flagged as duplicate unless first of their key in `order`.
 
     Rows are numbered once over the whole table; the lowest number of each key is its
     first row. Joining on the number keeps a heavily repeated key out of the join.
     """
-    numbered = dense_key(positioned(df, in_files), "position", [key, *order])
+    numbered = dense_key(df, "position", [key, *order])
     firsts = numbered.groupBy(key).agg(F.min("position").alias("position"))
     firsts = firsts.select("position", F.lit(True).alias("first"))
     flagged = numbered.join(firsts, "position", "left")
-    return flagged.select("position", *df.columns, C("first").isNull().alias("is_duplicate"))
+    return flagged.select("position", *[c for c in df.columns if c not in POSITION], C("first").isNull().alias("is_duplicate"))
 
 
 def null_counts(columns: list[tuple[DataFrame, str, str]]) -> DataFrame:

@@ -53,12 +53,13 @@ def retention_forecast(retention: DataFrame) -> DataFrame:
 
     The latest term has no outcome yet, so it is the term that is forecast.
     """
-    known = retention.filter(~C("final_term"))
+    rate = ratio("retained", "students")
+    known = retention.filter(~C("final_term")).withColumn("rate", rate)
     fit = known.groupBy("major").agg(
         F.count("*").alias("terms"),
         (F.max("term") + 1).alias("next_term"),
-        F.regr_slope("retention_rate", "term").alias("slope"),
-        F.regr_intercept("retention_rate", "term").alias("intercept"),
+        F.regr_slope("rate", "term").alias("slope"),
+        F.regr_intercept("rate", "term").alias("intercept"),
     )
     expected = C("slope") * C("next_term") + C("intercept")
     return fit.select(

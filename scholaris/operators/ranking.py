@@ -12,7 +12,7 @@ from scholaris.sources.workspace import stored
 
 # monotonically_increasing_id(): partition in the upper bits, row in the lower 33.
 _ROW_BITS = 33
-_POSITION = ["__file", "__row"]
+POSITION = ["__file", "__row"]
 
 
 def positioned(df: DataFrame, in_files: bool = False) -> DataFrame:
@@ -22,22 +22,26 @@ def positioned(df: DataFrame, in_files: bool = False) -> DataFrame:
     else, such as a join, has no files of its own and is stored first.
     """
     df = df if in_files else stored(df, "rows")
+    file, row = POSITION
     return df.select(
-        "*",
-        F.xxhash64("_metadata.file_path").alias(_POSITION[0]),
-        F.col("_metadata.row_index").alias(_POSITION[1]),
+        "*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)
     )
 
 
+def position_columns(df: DataFrame) -> list[str]:
+    return [c for c in POSITION if c in df.columns]
+
+
 def dense_key(df: DataFrame, name: str, order: list[str]) -> DataFrame:
-    """Number the rows of a `positioned` frame 1..n in `order`, nulls first.
+    """Number the rows 1..n in `order`, nulls first, as the first column.
 
-    Rows equal on all of `order` are ordered by file position, so even a large group of
-    identical rows spreads over many tasks. One range shuffle and one write; no task
-    sees more than its range. The key is the first column of the result.
+    Rows equal on all of `order` follow their position if the frame is `positioned`, so
+    even a large group of identical rows spreads over many tasks; leave that out only
+    where `order` is unique. One range shuffle and one write; no task sees more than
+    its range.
     """
-    columns = [c for c in df.columns if c not in _POSITION]
-    place = [F.col(c).asc_nulls_first() for c in order + _POSITION]
+    columns = [c for c in df.columns if c not in POSITION]
+    place = [F.col(c).asc_nulls_first() for c in order + position_columns(df)]
     ordered = (
         df.repartitionByRange(*place)
         .sortWithinPartitions(*place)

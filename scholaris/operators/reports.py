@@ -40,8 +40,8 @@ def avg_gpa_by_major(students: DataFrame) -> DataFrame:
     return by_major.unionByName(overall)
 
 
-def enrollment_by_year(fact_enrollment: DataFrame) -> DataFrame:
-    return fact_enrollment.groupBy("academic_year").agg(_count("enrollments"))
+def enrollment_by_year(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("academic_year").agg(_count("enrollments"))
 
 
 def students_by_major_share(students: DataFrame) -> DataFrame:

@@ -1,7 +1,6 @@
 """Staging to star schema: cleaned view, dimensions and facts.
 
-Tables whose rows are numbered take `in_files`: whether the staging frame is a plain
-scan of files, as it is after loading, or still has to be stored.
+Frames whose rows are numbered come from `ranking.positioned`.
 """
 
 from pyspark.sql import DataFrame
@@ -9,7 +8,7 @@ from pyspark.sql import functions as F
 
 from scholaris.functions import calendar, grades
 from scholaris.functions.numeric import ratio
-from scholaris.operators.ranking import dense_key, positioned
+from scholaris.operators.ranking import dense_key, position_columns
 
 
 def students_cleaned(students: DataFrame) -> DataFrame:
@@ -23,31 +22,31 @@ def students_cleaned(students: DataFrame) -> DataFrame:
     )
 
 
-def _dimension(df: DataFrame, key: str, columns: list[str], in_files: bool) -> DataFrame:
-    return dense_key(positioned(df.select(*columns), in_files), key, columns)
+def _dimension(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    return dense_key(df.select(*columns, *position_columns(df)), key, columns)
 
 
-def dim_student(students: DataFrame, in_files: bool = False) -> DataFrame:
-    keyed = _dimension(students, "student_key", ["student_id", "major", "gpa"], in_files)
+def dim_student(students: DataFrame) -> DataFrame:
+    keyed = _dimension(students, "student_key", ["student_id", "major", "gpa"])
     return keyed.withColumn("dw_is_current", F.lit(True))
 
 
-def dim_faculty(faculty: DataFrame, in_files: bool = False) -> DataFrame:
-    keyed = _dimension(faculty, "faculty_key", ["faculty_id", "rank", "department"], in_files)
+def dim_faculty(faculty: DataFrame) -> DataFrame:
+    keyed = _dimension(faculty, "faculty_key", ["faculty_id", "rank", "department"])
     return keyed.withColumn("dw_is_current", F.lit(True))
 
 
-def dim_course(courses: DataFrame, in_files: bool = False) -> DataFrame:
+def dim_course(courses: DataFrame) -> DataFrame:
     columns = ["course_id", "course_code", "course_title", "credits", "instructor_id"]
-    return _dimension(courses, "course_key", columns, in_files)
+    return _dimension(courses, "course_key", columns)
 
 
 def dim_department(faculty: DataFrame) -> DataFrame:
-    return _dimension(faculty.select("department").distinct(), "department_key", ["department"], in_files=False)
+    return _dimension(faculty.select("department").distinct(), "department_key", ["department"])
 
 
 def dim_funding_agency(grants: DataFrame) -> DataFrame:
-    return _dimension(grants.select("funding_agency").distinct(), "agency_key", ["funding_agency"], in_files=False)
+    return _dimension(grants.select("funding_agency").distinct(), "agency_key", ["funding_agency"])
 
 
 def dim_date(students: DataFrame, august_rule: bool = False) -> DataFrame:
@@ -64,11 +63,11 @@ def dim_date(students: DataFrame, august_rule: bool = False) -> DataFrame:
     ).distinct()
 
 
-def fact_enrollment(enrollments: DataFrame, dim_student: DataFrame, in_files: bool = False) -> DataFrame:
+def fact_enrollment(enrollments: DataFrame, dim_student: DataFrame) -> DataFrame:
     """Enrollments of known students. Rows whose student is unknown or null drop out."""
     used = ["enrollment_id", "student_id", "course_id", "grade", "grade_point", "year"]
     students = dim_student.select("student_id", "student_key")
-    rows = positioned(enrollments.select(*used), in_files).join(students, "student_id")
+    rows = enrollments.select(*used, *position_columns(enrollments)).join(students, "student_id")
     rows = rows.drop("student_id").withColumnRenamed("year", "academic_year")
     order = ["enrollment_id", "student_key", "course_id", "grade", "grade_point", "academic_year"]
     return dense_key(rows, "enrollment_key", order).select(
@@ -76,11 +75,11 @@ def fact_enrollment(enrollments: DataFrame, dim_student: DataFrame, in_files: bo
     )
 
 
-def fact_research_grant(grants: DataFrame, dim_faculty: DataFrame, in_files: bool = False) -> DataFrame:
+def fact_research_grant(grants: DataFrame, dim_faculty: DataFrame) -> DataFrame:
     """Grants of known investigators."""
     used = ["grant_id", "pi_id", "award_amount", "status", "publication_count"]
     faculty = dim_faculty.select(F.col("faculty_id").alias("pi_id"), F.col("faculty_key").alias("pi_key"))
-    rows = positioned(grants.select(*used), in_files).join(faculty, "pi_id").drop("pi_id")
+    rows = grants.select(*used, *position_columns(grants)).join(faculty, "pi_id").drop("pi_id")
     rows = rows.withColumnRenamed("status", "current_status")
     order = ["grant_id", "pi_key", "award_amount", "current_status", "publication_count"]
     return dense_key(rows, "grant_key", order).select("grant_key", *order)

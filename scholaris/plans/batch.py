@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from scholaris import settings
 from scholaris.operators import integrity, quality, reports, star, views
+from scholaris.operators.ranking import positioned
 from scholaris.sources import files
 
 C = F.col
@@ -115,23 +116,26 @@ def transform(staged: dict[str, DataFrame], directory: str) -> dict[str, DataFra
     """Build and save the star schema, dimensions before the facts that use them."""
     s, built = staged, {}
 
+    def placed(name: str) -> DataFrame:
+        return positioned(staged[name], in_files=True)
+
     def save(name: str, build: Callable[[], DataFrame]) -> None:
         built[name] = _saved(build(), f"{directory}/{name}")
 
-    save("dim_student", lambda: star.dim_student(s["students"], in_files=True))
-    save("dim_faculty", lambda: star.dim_faculty(s["faculty"], in_files=True))
-    save("dim_course", lambda: star.dim_course(s["courses"], in_files=True))
+    save("dim_student", lambda: star.dim_student(placed("students")))
+    save("dim_faculty", lambda: star.dim_faculty(placed("faculty")))
+    save("dim_course", lambda: star.dim_course(placed("courses")))
     save("dim_department", lambda: star.dim_department(s["faculty"]))
     save("dim_funding_agency", lambda: star.dim_funding_agency(s["grants"]))
     save("dim_date", lambda: star.dim_date(s["students"]))
-    save("fact_research_grant", lambda: star.fact_research_grant(s["grants"], built["dim_faculty"], in_files=True))
+    save("fact_research_grant", lambda: star.fact_research_grant(placed("grants"), built["dim_faculty"]))
     save("fact_student_performance", lambda: star.fact_student_performance(s["enrollments"], s["students"]))
     save(
         "fact_faculty_productivity",
         lambda: star.fact_faculty_productivity(s["faculty"], s["grants"], s["courses"]),
     )
     save("fact_course_performance", lambda: star.fact_course_performance(s["courses"], s["enrollments"]))
-    fact, path = star.fact_enrollment(s["enrollments"], built["dim_student"], in_files=True), f"{directory}/fact_enrollment"
+    fact, path = star.fact_enrollment(placed("enrollments"), built["dim_student"]), f"{directory}/fact_enrollment"
     files.write_partitioned(fact, path, "academic_year", ["student_key", "enrollment_key"])
     built["fact_enrollment"] = fact.sparkSession.read.schema(fact.schema).parquet(path)
     return built

@@ -22,19 +22,25 @@ class Tables(StagingTables):
 
     @cached_property
     def dim_student(self) -> DataFrame:
-        return star.dim_student(self.students, in_files=True)
+        return star.dim_student(self.positioned("students"))
 
     @cached_property
     def dim_faculty(self) -> DataFrame:
-        return star.dim_faculty(self.faculty)
+        return star.dim_faculty(self.positioned("faculty"))
 
     @cached_property
     def fact_enrollment(self) -> DataFrame:
-        return star.fact_enrollment(self.enrollments, self.dim_student)
+        return star.fact_enrollment(self.positioned("enrollments"), self.dim_student)
+
+    @cached_property
+    def known_enrollments(self) -> DataFrame:
+        """The fact's rows with the student's major, for reports that need no surrogate key."""
+        rows = self.enrollments.join(self.students.select("student_id", "major"), "student_id")
+        return rows.withColumnRenamed("year", "academic_year")
 
     @cached_property
     def fact_research_grant(self) -> DataFrame:
-        return star.fact_research_grant(self.grants, self.dim_faculty, in_files=True)
+        return star.fact_research_grant(self.positioned("grants"), self.dim_faculty)
 
     @cached_property
     def grants_by_department(self) -> DataFrame:

@@ -22,8 +22,8 @@ def term_retention(t: Tables):
     "retention_forecast",
     """select major, terms, next_term, round(slope, 6) as slope,
               round(least(greatest(slope * next_term + intercept, 0), 1), 6) as forecast
-       from (select major, count(*) as terms, max(term) + 1 as next_term, regr_slope(retention_rate, term) as slope,
-                    regr_intercept(retention_rate, term) as intercept
+       from (select major, count(*) as terms, max(term) + 1 as next_term, regr_slope(retained / students::double, term) as slope,
+                    regr_intercept(retained / students::double, term) as intercept
              from term_retention where not final_term group by major) f""",
 )
 def retention_forecast(t: Tables):

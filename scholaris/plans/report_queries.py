@@ -46,7 +46,7 @@ def avg_gpa_by_major(t: Tables):
     "select academic_year, count(*) as enrollments from fact_enrollment group by academic_year",
 )
 def enrollment_by_year(t: Tables):
-    return reports.enrollment_by_year(t.fact_enrollment)
+    return reports.enrollment_by_year(t.known_enrollments)
 
 
 @query(
@@ -85,7 +85,7 @@ def invalid_gpa_rows(t: Tables):
               cast(sum(publication_count) as bigint) as total_publications from fact_research_grant""",
 )
 def research_totals(t: Tables):
-    return reports.research_totals(t.fact_research_grant)
+    return reports.research_totals(t.staged_grants_by_department)
 
 
 @query(
@@ -95,7 +95,7 @@ def research_totals(t: Tables):
        from grants_by_department group by department""",
 )
 def award_by_department(t: Tables):
-    return reports.award_by_department(t.grants_by_department)
+    return reports.award_by_department(t.staged_grants_by_department)
 
 
 @query(
@@ -105,12 +105,12 @@ def award_by_department(t: Tables):
        from fact_research_grant""",
 )
 def award_publication_corr(t: Tables):
-    return reports.award_publication_corr(t.fact_research_grant)
+    return reports.award_publication_corr(t.staged_grants_by_department)
 
 
 @query("award_publication_points", "select grant_id, award_amount, publication_count from fact_research_grant")
 def award_publication_points(t: Tables):
-    return reports.award_publication_points(t.fact_research_grant)
+    return reports.award_publication_points(t.staged_grants_by_department)
 
 
 @query(

@@ -8,10 +8,10 @@ from scholaris.plans import batch
 from scholaris.plans.catalog import EXAMPLE_SALT, Tables, query
 from scholaris.settings import RETENTION_DAYS
 from scholaris.sources import files
+from scholaris.sources.derived import SOURCES
 from scholaris.sources.workspace import new_path
 
 C = F.col
-SOURCES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 _ALL_STAGING = ("students", "faculty", "grants", "courses", "enrollments")
 
 
@@ -74,9 +74,7 @@ _SUMMARY = """select s.major, e.year as academic_year, count(*) as total_enrollm
 )
 def refresh_summary_partition(t: Tables):
     """A summary built without F grades, of which one year is refreshed with all rows."""
-    rows = t.enrollments.join(t.students.select("student_id", "major"), "student_id").withColumnRenamed(
-        "year", "academic_year"
-    )
+    rows = t.known_enrollments
     path = new_path(t.spark, "summary")
     summary = reports.enrollment_summary(rows.filter(C("grade") != "F"))
     files.refresh_partitions(summary, path, "academic_year")

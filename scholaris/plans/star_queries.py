@@ -32,7 +32,7 @@ def dim_faculty(t: Tables):
               course_id, course_code, course_title, credits, instructor_id from courses""",
 )
 def dim_course(t: Tables):
-    return star.dim_course(t.courses, in_files=True)
+    return star.dim_course(t.positioned("courses"))
 
 
 @query(
@@ -187,4 +187,4 @@ def faculty_masked(t: Tables):
 )
 def duplicate_rows_marked(t: Tables):
     order = ["student_id", "course_id", "year", "semester", "grade_point", "grade", "credits_earned"]
-    return integrity.duplicate_rows(t.enrollments, "enrollment_id", order)
+    return integrity.duplicate_rows(t.positioned("enrollments"), "enrollment_id", order)

@@ -1,7 +1,8 @@
 """The five staging tables, derived from the star-schema parquet tables on hand.
 
-Each function returns the declared columns in the declared order. The branches on
-remainders plant the defects that the quality checks look for.
+Each function returns the declared columns in the declared order, and the `extra`
+columns of its main table where it takes them. The branches on remainders plant the
+defects that the quality checks look for.
 """
 
 from functools import cached_property
@@ -10,10 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholaris.functions import grades
+from scholaris.operators.ranking import POSITION, positioned
 from scholaris.schemas import STAGING
 
 C = F.col
 
+# Declared columns of the source tables, so that reading one needs no look at its files.
+SOURCES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def _id(prefix, number, width):
     return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
@@ -58,7 +75,7 @@ def students(customer: DataFrame) -> DataFrame:
     )
 
 
-def faculty(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+def faculty(supplier: DataFrame, nation: DataFrame, extra: list[str] = ()) -> DataFrame:
     k = C("s_suppkey")
     five = k % 5
     return supplier.join(nation, C("s_nationkey") == C("n_nationkey")).select(
@@ -80,6 +97,7 @@ def faculty(supplier: DataFrame, nation: DataFrame) -> DataFrame:
         .otherwise("Non-Tenure-Track")
         .alias("tenure_status"),
         F.when(k % 3 == 0, "Biology").when(k % 3 == 1, "Chemistry").otherwise("Physics").alias("research_focus"),
+        *extra,
     )
 
 
@@ -124,11 +142,12 @@ def courses(part: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
-def enrollments(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+def enrollments(lineitem: DataFrame, orders: DataFrame, extra: list[str] = ()) -> DataFrame:
     k, line, course = C("l_orderkey"), C("l_linenumber"), C("l_partkey")
     ship_month = F.month("l_shipdate")
     graded = (
-        lineitem.join(orders, C("l_orderkey") == C("o_orderkey"))
+        # Both sides grow with the data: neither is ever broadcast.
+        lineitem.join(orders.hint("merge"), C("l_orderkey") == C("o_orderkey"))
         .withColumn("grade_point", F.when(k % 307 == 11, 4.8).otherwise(F.round(C("l_quantity") * 0.08, 2)))
         .withColumn("grade", grades.letter_grade(C("grade_point"), grades.TRANSCRIPT_SCALE))
     )
@@ -148,6 +167,7 @@ def enrollments(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         .otherwise(1 + course % 4)
         .cast("long")
         .alias("credits_earned"),
+        *extra,
     )
 
 
@@ -160,11 +180,19 @@ class StagingTables:
         self.spark, self.directory = spark, directory
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self.spark.read.schema(SOURCES[name]).parquet(f"{self.directory}/{name}.parquet")
 
     def all(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self.names}
 
+    def positioned(self, name: str) -> DataFrame:
+        """A staging table with the file positions of the rows it is made from."""
+        if name == "faculty":
+            return faculty(positioned(self.source("supplier"), in_files=True), self.source("nation"), POSITION)
+        if name == "enrollments":
+            return enrollments(positioned(self.source("lineitem"), in_files=True), self.source("orders"), POSITION)
+        return positioned(getattr(self, name), in_files=True)
+
     @cached_property
     def students(self) -> DataFrame:
         return students(self.source("customer"))

@@ -12,13 +12,25 @@ from scholaris.settings import RESULT_CAP
 C = F.col
 
 
+# Quotes inside a value are doubled, and blanks at its ends are part of it.
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
-def read_csv(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """A staging table from CSV with its declared types; a malformed value is an error."""
-    reader = spark.read.schema(STAGING[table]).option("header", True).option("mode", "FAILFAST")
+def read_csv(spark: SparkSession, table: str, path: str, multiline: bool = False) -> DataFrame:
+    """A staging table from CSV with its declared types; a malformed value is an error.
+
+    `multiline` allows line breaks inside values, at the price of one task per file.
+    """
+    reader = spark.read.schema(STAGING[table]).options(**_CSV, mode="FAILFAST", multiLine=multiline)
     return reader.csv(path)
 
 

@@ -1,0 +1,89 @@
+"""Defects planted in the derived tables at sf0.01 and how many of each there are."""
+
+import pytest
+
+from scholaris.operators import quality, star
+from scholaris.plans.catalog import QUERIES, Tables, load
+
+load()
+DIRECTORY = "/root/testdata/sf0.01"
+
+RULES = {
+    ("students", "invalid_gpa"): 16,
+    ("students", "invalid_cohort_year"): 12,
+    ("students", "invalid_date_logic"): 16,
+    ("students", "active_no_credits"): 13,
+    ("students", "graduated_insufficient_credits"): 21,
+    ("faculty", "invalid_salary"): 3,
+    ("faculty", "hire_date_in_future"): 2,
+    ("grants", "invalid_award_amount"): 255,
+    ("grants", "invalid_date_range"): 181,
+    ("courses", "invalid_credits"): 20,
+    ("courses", "invalid_pass_rate"): 18,
+    ("courses", "invalid_rating"): 16,
+    ("enrollments", "invalid_grade_point"): 185,
+    ("enrollments", "invalid_credits_earned"): 149,
+    ("enrollments", "f_grade_with_credits"): 2138,
+}
+# rows, completeness, uniqueness, validity, consistency, overall
+SCORES = {
+    "students": (1500, 0.5687, 1.0, 0.9707, 0.9773, 0.8792),
+    "faculty": (100, 1.0, 1.0, 0.95, 1.0, 0.9875),
+    "grants": (15000, 1.0, 1.0, 0.9709, 1.0, 0.9927),
+    "courses": (2000, 1.0, 1.0, 0.973, 1.0, 0.9933),
+    "enrollments": (60000, 0.9953, 0.7639, 0.9944, 0.9644, 0.9295),
+}
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return Tables(spark, DIRECTORY)
+
+
+@pytest.fixture(scope="module")
+def report(tables):
+    return tables.checks.collect()
+
+
+def test_rule_counts(report):
+    found = {(r.table_name, r.rule): r.failed for r in report if r.rule != quality.ALL}
+    assert found == RULES
+
+
+def test_duplicates_and_incomplete_rows(report):
+    failed = {(r.table_name, r.check_name): r.failed for r in report if r.rule == quality.ALL}
+    assert failed["students", "completeness"] == 647
+    assert failed["enrollments", "completeness"] == 285
+    assert failed["enrollments", "uniqueness"] == 14168
+    assert failed["students", "uniqueness"] == 0
+
+
+def test_scorecard(spark):
+    rows = QUERIES["quality_scorecard"](spark, DIRECTORY).collect()
+    assert {r.table_name: tuple(r)[1:7] for r in rows} == SCORES
+
+
+def test_outliers(spark):
+    rows = QUERIES["anomalies_by_column"](spark, DIRECTORY).collect()
+    found = {r.column_name: r.anomalous for r in rows}
+    assert found == {"gpa": 0, "salary": 0, "award_amount": 34, "pass_rate": 18, "grade_point": 0}
+
+
+def test_star_sizes(tables):
+    assert tables.dim_student.count() == 1500
+    assert tables.fact_enrollment.count() == 58_844
+    assert tables.fact_research_grant.count() == 14_788
+    assert star.dim_date(tables.students).count() == 353
+
+
+def test_references(spark):
+    rows = QUERIES["referential_integrity"](spark, DIRECTORY).collect()
+    orphans = {(r.child, r.child_column): r.orphan_rows for r in rows}
+    assert orphans["enrollments", "student_id"] == 1156
+    assert orphans["grants", "pi_id"] == 212
+    assert orphans["fact_enrollment", "student_key"] == 0
+
+
+def test_report_sizes(spark):
+    assert QUERIES["enrollment_summary"](spark, DIRECTORY).count() == 35
+    assert QUERIES["at_risk_students"](spark, DIRECTORY).count() == 934

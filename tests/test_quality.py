@@ -1,0 +1,128 @@
+"""Checks on literal tables: nulls, NaN, empty input, rows that break several rules."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from scholaris.operators import integrity, quality
+from scholaris.schemas import STAGING
+
+NAN = float("nan")
+
+
+def rows_of(df):
+    return {(r.check_name, r.rule): r for r in df.collect()}
+
+
+def test_null_counts_per_column(spark):
+    df = spark.createDataFrame([("S001", 3.5), (None, 3.2), ("S003", None)], "student_id string, gpa double")
+    got = {r.column_name: (r.null_count, r.over_limit) for r in quality.completeness_by_column(df, "t").collect()}
+    assert got == {"student_id": (1, True), "gpa": (1, True)}
+
+
+def test_nan_counts_as_null(spark):
+    df = spark.createDataFrame([(NAN,), (1.0,)], "gpa double")
+    assert quality.completeness_by_column(df, "t").collect()[0].null_count == 1
+
+
+def students(spark, *rows):
+    base = ("S1", 2020, "Bio", 3.0, "Active", date(2020, 8, 1), None, 30, "White", True)
+    names = STAGING["students"].names
+    full = [tuple(row.get(n, base[i]) for i, n in enumerate(names)) for row in rows]
+    return spark.createDataFrame(full, STAGING["students"])
+
+
+def test_boundary_gpas_are_valid(spark):
+    df = students(spark, *[{"gpa": g} for g in (0.0, 1.5, 2.0, 3.0, 4.0, None, NAN)])
+    assert rows_of(quality.row_checks(df, "students"))["validity", "invalid_gpa"].failed == 0
+
+
+def test_a_row_can_break_two_rules(spark):
+    df = students(spark, {"gpa": 5.0, "cohort_year": 1990}, {})
+    got = rows_of(quality.row_checks(df, "students"))["validity", "all"]
+    assert (got.failed, got.affected, got.rate, got.status) == (2, 1, 0.0, "FAIL")
+
+
+def test_nullable_columns_are_left_out(spark):
+    df = students(spark, {}, {"date_graduated": date(2024, 5, 1)})
+    strict = rows_of(quality.row_checks(df, "students"))["completeness", "all"]
+    lenient = rows_of(quality.row_checks(df, "students", nullable=("date_graduated",)))["completeness", "all"]
+    assert (strict.failed, strict.status) == (1, "FAIL")
+    assert (lenient.failed, lenient.status) == (0, "PASS")
+
+
+def test_cohort_limit_follows_as_of(spark):
+    df = students(spark, {"cohort_year": 2028})
+    for as_of, failed in ((date(2026, 7, 16), 1), (date(2027, 1, 1), 0)):
+        assert rows_of(quality.row_checks(df, "students", as_of))["validity", "invalid_cohort_year"].failed == failed
+
+
+def test_null_credits_are_invalid(spark):
+    row = ("C1", "BIO1", "Biology", None, "Fall", 2024, "F1", 20, 0.9, 4.0)
+    df = spark.createDataFrame([row], STAGING["courses"])
+    assert rows_of(quality.row_checks(df, "courses"))["validity", "invalid_credits"].failed == 1
+
+
+@pytest.mark.parametrize("name", sorted(STAGING))
+def test_empty_tables_pass(spark, name):
+    empty = spark.createDataFrame([], STAGING[name])
+    checks = quality.report({name: empty})
+    got = [r for r in checks.collect() if r.rule == "all"]
+    assert [(r.total, r.rate, r.status) for r in got] == [(0, 1.0, "PASS")] * 4
+    assert not any(r.screened or r.anomalous for r in quality.anomalies(empty, name).collect())
+    assert all(r.null_share is None for r in quality.completeness_by_column(empty, name).collect())
+
+
+def test_null_keys_are_one_group(spark):
+    df = spark.createDataFrame([("a",), (None,), (None,), ("a",), ("b",)], "k string")
+    assert quality.uniqueness(df, "t", ["k"]).collect()[0].failed == 2
+    assert quality.uniqueness(df, "no key declared").collect()[0].failed == 2
+
+
+def test_threshold_uses_the_unrounded_rate(spark):
+    """Just under 0.95 rounds up to 0.95 and still fails."""
+    df = spark.range(100_000).select(F.when(F.col("id") >= 5001, "x").alias("k"))
+    got = rows_of(quality.row_checks(df, "t", checks=("completeness",)))["completeness", "all"]
+    assert (got.rate, got.status) == (0.95, "FAIL")
+
+
+def test_outliers_need_enough_values_and_spread(spark):
+    few = spark.createDataFrame([(float(i),) for i in range(9)], "gpa double")
+    flat = spark.createDataFrame([(2.0,)] * 20, "gpa double")
+    wild = spark.createDataFrame([(1.0 + i % 2,) for i in range(40)] + [(90.0,), (None,)], "gpa double")
+    got = [quality.anomalies(df, "t").collect()[0] for df in (few, flat, wild)]
+    assert [(r.checked_values, r.screened, r.anomalous) for r in got] == [(9, False, 0), (20, False, 0), (41, True, 1)]
+
+
+def test_orphans_as_rows_and_as_keys(spark):
+    child = spark.createDataFrame([("a",), ("x",), ("x",), ("y",), (None,)], "fk string")
+    parent = spark.createDataFrame([("a",), ("b",), (None,)], "id string")
+    got = integrity.reference_check(child, "fk", parent, "id", "c", "p").collect()[0]
+    assert (got.total_rows, got.orphan_rows, got.orphan_keys, got.status) == (5, 4, 2, "FAIL")
+    flow = integrity.join_flow(child, "fk", parent.union(parent), "id").collect()[0]
+    assert tuple(flow) == (5, 2, 4)
+
+
+def test_references_of_empty_tables(spark):
+    empty = spark.createDataFrame([], "k string")
+    got = integrity.reference_check(empty, "k", empty, "k", "c", "p").collect()[0]
+    assert (got.total_rows, got.orphan_rows, got.orphan_rate, got.status) == (0, 0, 0.0, "PASS")
+
+
+def test_gate_and_alerts(spark):
+    good, bad = students(spark, {"date_graduated": date(2024, 5, 1)}), students(spark, {"gpa": 9.0})
+    checks = quality.report({"students": good}).unionByName(
+        quality.report({"students": bad}).withColumn("table_name", F.lit("other"))
+    )
+    gate = {r.table_name: (r.checks, r.passed, r.status) for r in quality.gate(checks).collect()}
+    assert gate["students"] == (4, 4, "PASS")
+    assert gate["other"][2] == "FAIL" and gate["all"] == (8, 6, "FAIL")
+    scores = quality.scorecard(checks, quality.anomalies(good, "students"))
+    assert [r.table_name for r in quality.alerts(scores).collect()] == ["other"]
+
+
+def test_freshness_of_nothing_is_skipped(spark):
+    empty = spark.createDataFrame([], "ts timestamp_ntz")
+    as_of = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    assert quality.freshness(empty, "ts", as_of).collect()[0].status == "SKIPPED"

@@ -1,0 +1,133 @@
+"""Parallel numbering and running totals against plain sorting."""
+
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from scholaris.operators import ranking
+from scholaris.operators.integrity import duplicate_rows
+from scholaris.sources.workspace import stored
+
+
+def by_place(row):
+    return tuple((v is not None, v) for v in row)
+
+
+@pytest.fixture(scope="module")
+def skewed():
+    """A third nulls, a third one value, and full copies among the rest."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(6000):
+        kind = i % 3
+        lead = None if kind == 0 else "hot" if kind == 1 else f"k{rng.randrange(900):04d}"
+        rows.append((lead, rng.randrange(5), rng.choice([None, 0.5, 1.5])))
+    return rows
+
+
+@pytest.mark.parametrize("n", [1, 7, 200])
+def test_dense_key_equals_row_number(spark, partitions, skewed, n):
+    frame = stored(spark.createDataFrame(skewed, "a string, b long, c double"), "skewed")
+    partitions(n)
+    keyed = ranking.dense_key(ranking.positioned(frame, in_files=True), "key", ["a", "b", "c"])
+    assert keyed.columns == ["key", "a", "b", "c"]
+    assert dict(keyed.dtypes)["key"] == "bigint"
+    got = [tuple(r) for r in sorted(keyed.collect())]
+    assert got == [(i, *row) for i, row in enumerate(sorted(skewed, key=by_place), 1)]
+
+
+def test_copies_spread_over_tasks(spark, partitions):
+    """Identical rows are told apart by their place in the files, so ranges split them."""
+    frame = stored(spark.range(40_000).select(F.lit("same").alias("a")), "copies")
+    partitions(8)
+    place = ["a", *ranking.POSITION]
+    ranged = ranking.positioned(frame, in_files=True).repartitionByRange(*place)
+    sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 10_000
+
+
+def test_dense_key_of_an_empty_table(spark):
+    frame = spark.createDataFrame([], "a string")
+    assert ranking.dense_key(ranking.positioned(frame), "key", ["a"]).count() == 0
+
+
+def test_positioned_stores_what_has_no_files(spark):
+    frame = spark.createDataFrame([("x",), ("x",)], "a string")
+    rows = ranking.positioned(frame).select(*ranking.POSITION).collect()
+    assert len({tuple(r) for r in rows}) == 2
+
+
+@pytest.mark.parametrize("n", [1, 7, 60])
+def test_running_total(spark, partitions, n):
+    rng = random.Random(3)
+    rows = [("hot" if i % 3 else f"g{i % 5}", i, rng.randrange(10)) for i in range(3000)]
+    rng.shuffle(rows)
+    partitions(n)
+    frame = spark.createDataFrame(rows, "g string, o long, w long")
+    got = {(r.g, r.o): r.t for r in ranking.running_total(frame, "g", "o", "w", "t").collect()}
+    sums, want = defaultdict(int), {}
+    for g, o, w in sorted(rows):
+        sums[g] += w
+        want[g, o] = sums[g]
+    assert got == want
+
+
+def brute_percentile(values, p):
+    values = sorted(values)
+    spot = p / 100 * (len(values) - 1)
+    low = int(spot)
+    high = min(low + 1, len(values) - 1)
+    return values[low] + (values[high] - values[low]) * (spot - low)
+
+
+@pytest.mark.parametrize("n", [1, 16])
+def test_percentiles(spark, partitions, n):
+    rng = random.Random(5)
+    rows = [("hot" if i % 3 else f"g{i % 4}", rng.choice([None, *range(40)])) for i in range(2000)]
+    rows += [("single", 7), ("pair", 1), ("pair", 4), (None, 3), ("empty", None)]
+    partitions(n)
+    frame = spark.createDataFrame(rows, "g string, v long")
+    got = {r.g: (r.p0, r.p25, r.p50, r["p97.5"], r.p100) for r in ranking.percentiles(frame, "g", "v", [0, 25, 50, 97.5, 100]).collect()}
+    groups = defaultdict(list)
+    for g, v in rows:
+        if v is not None:
+            groups[g].append(v)
+    assert set(got) == set(groups)
+    for g, values in groups.items():
+        assert got[g] == pytest.approx([brute_percentile(values, p) for p in (0, 25, 50, 97.5, 100)])
+
+
+def test_approximate_percentiles_have_the_same_columns(spark):
+    frame = spark.createDataFrame([("a", i) for i in range(101)], "g string, v long")
+    row = ranking.percentiles(frame, "g", "v", [25, 50], exact=False).collect()[0]
+    assert (row.p25, row.p50) == (25.0, 50.0)
+
+
+def test_percent_rank(spark, partitions):
+    rng = random.Random(9)
+    rows = [("hot" if i % 3 else "cold", float(rng.randrange(50))) for i in range(900)] + [("one", 2.0), ("one", None)]
+    partitions(5)
+    frame = spark.createDataFrame(rows, "g string, v double")
+    got = {(r.g, r.v): r.pr for r in ranking.percent_rank(frame, "g", "v", "pr").collect()}
+    for (g, v), rank in got.items():
+        group = [x for h, x in rows if h == g and x is not None]
+        want = sum(x < v for x in group) / (len(group) - 1) if len(group) > 1 else 0.0
+        assert rank == pytest.approx(want)
+    assert len(got) == len({r for r in rows if r[1] is not None})
+
+
+def test_duplicates_keep_the_first_row(spark, partitions):
+    rows = [("a", 2), ("a", 1), ("a", 1), (None, 5), (None, 4), ("b", 9)]
+    partitions(4)
+    frame = ranking.positioned(spark.createDataFrame(rows, "k string, v long"))
+    got = [tuple(r) for r in sorted(duplicate_rows(frame, "k", ["v"]).collect())]
+    assert got == [
+        (1, None, 4, False),
+        (2, None, 5, True),
+        (3, "a", 1, False),
+        (4, "a", 1, True),
+        (5, "a", 2, True),
+        (6, "b", 9, False),
+    ]
