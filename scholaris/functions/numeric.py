@@ -18,13 +18,8 @@ def nan_to_null(c) -> Column:
 
 def without_nan(df: DataFrame) -> DataFrame:
     """Every NaN becomes null: comparisons treat NaN as the largest value otherwise."""
-    fractional = (T.DoubleType, T.FloatType)
-    return df.select(
-        *[
-            nan_to_null(f.name).alias(f.name) if isinstance(f.dataType, fractional) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    fractional = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({name: nan_to_null(name) for name in fractional}) if fractional else df
 
 
 def clip(c, low, high) -> Column:

@@ -1,10 +1,9 @@
 """Keys: references between tables, duplicates, null keys and row counts."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholaris import settings
-from scholaris.functions.numeric import ratio
 from scholaris.operators.quality import union
 from scholaris.operators.ranking import POSITION, dense_key
 
@@ -22,10 +21,6 @@ def _matches(child: DataFrame, child_column: str, parent: DataFrame, parent_colu
     return children.join(parents, "key", "left")
 
 
-def _sum(c: Column) -> Column:
-    return F.coalesce(F.sum(c), F.lit(0).cast("long"))
-
-
 def reference_check(
     child: DataFrame, child_column: str, parent: DataFrame, parent_column: str, name: str, target: str
 ) -> DataFrame:
@@ -33,33 +28,29 @@ def reference_check(
 
     A null key is an orphaned row but not a key.
     """
-    orphan = C("parents").isNull()
-    return (
-        _matches(child, child_column, parent, parent_column)
-        .agg(
-            _sum(C("n")).alias("total_rows"),
-            _sum(F.when(orphan, C("n"))).alias("orphan_rows"),
-            F.count(F.when(orphan, C("key"))).alias("orphan_keys"),
-        )
-        .select(
-            F.lit(name).alias("child"),
-            F.lit(child_column).alias("child_column"),
-            F.lit(target).alias("parent"),
-            "total_rows",
-            "orphan_rows",
-            "orphan_keys",
-            F.round(F.coalesce(ratio("orphan_rows", "total_rows"), F.lit(0.0)), 6).alias("orphan_rate"),
-            F.when(C("orphan_keys") == 0, "PASS").otherwise("FAIL").alias("status"),
-        )
+    counts = _matches(child, child_column, parent, parent_column).agg(
+        F.expr("coalesce(sum(n), 0L) as total_rows"),
+        F.expr("coalesce(sum(case when parents is null then n end), 0L) as orphan_rows"),
+        F.expr("count(case when parents is null then key end) as orphan_keys"),
+    )
+    return counts.selectExpr(
+        f"'{name}' as child",
+        f"'{child_column}' as child_column",
+        f"'{target}' as parent",
+        "total_rows",
+        "orphan_rows",
+        "orphan_keys",
+        "round(coalesce(orphan_rows / nullif(total_rows, 0), 0.0d), 6) as orphan_rate",
+        "case when orphan_keys = 0 then 'PASS' else 'FAIL' end as status",
     )
 
 
 def join_flow(child: DataFrame, child_column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Rows that go into an inner join from the child, come out of it and are dropped by it."""
     return _matches(child, child_column, parent, parent_column).agg(
-        _sum(C("n")).alias("rows_in"),
-        _sum(C("n") * C("parents")).alias("rows_out"),
-        _sum(F.when(C("parents").isNull(), C("n"))).alias("rows_dropped"),
+        F.expr("coalesce(sum(n), 0L) as rows_in"),
+        F.expr("coalesce(sum(n * parents), 0L) as rows_out"),
+        F.expr("coalesce(sum(case when parents is null then n end), 0L) as rows_dropped"),
     )
 
 

@@ -10,7 +10,6 @@ is decided on the unrounded rate and stands on the `all` rows only. A row that b
 two rules of a check counts twice in `failed`; `affected` counts it once.
 """
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -20,114 +19,72 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholaris import settings
-from scholaris.functions.numeric import is_outlier, ratio, without_nan
+from scholaris.functions.numeric import is_outlier, without_nan
 
 C = F.col
 
 
 @dataclass(frozen=True)
 class Rule:
+    """`broken` is a SQL condition; {as_of} and {year} stand for the reference day."""
+
     table: str
     check: str
     name: str
-    broken: Callable[[date], Column]
+    broken: str
 
 
 RULES = [
-    Rule("students", "validity", "invalid_gpa", lambda _: (C("gpa") < 0.0) | (C("gpa") > 4.0)),
-    Rule(
-        "students",
-        "validity",
-        "invalid_cohort_year",
-        lambda as_of: (C("cohort_year") < 2000) | (C("cohort_year") > as_of.year + 1),
-    ),
-    Rule("students", "validity", "invalid_date_logic", lambda _: C("date_graduated") < C("date_enrolled")),
-    Rule("faculty", "validity", "invalid_salary", lambda _: C("salary") <= 0),
-    Rule("faculty", "validity", "hire_date_in_future", lambda as_of: C("hire_date") > F.lit(as_of)),
-    Rule("grants", "validity", "invalid_award_amount", lambda _: C("award_amount") <= 0),
-    Rule("grants", "validity", "invalid_date_range", lambda _: C("end_date") < C("start_date")),
-    Rule(
-        "courses",
-        "validity",
-        "invalid_credits",
-        lambda _: F.coalesce(~C("credits").isin(1, 2, 3, 4), F.lit(True)),
-    ),
-    Rule("courses", "validity", "invalid_pass_rate", lambda _: (C("pass_rate") < 0) | (C("pass_rate") > 1)),
-    Rule("courses", "validity", "invalid_rating", lambda _: (C("avg_rating") < 1) | (C("avg_rating") > 5)),
-    Rule("enrollments", "validity", "invalid_grade_point", lambda _: (C("grade_point") < 0) | (C("grade_point") > 4)),
-    Rule("enrollments", "validity", "invalid_credits_earned", lambda _: C("credits_earned") < 0),
-    Rule(
-        "students",
-        "consistency",
-        "active_no_credits",
-        lambda _: (C("enrollment_status") == "Active") & (C("credits_completed") == 0),
-    ),
+    Rule("students", "validity", "invalid_gpa", "gpa < 0.0 or gpa > 4.0"),
+    Rule("students", "validity", "invalid_cohort_year", "cohort_year < 2000 or cohort_year > {year} + 1"),
+    Rule("students", "validity", "invalid_date_logic", "date_graduated < date_enrolled"),
+    Rule("faculty", "validity", "invalid_salary", "salary <= 0"),
+    Rule("faculty", "validity", "hire_date_in_future", "hire_date > date'{as_of}'"),
+    Rule("grants", "validity", "invalid_award_amount", "award_amount <= 0"),
+    Rule("grants", "validity", "invalid_date_range", "end_date < start_date"),
+    Rule("courses", "validity", "invalid_credits", "credits is null or credits not in (1, 2, 3, 4)"),
+    Rule("courses", "validity", "invalid_pass_rate", "pass_rate < 0 or pass_rate > 1"),
+    Rule("courses", "validity", "invalid_rating", "avg_rating < 1 or avg_rating > 5"),
+    Rule("enrollments", "validity", "invalid_grade_point", "grade_point < 0 or grade_point > 4"),
+    Rule("enrollments", "validity", "invalid_credits_earned", "credits_earned < 0"),
+    Rule("students", "consistency", "active_no_credits", "enrollment_status = 'Active' and credits_completed = 0"),
     Rule(
         "students",
         "consistency",
         "graduated_insufficient_credits",
-        lambda _: (C("enrollment_status") == "Graduated") & (C("credits_completed") < 120),
-    ),
-    Rule(
-        "enrollments",
-        "consistency",
-        "f_grade_with_credits",
-        lambda _: (C("grade") == "F") & (C("credits_earned") > 0),
+        "enrollment_status = 'Graduated' and credits_completed < 120",
     ),
+    Rule("enrollments", "consistency", "f_grade_with_credits", "grade = 'F' and credits_earned > 0"),
 ]
 
 ALL = "all"
-REPORT_COLUMNS = [
-    "table_name",
-    "check_name",
-    "rule",
-    "failed",
-    "affected",
-    "total",
-    "rate",
-    "threshold",
-    "status",
-]
-
 
-def _zero_if_null(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0).cast("long"))
 
+def _any(conditions: list[str]) -> str:
+    """True if one condition holds; unknown ones do not."""
+    return " or ".join(f"coalesce({c}, false)" for c in conditions) or "false"
 
-def pass_rate(failed, total) -> Column:
-    """Unrounded share of rows that did not fail; 1 for an empty table."""
-    return F.coalesce(1.0 - ratio(failed, total), F.lit(1.0))
 
-
-def _any(flags: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, flags) if flags else F.lit(False)
-
-
-def _long_form(counts: DataFrame, table: str, entries: list[tuple[str, str, Column, Column]]) -> DataFrame:
+def _long_form(counts: DataFrame, table: str, entries: list[tuple[str, str, str, str]]) -> DataFrame:
     """One row per (check, rule, failed, affected) of the one-row frame `counts`."""
-    cells = [
-        F.struct(
-            F.lit(check).alias("check_name"),
-            F.lit(rule).alias("rule"),
-            failed.alias("failed"),
-            affected.alias("affected"),
-            F.lit(settings.THRESHOLDS[check] if rule == ALL else None).cast("double").alias("threshold"),
+    cells = []
+    for check, rule, failed, affected in entries:
+        threshold = f"{settings.THRESHOLDS[check]}d" if rule == ALL else "cast(null as double)"
+        cells.append(
+            f"named_struct('check_name', '{check}', 'rule', '{rule}', 'failed', {failed}, "
+            f"'affected', {affected}, 'threshold', {threshold})"
         )
-        for check, rule, failed, affected in entries
-    ]
-    rows = counts.select("total", F.inline(F.array(*cells)))
-    rate = pass_rate("failed", "total")
-    status = F.when(C("threshold").isNotNull(), F.when(rate >= C("threshold"), "PASS").otherwise("FAIL"))
-    return rows.select(
-        F.lit(table).alias("table_name"),
+    rate = "coalesce(1 - failed / nullif(total, 0), 1.0d)"
+    return counts.selectExpr("total", f"inline(array({', '.join(cells)}))").selectExpr(
+        f"'{table}' as table_name",
         "check_name",
         "rule",
         "failed",
         "affected",
         "total",
-        F.round(rate, 4).alias("rate"),
+        f"round({rate}, 4) as rate",
         "threshold",
-        status.alias("status"),
+        f"case when {rate} >= threshold then 'PASS' when threshold is not null then 'FAIL' end as status",
     )
 
 
@@ -142,22 +99,23 @@ def row_checks(
 
     A row is incomplete if any column outside `nullable` is null.
     """
-    df = without_nan(df)
-    aggregates = [F.count("*").alias("total")]
+    aggregates = ["count(*) as total"]
     entries = []
     if "completeness" in checks:
-        missing = _any([C(c).isNull() for c in df.columns if c not in nullable])
-        aggregates.append(F.count_if(missing).alias("incomplete"))
-        entries.append(("completeness", ALL, C("incomplete"), C("incomplete")))
+        missing = _any([f"`{c}` is null" for c in df.columns if c not in nullable])
+        aggregates.append(f"count_if({missing}) as incomplete")
+        entries.append(("completeness", ALL, "incomplete", "incomplete"))
     for check in [c for c in ("validity", "consistency") if c in checks]:
-        rules = [r for r in RULES if r.table == table and r.check == check]
-        aggregates += [F.count_if(r.broken(as_of)).alias(r.name) for r in rules]
-        distinct = F.count_if(_any([F.coalesce(r.broken(as_of), F.lit(False)) for r in rules]))
-        aggregates.append(distinct.alias(f"{check}_rows"))
-        entries += [(check, r.name, C(r.name), C(r.name)) for r in rules]
-        total_failed = reduce(lambda a, b: a + b, [C(r.name) for r in rules], F.lit(0).cast("long"))
-        entries.append((check, ALL, total_failed, C(f"{check}_rows")))
-    return _long_form(df.agg(*aggregates), table, entries)
+        rules = {
+            r.name: r.broken.format(as_of=as_of, year=as_of.year)
+            for r in RULES
+            if r.table == table and r.check == check
+        }
+        aggregates += [f"count_if({broken}) as {name}" for name, broken in rules.items()]
+        aggregates.append(f"count_if({_any(list(rules.values()))}) as {check}_rows")
+        entries += [(check, name, name, name) for name in rules]
+        entries.append((check, ALL, " + ".join(rules) or "0L", f"{check}_rows"))
+    return _long_form(without_nan(df).agg(*map(F.expr, aggregates)), table, entries)
 
 
 def uniqueness(df: DataFrame, table: str, keys: list[str] | None = None) -> DataFrame:
@@ -165,9 +123,9 @@ def uniqueness(df: DataFrame, table: str, keys: list[str] | None = None) -> Data
     keys = keys or settings.KEYS.get(table) or df.columns
     groups = without_nan(df.select(*keys)).groupBy(*keys).agg(F.count("*").alias("n"))
     counts = groups.agg(
-        _zero_if_null(F.sum("n")).alias("total"), _zero_if_null(F.sum(C("n") - 1)).alias("duplicates")
+        F.expr("coalesce(sum(n), 0L) as total"), F.expr("coalesce(sum(n - 1), 0L) as duplicates")
     )
-    return _long_form(counts, table, [("uniqueness", ALL, C("duplicates"), C("duplicates"))])
+    return _long_form(counts, table, [("uniqueness", ALL, "duplicates", "duplicates")])
 
 
 def report(
@@ -186,20 +144,16 @@ def union(parts: list[DataFrame]) -> DataFrame:
 
 def completeness_by_column(df: DataFrame, table: str) -> DataFrame:
     """Null count and share per column; the share is null for an empty table."""
-    df = without_nan(df)
-    counts = df.agg(
-        F.count("*").alias("total"), *[F.count_if(C(c).isNull()).alias(f"null_{i}") for i, c in enumerate(df.columns)]
-    )
-    cells = [
-        F.struct(F.lit(c).alias("column_name"), C(f"null_{i}").alias("null_count")) for i, c in enumerate(df.columns)
-    ]
-    share = ratio("null_count", "total")
-    return counts.select("total", F.inline(F.array(*cells))).select(
-        F.lit(table).alias("table_name"),
+    nulls = [F.expr(f"count_if(`{c}` is null) as null_{i}") for i, c in enumerate(df.columns)]
+    counts = without_nan(df).agg(F.expr("count(*) as total"), *nulls)
+    cells = [f"named_struct('column_name', '{c}', 'null_count', null_{i})" for i, c in enumerate(df.columns)]
+    share = "null_count / nullif(total, 0)"
+    return counts.selectExpr("total", f"inline(array({', '.join(cells)}))").selectExpr(
+        f"'{table}' as table_name",
         "column_name",
         "null_count",
-        share.alias("null_share"),
-        F.coalesce(share > settings.NULL_SHARE_LIMIT, F.lit(False)).alias("over_limit"),
+        f"{share} as null_share",
+        f"coalesce({share} > {settings.NULL_SHARE_LIMIT}d, false) as over_limit",
     )
 
 
