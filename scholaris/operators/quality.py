@@ -3,7 +3,7 @@
 Every check is reported in the same long form, one row per rule and one row named
 `all` per check, so reports of different tables are unions of each other:
 
-    table_name, check_name, rule, failed, total, rate, threshold, status
+    table_name, check_name, rule, failed, affected, total, rate, threshold, status
 
 `rate` is 1 - failed / total, rounded to 4 digits, and 1 for an empty table. The status
 is decided on the unrounded rate and stands on the `all` rows only. A row that breaks

@@ -10,8 +10,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from scholaris.operators import quality, reports, star, views
+from scholaris.operators.ranking import positioned
 from scholaris.plans.oracle import with_tables
-from scholaris.sources.derived import StagingTables
+from scholaris.sources.derived import StagingTables, enrollments
+from scholaris.sources.workspace import stored
 
 # The salt of the registered queries. Real runs pass their own, from a secret store.
 EXAMPLE_SALT = "example-salt"
@@ -54,10 +56,30 @@ class Tables(StagingTables):
     def checks(self) -> DataFrame:
         return quality.report(self.all())
 
+    def landed(self) -> "LandedTables":
+        return LandedTables(self.spark, self.directory)
+
     def safe_rows(self) -> DataFrame:
         return views.student_enrollment_safe(self.fact_enrollment, self.dim_student, EXAMPLE_SALT)
 
 
+class LandedTables(Tables):
+    """The same for queries that pass over the enrollments several times.
+
+    Enrollments come out of a join of two large tables: they are written down once, and
+    each pass then reads only the columns it needs.
+    """
+
+    @cached_property
+    def enrollments(self) -> DataFrame:
+        return stored(enrollments(self.source("lineitem"), self.source("orders")), "enrollments")
+
+    def positioned(self, name: str) -> DataFrame:
+        if name == "enrollments":
+            return positioned(self.enrollments, in_files=True)
+        return super().positioned(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 

@@ -134,7 +134,7 @@ def consistency_by_table(t: Tables):
 
 @query("quality_checks", _CHECKS)
 def quality_checks(t: Tables):
-    return t.checks
+    return t.landed().checks
 
 
 _SCREENED = {
@@ -173,6 +173,7 @@ join (select table_name, sum(anomalous) > 0 as anomalies_detected from ({_ANOMAL
 
 
 def _scorecard(t: Tables):
+    t = t.landed()
     return quality.scorecard(t.checks, quality.anomalies_of(t.all()))
 
 
@@ -197,7 +198,7 @@ def quality_alerts(t: Tables):
               from ({_CHECKS}) c where rule = 'all' group by rollup(table_name)) g""",
 )
 def quality_gate(t: Tables):
-    return quality.gate(t.checks)
+    return quality.gate(t.landed().checks)
 
 
 @query(
@@ -264,6 +265,7 @@ def _references(pairs):
 
 @query("referential_integrity", _references(_REFERENCES))
 def referential_integrity(t: Tables):
+    t = t.landed()
     return quality.union([integrity.star_reference(t.fact_enrollment, t.dim_student), *integrity.staging_references(t.all())])
 
 
@@ -284,6 +286,7 @@ def orphan_keys(t: Tables):
 
 
 def _enrollment_orphans(t: Tables):
+    t = t.landed()
     staged = integrity.reference_check(t.enrollments, "student_id", t.students, "student_id", "enrollments", "students")
     return quality.union([integrity.star_reference(t.fact_enrollment, t.dim_student), staged])
 
@@ -305,6 +308,7 @@ def fact_has_rows(t: Tables):
         select child || '_' || child_column || '_fk', orphan_keys, status from ({_references(_REFERENCES)}) r""",
 )
 def post_load_validation(t: Tables):
+    t = t.landed()
     return integrity.post_load(t.fact_enrollment, t.dim_student, t.all())
 
 

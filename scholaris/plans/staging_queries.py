@@ -96,7 +96,7 @@ def run_log(t: Tables):
 
 @query("quality_log")
 def quality_log(t: Tables):
-    return batch.quality_log(t.checks, run_id="registered")
+    return batch.quality_log(t.landed().checks, run_id="registered")
 
 
 @query(

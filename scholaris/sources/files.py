@@ -61,6 +61,12 @@ def extraction_stats(tables: dict[str, DataFrame]) -> DataFrame:
     return counts.unionByName(total.withColumn("table_name", F.lit("all")))
 
 
+def register_views(frames: dict[str, DataFrame]) -> None:
+    """Make frames known to SQL by name, replacing earlier ones of that name."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+
+
 def table_row_count(spark: SparkSession, table: str) -> int:
     return spark.table(table).count()
 

@@ -69,6 +69,18 @@ def test_capped_query(spark):
     assert files.run_query(spark, "select id from {t}", None, t=frame).count() == 50
 
 
+def test_views_are_replaced_and_counted(spark):
+    files.register_views({"numbers": spark.range(3)})
+    files.register_views({"numbers": spark.range(5)})
+    assert files.table_row_count(spark, "numbers") == 5
+
+
+@pytest.mark.parametrize("name", sorted(STAGING))
+def test_staging_tables_have_the_declared_columns(spark, name):
+    derived = getattr(Tables(spark, SMALL), name)
+    assert derived.dtypes == [(f.name, f.dataType.simpleString()) for f in STAGING[name].fields]
+
+
 def test_workspace_is_shared_or_local(spark):
     assert spark.conf.get("spark.app.id") in workspace.workspace(spark)
 
