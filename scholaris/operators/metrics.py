@@ -14,6 +14,7 @@ from scholaris import settings
 from scholaris.functions import calendar, grades
 from scholaris.functions.numeric import clip, ratio
 from scholaris.operators import ranking
+from scholaris.operators.joins import join_groups
 
 C = F.col
 
@@ -217,7 +218,7 @@ def faculty_productivity(faculty: DataFrame, grants: DataFrame, courses: DataFra
         F.round(F.avg("avg_rating"), 6).alias("mean_rating")
     )
     return (
-        scored.join(standing, ["rank", "score"], "left")
+        join_groups(scored, standing, ["rank", "score"], "left")
         .join(ratings, "faculty_id", "left")
         .select(
             "faculty_id",
@@ -254,7 +255,7 @@ def salary_vs_productivity(faculty: DataFrame, grants: DataFrame) -> DataFrame:
         F.count_if(both).alias("scored"),
         F.round(F.when(spread, F.corr("salary", "score")), 6).alias("correlation"),
     )
-    return quartiles.join(relation, "department").select(
+    return join_groups(relation, quartiles, ["department"], "left").select(
         "department",
         *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")],
         "scored",

@@ -61,8 +61,8 @@ def dense_key(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     )
 
 
-def running_total(df: DataFrame, group: str, order: str, weight: str, name: str) -> DataFrame:
-    """Sum of `weight` up to and including each row, within `group`, in `order`.
+def running_total(df: DataFrame, group: str, order: str, weight: str, name: str, total: str) -> DataFrame:
+    """Add, within `group`, the sum of `weight` up to each row in `order`, and over all rows.
 
     (group, order) must be unique: aggregate first. A group that holds most of the
     table is split over range partitions like everything else.
@@ -71,12 +71,15 @@ def running_total(df: DataFrame, group: str, order: str, weight: str, name: str)
     ranged = stored(
         df.repartitionByRange(*place).withColumn("__part", F.spark_partition_id()), "ranged"
     )
+    # One row per range partition and group in it.
     slices = ranged.groupBy("__part", group).agg(F.sum(weight).alias("__slice"))
-    before = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(group)
+    before = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = slices.select(
         F.col("__part").alias("__p"),
         F.col(group).alias("__g"),
         F.coalesce(F.sum("__slice").over(before), F.lit(0)).alias("__start"),
+        F.sum("__slice").over(whole).alias(total),
     )
     inside = Window.partitionBy("__part", group).orderBy(F.col(order).asc_nulls_first())
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -105,10 +108,7 @@ def percentiles(df: DataFrame, group: str, value: str, percents: list[float], ex
         return df.groupBy(group).agg(
             *[F.percentile_approx(value, p / 100.0, 10_000).cast("double").alias(n) for n, p in zip(names, percents)]
         )
-    counts = value_counts(df, group, value)
-    upto = running_total(counts, group, value, "n", "__upto")
-    sizes = counts.groupBy(F.col(group).alias("__g")).agg(F.sum("n").alias("__size"))
-    ranked = upto.join(sizes, F.col(group).eqNullSafe(F.col("__g")))
+    ranked = running_total(value_counts(df, group, value), group, value, "n", "__upto", "__size")
 
     def at(rank: Column) -> Column:
         covers = (F.col("__upto") > rank) & (F.col("__upto") - F.col("n") <= rank)
@@ -125,11 +125,7 @@ def percentiles(df: DataFrame, group: str, value: str, percents: list[float], ex
 
 def percent_rank(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """(group, value, name): share of the group's other rows that rank below each value."""
-    counts = value_counts(df, group, value)
-    upto = running_total(counts, group, value, "n", "__upto")
-    sizes = counts.groupBy(F.col(group).alias("__g")).agg(F.sum("n").alias("__size"))
+    ranked = running_total(value_counts(df, group, value), group, value, "n", "__upto", "__size")
     below = F.col("__upto") - F.col("n")
     others = F.nullif(F.col("__size") - 1, F.lit(0))
-    return upto.join(sizes, F.col(group).eqNullSafe(F.col("__g"))).select(
-        group, value, F.coalesce(below / others, F.lit(0.0)).alias(name)
-    )
+    return ranked.select(group, value, F.coalesce(below / others, F.lit(0.0)).alias(name))

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from scholaris import settings
 from scholaris.functions.numeric import is_outlier, ratio, z_score
+from scholaris.operators.joins import join_groups
 from scholaris.operators.views import approved_ethnicity
+from scholaris.sources.workspace import stored
 
 C = F.col
 
@@ -137,13 +139,17 @@ def top_departments(grants: DataFrame, k: int = 5) -> DataFrame:
 
 
 def award_outliers(grants: DataFrame, limit: float = settings.Z_LIMIT) -> DataFrame:
-    """Grants whose award lies far from the mean of their agency."""
+    """Grants whose award lies far from the mean of their agency.
+
+    The statistics are written down first: Spark then sees how small they are before it
+    plans the join, and does not shuffle the grants for it.
+    """
     spread = grants.groupBy("funding_agency").agg(
         F.avg("award_amount").alias("mean"), F.stddev_samp("award_amount").alias("deviation")
     )
+    awards = grants.select("grant_id", "funding_agency", "award_amount")
     return (
-        grants.select("grant_id", "funding_agency", "award_amount")
-        .join(spread, "funding_agency")
+        join_groups(awards, stored(spread, "spread"), ["funding_agency"])
         .filter(is_outlier("award_amount", C("mean"), C("deviation"), limit))
         .select(
             "grant_id",

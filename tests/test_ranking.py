@@ -66,12 +66,14 @@ def test_running_total(spark, partitions, n):
     rng.shuffle(rows)
     partitions(n)
     frame = spark.createDataFrame(rows, "g string, o long, w long")
-    got = {(r.g, r.o): r.t for r in ranking.running_total(frame, "g", "o", "w", "t").collect()}
+    rows_out = ranking.running_total(frame, "g", "o", "w", "t", "all").collect()
+    got = {(r.g, r.o): r.t for r in rows_out}
     sums, want = defaultdict(int), {}
     for g, o, w in sorted(rows):
         sums[g] += w
         want[g, o] = sums[g]
     assert got == want
+    assert {(r.g, r["all"]) for r in rows_out} == set(sums.items())
 
 
 def brute_percentile(values, p):
