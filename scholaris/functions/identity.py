@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from scholaris.functions.numeric import _col
 from scholaris.settings import PII_FIELDS
 
+# Fixed value: what counts as an e-mail address.
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
 

@@ -18,8 +18,8 @@ POSITION = ["__file", "__row"]
 def positioned(df: DataFrame, in_files: bool = False) -> DataFrame:
     """Add each row's place in the files behind the frame, which tells copies apart.
 
-    `in_files` says that the frame is a projection or filter of a file scan. Anything
-    else, such as a join, has no files of its own and is stored first.
+    `in_files` says that the frame is a projection or filter of a parquet scan. Anything
+    else, such as a join, has no row numbers of its own and is stored first.
     """
     df = df if in_files else stored(df, "rows")
     file, row = POSITION

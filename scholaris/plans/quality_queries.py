@@ -286,7 +286,6 @@ def orphan_keys(t: Tables):
 
 
 def _enrollment_orphans(t: Tables):
-    t = t.landed()
     staged = integrity.reference_check(t.enrollments, "student_id", t.students, "student_id", "enrollments", "students")
     return quality.union([integrity.star_reference(t.fact_enrollment, t.dim_student), staged])
 
