@@ -15,6 +15,7 @@ from scholaris import settings
 from scholaris.operators import integrity, quality, reports, star, views
 from scholaris.operators.ranking import positioned
 from scholaris.sources import files
+from scholaris.sources.workspace import intermediate_tables
 
 C = F.col
 LOG_SCHEMA = "run_id string, phase string, status string, tables long, rows long, detail map<string,long>, logged_at timestamp"
@@ -76,7 +77,8 @@ def run(
         raise ValueError("on_fail is 'warn' or 'stop'")
     log = RunLog(spark, run_id)
     try:
-        _phases(log, tables, directory, salt, as_of, on_fail, nullable)
+        with intermediate_tables(spark):
+            _phases(log, tables, directory, salt, as_of, on_fail, nullable)
         log.add("end", "PASS")
     except Exception:
         log.add("end", "FAIL")

@@ -2,10 +2,13 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_scoped_paths: ContextVar[list[str] | None] = ContextVar("scoped_paths", default=None)
 
 
 def workspace(spark: SparkSession) -> str:
@@ -24,7 +27,26 @@ def workspace(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+    if (paths := _scoped_paths.get()) is not None:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession):
+    """Delete at the end what was stored inside the block.
+
+    For work whose results are all written elsewhere by then; frames that still read an
+    intermediate table must not leave the block.
+    """
+    token = _scoped_paths.set([])
+    try:
+        yield
+    finally:
+        for path in _scoped_paths.get():
+            _delete(spark, path)
+        _scoped_paths.reset(token)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -41,5 +63,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def clear_workspace(spark: SparkSession) -> None:
     """Delete this application's intermediate tables, once no result needs them."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(workspace(spark))
+    _delete(spark, workspace(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

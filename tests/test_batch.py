@@ -85,6 +85,16 @@ def test_workspace_is_shared_or_local(spark):
     assert spark.conf.get("spark.app.id") in workspace.workspace(spark)
 
 
+def test_intermediate_tables_go_with_their_block(spark):
+    outside = workspace.stored(spark.range(3), "kept")
+    with workspace.intermediate_tables(spark):
+        inside = workspace.stored(spark.range(4), "dropped")
+        (folder,) = {str(Path(f).parent) for f in inside.inputFiles()}
+        assert inside.count() == 4
+    assert not Path(folder.removeprefix("file:")).exists()
+    assert outside.count() == 3
+
+
 def test_workspace_demands_a_shared_folder_on_a_cluster():
     class Cluster:
         class conf:
