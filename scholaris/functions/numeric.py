@@ -23,7 +23,8 @@ def without_nan(df: DataFrame) -> DataFrame:
 
 
 def clip(c, low, high) -> Column:
-    c = _col(c)
+    """The nearest value in the range; null for null and NaN."""
+    c = nan_to_null(c)
     return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(low)), F.lit(high)))
 
 
@@ -34,7 +35,9 @@ def z_score(value, mean, deviation) -> Column:
 
 
 def is_outlier(value, mean, deviation, limit: float = 3.0) -> Column:
-    return F.coalesce(F.abs(z_score(value, mean, deviation)) > limit, F.lit(False))
+    """Whether the z-score lies beyond the limit on either side; false for null and NaN."""
+    z = z_score(value, mean, deviation)
+    return F.coalesce((F.abs(z) > limit) & ~F.isnan(z), F.lit(False))
 
 
 def within(c, low, high) -> Column:

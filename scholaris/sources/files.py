@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scholaris.functions.numeric import without_nan
 from scholaris.operators.integrity import row_counts
 from scholaris.schemas import STAGING
 from scholaris.settings import RESULT_CAP
@@ -44,11 +45,11 @@ def with_load_timestamp(df: DataFrame, at: datetime | None = None) -> DataFrame:
 
 
 def load_staging(tables: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:
-    """Replace each staging table and return it as written."""
+    """Replace each staging table and return it as written, with NaN as null."""
     loaded = {}
     for name, df in tables.items():
         path = f"{directory}/{name}"
-        stamped = with_load_timestamp(df)
+        stamped = with_load_timestamp(without_nan(df))
         stamped.write.mode("overwrite").parquet(path)
         loaded[name] = df.sparkSession.read.schema(stamped.schema).parquet(path)
     return loaded

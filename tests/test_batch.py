@@ -31,6 +31,13 @@ def test_csv_keeps_types_nulls_and_quotes(spark, tmp_path):
     assert sorted(map(str, back.collect())) == sorted(map(str, want.collect()))
 
 
+def test_loading_turns_nan_into_null(spark, tmp_path):
+    df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "gpa double, id long")
+    loaded = files.load_staging({"t": df}, str(tmp_path))["t"]
+    assert sorted((r.id, r.gpa) for r in loaded.collect()) == [(1, None), (2, 2.0)]
+    assert loaded.filter("load_timestamp is null").count() == 0
+
+
 def test_malformed_csv_is_an_error(spark, tmp_path):
     (tmp_path / "bad.csv").write_text(",".join(STAGING["faculty"].names) + "\nF1,r,2020-01-01,d,lots,a,t,r\n")
     with pytest.raises(Exception, match="MALFORMED_RECORD"):

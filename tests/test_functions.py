@@ -122,12 +122,18 @@ def test_predicates_are_false_for_unknown(spark):
 
 
 def test_clip_and_z_score(spark):
-    assert apply(spark, [-1.0, 2.0, 9.0, None], "double", lambda c: numeric.clip(c, 0.0, 4.0)) == [0.0, 2.0, 4.0, None]
+    assert apply(spark, [-1.0, 2.0, 9.0, None, NAN], "double", lambda c: numeric.clip(c, 0.0, 4.0)) == [
+        0.0,
+        2.0,
+        4.0,
+        None,
+        None,
+    ]
     score = lambda c: numeric.z_score(c, F.lit(2.0), F.lit(0.5))
     assert apply(spark, [2.0, 3.0, None], "double", score) == [0.0, 2.0, None]
     assert apply(spark, [9.0], "double", lambda c: numeric.z_score(c, F.lit(2.0), F.lit(0.0))) == [0.0]
     edge = lambda c: numeric.is_outlier(c, F.lit(0.0), F.lit(1.0))
-    assert apply(spark, [3.0, 3.01, -3.01, None], "double", edge) == [False, True, True, False]
+    assert apply(spark, [3.0, 3.01, -3.01, None, NAN], "double", edge) == [False, True, True, False, False]
 
 
 def test_ratio_by_zero_is_null(spark):
