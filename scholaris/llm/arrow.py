@@ -8,7 +8,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The code points that separate words: space and U+0009 to U+000D. bytes.split() without
@@ -19,14 +19,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 _shipped: set[str] = set()
 
 
-def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """mapInArrow, with this library sent to the executors once an application."""
-    context = df.sparkSession.sparkContext
+def ship(spark: SparkSession) -> None:
+    """Send this library to the executors, once an application."""
+    context = spark.sparkContext
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parent.parent
         folder = tempfile.mkdtemp(prefix="library-")
         context.addPyFile(shutil.make_archive(f"{folder}/{root.name}", "zip", root.parent, root.name))
         _shipped.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow, with this library sent to the executors."""
+    ship(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 

@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholaris.llm import quality, simhash
+from scholaris.llm import bytebpe, maxscore, packing, quality, simhash, substring, tokencount, tokenfiles, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,6 +28,45 @@ def op1_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query
+def op4_lazy_transducer(spark: SparkSession, directory: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bytebpe.round_trip(table(spark, directory, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op5_redirect_aliases(spark: SparkSession, directory: str) -> DataFrame:
+    rules = spark.createDataFrame([(r.verdict, r.host, r.path) for r in urlfilter.RULES], "verdict string, host string, path string")
+    return urlfilter.judged(table(spark, directory, "pages"), rules)
+
+
+@query
+def op6_maxscore(spark: SparkSession, directory: str) -> DataFrame:
+    return maxscore.top_k(table(spark, directory, "embeddings"))
+
+
+@query
+def op7_patched_frame_files(spark: SparkSession, directory: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return tokenfiles.round_trip(table(spark, directory, "documents"), path)
+
+
+@query
+def op8_reduced_best_fit(spark: SparkSession, directory: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed_documents(table(spark, directory, "documents"), path)
+
+
 @query
 def op10_compression_bands(spark: SparkSession, directory: str) -> DataFrame:
     return quality.measured(table(spark, directory, "documents"))
+
+
+@query
+def op2_longest_match(spark: SparkSession, directory: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, directory, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op3_count_min_windows(spark: SparkSession, directory: str) -> DataFrame:
+    return substring.removed(table(spark, directory, "documents"))
