@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from scholaris import settings
 from scholaris.operators.quality import union
-from scholaris.operators.ranking import POSITION, dense_key
+from scholaris.operators.ranking import dense_key
 
 C = F.col
 
@@ -22,11 +22,11 @@ def _matches(child: DataFrame, child_column: str, parent: DataFrame, parent_colu
 
 
 def reference_check(
-    child: DataFrame, child_column: str, parent: DataFrame, parent_column: str, name: str, target: str
+    child: DataFrame, child_column: str, parent: DataFrame, parent_column: str, name: str, target: str, label: str = ""
 ) -> DataFrame:
     """Rows and distinct keys of the child that have no parent.
 
-    A null key is an orphaned row but not a key.
+    A null key is an orphaned row but not a key. `label` replaces the child column's name.
     """
     counts = _matches(child, child_column, parent, parent_column).agg(
         F.expr("coalesce(sum(n), 0L) as total_rows"),
@@ -35,7 +35,7 @@ def reference_check(
     )
     return counts.selectExpr(
         f"'{name}' as child",
-        f"'{child_column}' as child_column",
+        f"'{label or child_column}' as child_column",
         f"'{target}' as parent",
         "total_rows",
         "orphan_rows",
@@ -62,10 +62,9 @@ def staging_references(tables: dict[str, DataFrame]) -> list[DataFrame]:
     ]
 
 
-def star_reference(fact_enrollment: DataFrame, dim_student: DataFrame) -> DataFrame:
-    return reference_check(
-        fact_enrollment, "student_key", dim_student, "student_key", "fact_enrollment", "dim_student"
-    )
+def star_reference(fact_enrollment: DataFrame, dim_student: DataFrame, key: str = "student_key") -> DataFrame:
+    """The fact's students against the dimension; rows without surrogate keys go by another `key`."""
+    return reference_check(fact_enrollment, key, dim_student, key, "fact_enrollment", "dim_student", "student_key")
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
@@ -76,14 +75,10 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 def duplicate_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """All rows of a `positioned` frame, flagged as duplicate unless first of their key in `order`.
 
-    Rows are numbered once over the whole table; the lowest number of each key is its
-    first row. Joining on the number keeps a heavily repeated key out of the join.
+    Rows are numbered once over the whole table, so the rows of a key follow each other:
+    a row is a duplicate if the row before has its key. No key is gathered or joined.
     """
-    numbered = dense_key(df, "position", [key, *order])
-    firsts = numbered.groupBy(key).agg(F.min("position").alias("position"))
-    firsts = firsts.select("position", F.lit(True).alias("first"))
-    flagged = numbered.join(firsts, "position", "left")
-    return flagged.select("position", *[c for c in df.columns if c not in POSITION], C("first").isNull().alias("is_duplicate"))
+    return dense_key(df, "position", [key, *order], again="is_duplicate")
 
 
 def null_counts(columns: list[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -115,12 +110,14 @@ def has_rows(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def post_load(fact_enrollment: DataFrame, dim_student: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+def post_load(
+    fact_enrollment: DataFrame, dim_student: DataFrame, tables: dict[str, DataFrame], key: str = "student_key"
+) -> DataFrame:
     """Row-count and reference checks after loading, with the failed count of each."""
     filled = has_rows(fact_enrollment, "fact_enrollment").select(
         "check_name", (C("row_count") == 0).cast("long").alias("failed"), "status"
     )
-    references = union([star_reference(fact_enrollment, dim_student), *staging_references(tables)]).select(
+    references = union([star_reference(fact_enrollment, dim_student, key), *staging_references(tables)]).select(
         F.concat_ws("_", "child", "child_column", F.lit("fk")).alias("check_name"),
         C("orphan_keys").alias("failed"),
         "status",

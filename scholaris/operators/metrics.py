@@ -15,6 +15,8 @@ from scholaris.functions import calendar, grades
 from scholaris.functions.numeric import clip, ratio
 from scholaris.operators import ranking
 from scholaris.operators.joins import join_groups
+from scholaris.operators.reports import known_years
+from scholaris.sources.workspace import stored
 
 C = F.col
 
@@ -31,6 +33,8 @@ def term_retention(enrollments: DataFrame, students: DataFrame) -> DataFrame:
         .filter(C("term").isNotNull())
         .distinct()
     )
+    # Written down: the latest term is looked up in it as well.
+    terms = stored(terms, "terms")
     own_terms = Window.partitionBy("student_id").orderBy("term")
     followed = terms.withColumn("retained", F.lead("term").over(own_terms) == C("term") + 1)
     last = terms.agg(F.max("term")).scalar()
@@ -95,11 +99,8 @@ def cohort_retention(enrollments: DataFrame, students: DataFrame) -> DataFrame:
 
 def gpa_trend(enrollments: DataFrame, students: DataFrame) -> DataFrame:
     """Mean grade point by major and year, and its change from the major's year before."""
-    yearly = (
-        enrollments.join(students.select("student_id", "major"), "student_id")
-        .groupBy("major", C("year").alias("academic_year"))
-        .agg(F.avg("grade_point").alias("gpa"))
-    )
+    years = known_years(enrollments, students)
+    yearly = years.groupBy("major", "academic_year").agg(ratio(F.sum("points"), F.sum("graded")).alias("gpa"))
     previous = F.lag("gpa").over(Window.partitionBy("major").orderBy("academic_year"))
     return yearly.withColumn("previous", previous).select(
         "major",
@@ -212,13 +213,18 @@ def faculty_scores(faculty: DataFrame, grants: DataFrame) -> DataFrame:
 
 def faculty_productivity(faculty: DataFrame, grants: DataFrame, courses: DataFrame) -> DataFrame:
     """Score, percentile among faculty of the same rank, and mean course rating."""
-    scored = faculty_scores(faculty.select("faculty_id", "rank", "department"), grants)
+    everyone = stored(faculty_scores(faculty.select("faculty_id", "rank", "department"), grants), "scores")
+    # Only faculty with a score have a standing: nobody meets anybody on a null.
+    scored = everyone.filter(C("score").isNotNull())
     standing = ranking.percent_rank(scored, "rank", "score", "rank_percentile")
+    ranked = join_groups(scored, standing, ["rank", "score"], "left")
+    others = everyone.filter(C("score").isNull()).withColumn("rank_percentile", F.lit(None).cast("double"))
     ratings = courses.groupBy(C("instructor_id").alias("faculty_id")).agg(
         F.round(F.avg("avg_rating"), 6).alias("mean_rating")
     )
     return (
-        join_groups(scored, standing, ["rank", "score"], "left")
+        ranked.select(*others.columns)
+        .unionByName(others)
         .join(ratings, "faculty_id", "left")
         .select(
             "faculty_id",
@@ -232,10 +238,10 @@ def faculty_productivity(faculty: DataFrame, grants: DataFrame, courses: DataFra
 
 
 def research_roi(grants: DataFrame) -> DataFrame:
-    """Awards, publications and the ratios between them, by department."""
+    """Awards, publications and the ratios between them, by department, from grants that were summed."""
     award, publications = F.sum("award_amount"), F.sum("publication_count")
     return grants.groupBy("department").agg(
-        F.count("*").alias("grants"),
+        F.sum("grants").alias("grants"),
         award.alias("award_amount"),
         publications.alias("publications"),
         F.round(ratio(publications * 100_000, award), 6).alias("publications_per_100k"),

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from scholaris import settings
 from scholaris.functions.numeric import is_outlier, without_nan
+from scholaris.sources.workspace import stored
 
 C = F.col
 
@@ -88,17 +89,13 @@ def _long_form(counts: DataFrame, table: str, entries: list[tuple[str, str, str,
     )
 
 
-def row_checks(
-    df: DataFrame,
-    table: str,
-    as_of: date = settings.AS_OF,
-    nullable: tuple[str, ...] = (),
-    checks: tuple[str, ...] = ("completeness", "validity", "consistency"),
-) -> DataFrame:
-    """Completeness, validity and consistency of a table in a single pass.
+ROW_CHECKS = ("completeness", "validity", "consistency")
 
-    A row is incomplete if any column outside `nullable` is null.
-    """
+
+def _row_aggregates(
+    df: DataFrame, table: str, as_of: date, nullable: tuple[str, ...], checks: tuple[str, ...]
+) -> tuple[list[str], list[tuple[str, str, str, str]]]:
+    """What the checks count in a table, and the rows of the report that the counts go to."""
     aggregates = ["count(*) as total"]
     entries = []
     if "completeness" in checks:
@@ -115,7 +112,46 @@ def row_checks(
         aggregates.append(f"count_if({_any(list(rules.values()))}) as {check}_rows")
         entries += [(check, name, name, name) for name in rules]
         entries.append((check, ALL, " + ".join(rules) or "0L", f"{check}_rows"))
-    return _long_form(without_nan(df).agg(*map(F.expr, aggregates)), table, entries)
+    return aggregates, entries
+
+
+def _screened(df: DataFrame) -> list[str]:
+    """The columns of a table that are screened for outliers."""
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    return [c for c in settings.ANOMALY_COLUMNS if c in numeric]
+
+
+def _moments(df: DataFrame) -> list[Column]:
+    return [
+        F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("deviation")).alias(f"{c}_moments")
+        for c in _screened(df)
+    ]
+
+
+def statistics(
+    df: DataFrame, table: str, as_of: date = settings.AS_OF, nullable: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row, from one pass and written down: all that the row checks and the outliers need of a table."""
+    aggregates, _ = _row_aggregates(df, table, as_of, nullable, ROW_CHECKS)
+    return stored(without_nan(df).agg(*map(F.expr, aggregates), *_moments(df)), "statistics")
+
+
+def row_checks(
+    df: DataFrame,
+    table: str,
+    as_of: date = settings.AS_OF,
+    nullable: tuple[str, ...] = (),
+    checks: tuple[str, ...] = ROW_CHECKS,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """Completeness, validity and consistency of a table in a single pass.
+
+    A row is incomplete if any column outside `nullable` is null. `known` are the table's
+    `statistics`, if there are some already.
+    """
+    aggregates, entries = _row_aggregates(df, table, as_of, nullable, checks)
+    counts = without_nan(df).agg(*map(F.expr, aggregates)) if known is None else known
+    return _long_form(counts, table, entries)
 
 
 def uniqueness(df: DataFrame, table: str, keys: list[str] | None = None) -> DataFrame:
@@ -157,42 +193,45 @@ def completeness_by_column(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def anomalies(df: DataFrame, table: str) -> DataFrame:
+def anomalies(df: DataFrame, table: str, known: DataFrame | None = None) -> DataFrame:
     """Values more than the z-limit away from the mean, per screened numeric column.
 
-    Columns with too few values or no spread are listed with `screened` false.
+    Columns without spread are listed with `screened` false. One pass counts the outliers
+    of all columns against the moments in `known`, the table's `statistics`; without it, a
+    pass over the screened columns comes first.
     """
-    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
-    columns = [c for c in settings.ANOMALY_COLUMNS if c in numeric]
-    df = without_nan(df.select(*columns))
-    parts = []
+    columns = _screened(df)
+    values = without_nan(df.select(*columns))
+    if known is None:
+        known = stored(values.agg(*_moments(df)), "moments")
+    counts, cells = [], []
     for name in columns:
-        moments = df.agg(
-            F.struct(F.count(name).alias("n"), F.avg(name).alias("mean"), F.stddev_samp(name).alias("deviation"))
-        ).scalar()
-        n, mean, deviation = (moments.getField(f) for f in ("n", "mean", "deviation"))
-        screened = F.coalesce((n >= settings.MIN_SAMPLE) & (deviation > 0), F.lit(False))
-        outlier = screened & is_outlier(name, mean, deviation, settings.Z_LIMIT)
-        parts.append(
-            df.agg(F.count(name).alias("checked_values"), F.count_if(outlier).alias("anomalous")).select(
-                F.lit(table).alias("table_name"),
+        # One row that is written down: looking a value up in it costs next to nothing.
+        moments = known.select(f"{name}_moments").scalar()
+        mean, deviation = moments.getField("mean"), moments.getField("deviation")
+        screened = F.coalesce(deviation > 0, F.lit(False))
+        counts.append(F.count_if(screened & is_outlier(name, mean, deviation, settings.Z_LIMIT)).alias(name))
+        cells.append(
+            F.struct(
                 F.lit(name).alias("column_name"),
-                "checked_values",
+                moments.getField("n").alias("checked_values"),
                 screened.alias("screened"),
-                "anomalous",
+                C(name).alias("anomalous"),
             )
         )
-    return union(parts)
+    return values.agg(*counts).select(F.inline(F.array(*cells))).select(F.lit(table).alias("table_name"), "*")
 
 
-def anomalies_of(tables: dict[str, DataFrame]) -> DataFrame:
-    numeric = {
-        name: [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-        for name, df in tables.items()
-    }
-    return union(
-        [anomalies(df, name) for name, df in tables.items() if set(numeric[name]) & set(settings.ANOMALY_COLUMNS)]
-    )
+def anomalies_of(tables: dict[str, DataFrame], known: dict[str, DataFrame] | None = None) -> DataFrame:
+    return union([anomalies(df, name, (known or {}).get(name)) for name, df in tables.items() if _screened(df)])
+
+
+def scored(tables: dict[str, DataFrame], as_of: date = settings.AS_OF) -> DataFrame:
+    """The scorecard of all tables: a pass for the rules and moments, one for the keys, one for the outliers."""
+    known = {name: statistics(df, name, as_of) for name, df in tables.items()}
+    checks = [row_checks(df, name, as_of, known=known[name]) for name, df in tables.items()]
+    unique = [uniqueness(df, name) for name, df in tables.items()]
+    return scorecard(union([*checks, *unique]), anomalies_of(tables, known))
 
 
 def scorecard(checks: DataFrame, outliers: DataFrame) -> DataFrame:

@@ -32,9 +32,12 @@ def position_columns(df: DataFrame) -> list[str]:
     return [c for c in POSITION if c in df.columns]
 
 
-def dense_key(df: DataFrame, name: str, order: list[str]) -> DataFrame:
+def dense_key(df: DataFrame, name: str, order: list[str], again: str | None = None) -> DataFrame:
     """Number the rows 1..n in `order`, nulls first, as the first column.
 
+    `again` names a last column, true where the row before has the same first column of
+    `order`: rows of one key stand together, so that is every row but the key's first.
+
     Rows equal on all of `order` follow their position if the frame is `positioned`, so
     even a large group of identical rows spreads over many tasks; leave that out only
     where `order` is unique. One range shuffle and one write; no task sees more than
@@ -51,14 +54,22 @@ def dense_key(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     part = F.shiftright("__place", _ROW_BITS)
     row = F.col("__place").bitwiseAND((1 << _ROW_BITS) - 1)
     # One row per range partition, however large the table is.
-    sizes = ordered.groupBy(part.alias("__part")).agg(F.count("*").alias("__size"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
-    return (
-        ordered.withColumn("__part", part)
-        .join(F.broadcast(starts), "__part")
-        .select((F.col("__start") + row + 1).alias(name), *columns)
-    )
+    # Wrapped, so that a null key is something to compare with and no row is nothing.
+    key = F.struct(F.col(order[0]).alias("key"))
+    lasts = [F.max_by(key, "__place").alias("__last")] if again else []
+    sizes = ordered.groupBy(part.alias("__part")).agg(F.count("*").alias("__size"), *lasts)
+    in_order = Window.orderBy("__part")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    starts = [F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start")]
+    if again:
+        starts.append(F.lag("__last").over(in_order).alias("__last"))
+    numbered = ordered.withColumn("__part", part).join(F.broadcast(sizes.select("__part", *starts)), "__part")
+    flags = []
+    if again:
+        # The row before in the same range, or the last of the range before.
+        previous = F.lag(key).over(Window.partitionBy("__part").orderBy("__place"))
+        flags = [F.coalesce(key == F.coalesce(previous, F.col("__last")), F.lit(False)).alias(again)]
+    return numbered.select((F.col("__start") + row + 1).alias(name), *columns, *flags)
 
 
 def running_total(df: DataFrame, group: str, order: str, weight: str, name: str, total: str) -> DataFrame:
@@ -97,7 +108,7 @@ def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def percentiles(df: DataFrame, group: str, value: str, percents: list[float], exact: bool = True) -> DataFrame:
-    """Percentiles per group as columns p<percent>, with linear interpolation.
+    """Percentiles per group as columns p<percent>, with linear interpolation; 0 without values.
 
     Exact results come from value counts and their running totals: each percentile
     reads the one or two values whose counts cover its rank. `exact=False` uses a
@@ -106,9 +117,14 @@ def percentiles(df: DataFrame, group: str, value: str, percents: list[float], ex
     names = [f"p{p:g}" for p in percents]
     if not exact:
         return df.groupBy(group).agg(
-            *[F.percentile_approx(value, p / 100.0, 10_000).cast("double").alias(n) for n, p in zip(names, percents)]
+            *[
+                F.coalesce(F.percentile_approx(value, p / 100.0, 10_000).cast("double"), F.lit(0.0)).alias(n)
+                for n, p in zip(names, percents)
+            ]
         )
-    ranked = running_total(value_counts(df, group, value), group, value, "n", "__upto", "__size")
+    # Null is a value that counts nothing, so that a group of only nulls stays a group.
+    counts = df.groupBy(group, value).agg(F.count(value).alias("n"))
+    ranked = running_total(counts, group, value, "n", "__upto", "__size")
 
     def at(rank: Column) -> Column:
         covers = (F.col("__upto") > rank) & (F.col("__upto") - F.col("n") <= rank)
@@ -119,7 +135,7 @@ def percentiles(df: DataFrame, group: str, value: str, percents: list[float], ex
         spot = F.lit(p / 100.0) * (F.col("__size") - 1)
         low, high = at(F.floor(spot)), at(F.ceil(spot))
         share = F.max(spot - F.floor(spot))
-        result.append((low + (high - low) * share).alias(name))
+        result.append(F.coalesce(low + (high - low) * share, F.lit(0.0)).alias(name))
     return ranked.groupBy(group).agg(*result)
 
 

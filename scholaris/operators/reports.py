@@ -23,9 +23,28 @@ def enrollment_summary(rows: DataFrame) -> DataFrame:
     )
 
 
-def enrollment_by_major_year(fact_enrollment: DataFrame, dim_student: DataFrame) -> DataFrame:
-    joined = dim_student.select("student_key", "major").join(fact_enrollment, "student_key")
-    counts = joined.groupBy("major", "academic_year").agg(F.count("student_key").alias("total_students"))
+def known_years(enrollments: DataFrame, students: DataFrame) -> DataFrame:
+    """Enrollments and grade points of known students, summed by student and year, with the major.
+
+    Summing comes before the join: a student with a third of all rows is one row a year there.
+    """
+    yearly = (
+        enrollments.filter(C("student_id").isNotNull())
+        .groupBy("student_id", C("year").alias("academic_year"))
+        .agg(_count("enrollments"), F.count("grade_point").alias("graded"), F.sum("grade_point").alias("points"))
+    )
+    return yearly.join(students.select("student_id", "major"), "student_id")
+
+
+def summary_of_years(years: DataFrame) -> DataFrame:
+    """`enrollment_summary` from the rows of `known_years`."""
+    return years.groupBy("major", "academic_year").agg(
+        F.sum("enrollments").alias("total_enrollments"), F.round(ratio(F.sum("points"), F.sum("graded")), 6).alias("avg_gpa")
+    )
+
+
+def enrollment_by_major_year(years: DataFrame) -> DataFrame:
+    counts = years.groupBy("major", "academic_year").agg(F.sum("enrollments").alias("total_students"))
     return counts.orderBy(C("total_students").desc(), "major", "academic_year")
 
 
@@ -42,13 +61,14 @@ def avg_gpa_by_major(students: DataFrame) -> DataFrame:
     return by_major.unionByName(overall)
 
 
-def enrollment_by_year(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("academic_year").agg(_count("enrollments"))
+def enrollment_by_year(years: DataFrame) -> DataFrame:
+    return years.groupBy("academic_year").agg(F.sum("enrollments").alias("enrollments"))
 
 
 def students_by_major_share(students: DataFrame) -> DataFrame:
-    total = students.agg(F.count("*")).scalar()
-    return students.groupBy("major").agg(_count("students")).withColumn("share", F.round(ratio("students", total), 6))
+    """Students per major and their share; the table is read once, the counts are added up."""
+    counts = stored(students.groupBy("major").agg(_count("students")), "majors")
+    return counts.withColumn("share", F.round(ratio("students", counts.agg(F.sum("students")).scalar()), 6))
 
 
 def demographics(students: DataFrame) -> DataFrame:
@@ -66,18 +86,30 @@ def invalid_gpa_rows(students: DataFrame) -> DataFrame:
     return students.filter((C("gpa") < 0.0) | (C("gpa") > 4.0)).select("student_id", "major", "gpa")
 
 
-def grants_with_department(fact_research_grant: DataFrame, dim_faculty: DataFrame) -> DataFrame:
-    """Each grant with its investigator's department."""
-    faculty = dim_faculty.select(C("faculty_key").alias("pi_key"), "department")
-    return fact_research_grant.join(faculty, "pi_key")
-
-
 def staged_grants_with_department(grants: DataFrame, faculty: DataFrame) -> DataFrame:
-    """The same from staging, which also knows agency and dates."""
+    """Each grant with its investigator's department."""
     people = faculty.select(C("faculty_id").alias("pi_id"), "department")
     return grants.drop("department").join(people, "pi_id")
 
 
+def grant_sums_with_department(grants: DataFrame, faculty: DataFrame) -> DataFrame:
+    """Grants, awards and publications by investigator and agency, with the department.
+
+    For reports that only add up: summing before the join leaves one row an investigator
+    and agency, however many grants they hold.
+    """
+    sums = (
+        grants.filter(C("pi_id").isNotNull())
+        .groupBy("pi_id", "funding_agency")
+        .agg(
+            _count("grants"),
+            F.sum("award_amount").alias("award_amount"),
+            F.sum("publication_count").alias("publication_count"),
+        )
+    )
+    return sums.join(faculty.select(C("faculty_id").alias("pi_id"), "department"), "pi_id")
+
+
 def cost_per_publication(grants: DataFrame) -> DataFrame:
     """Award per publication by department, cheapest first; null without publications."""
     sums = grants.groupBy("department").agg(
@@ -93,9 +125,9 @@ def research_totals(grants: DataFrame) -> DataFrame:
 
 
 def award_by_department(grants: DataFrame) -> DataFrame:
-    total = grants.agg(F.sum("award_amount")).scalar()
-    sums = grants.groupBy("department").agg(F.sum("award_amount").alias("award_amount"))
-    return sums.withColumn("share", F.round(ratio("award_amount", total), 6))
+    """Award per department and its share of the total, which the departments' sums add up to."""
+    sums = stored(grants.groupBy("department").agg(F.sum("award_amount").alias("award_amount")), "awards")
+    return sums.withColumn("share", F.round(ratio("award_amount", sums.agg(F.sum("award_amount")).scalar()), 6))
 
 
 def award_publication_corr(grants: DataFrame) -> DataFrame:

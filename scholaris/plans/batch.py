@@ -1,8 +1,10 @@
 """The batch run: extract, validate, load, transform, check, and a log of it all.
 
-Each phase reads what the phase before it wrote, so wide work is done once and a lost
-executor costs a re-read. Phases are logged as rows; an error ends the run and is raised
-after the log has been written.
+Everything is built beside the layers in use, in a folder of the run: the layers are
+replaced at the end, once all checks have had their say, so a run that stops or breaks
+leaves the last good ones as they were. Each phase reads what the phase before it wrote,
+so wide work is done once and a lost executor costs a re-read. Phases are logged as rows;
+an error ends the run and is raised after the log has been written.
 """
 
 from collections.abc import Callable
@@ -15,28 +17,40 @@ from scholaris import settings
 from scholaris.operators import integrity, quality, reports, star, views
 from scholaris.operators.ranking import positioned
 from scholaris.sources import files
-from scholaris.sources.workspace import intermediate_tables
+from scholaris.sources.workspace import intermediate_tables, replace_folder
 
 C = F.col
-LOG_SCHEMA = "run_id string, phase string, status string, tables long, rows long, detail map<string,long>, logged_at timestamp"
+LOG_SCHEMA = (
+    "run_id string, step int, phase string, status string, tables long, rows long, "
+    "detail map<string,long>, error string, logged_at timestamp"
+)
+LAYERS = ("staging", "analytics", "compliance")
 
 
 class RunLog:
     """Phases of one run, in order."""
 
     def __init__(self, spark: SparkSession, run_id: str):
-        self.spark, self.run_id, self.entries = spark, run_id, []
+        self.spark, self.run_id, self.entries, self.phase = spark, run_id, [], "extract"
 
-    def add(self, phase: str, status: str, detail: dict[str, int] | None = None) -> None:
+    def add(self, phase: str, status: str, detail: dict[str, int] | None = None, error: str | None = None) -> None:
         detail = detail or {}
         now = datetime.now(timezone.utc)
-        self.entries.append((self.run_id, phase, status, len(detail), sum(detail.values()), detail, now))
+        step = len(self.entries) + 1
+        self.entries.append((self.run_id, step, phase, status, len(detail), sum(detail.values()), detail, error, now))
 
-    def frame(self) -> DataFrame:
-        return self.spark.createDataFrame(self.entries, LOG_SCHEMA)
+    @property
+    def failed(self) -> list[str]:
+        return [e[2] for e in self.entries if e[3] == "FAIL"]
 
     def write(self, path: str) -> None:
-        self.frame().write.mode("append").json(path)
+        self.spark.createDataFrame(self.entries, LOG_SCHEMA).coalesce(1).write.mode("append").json(path)
+
+    def read(self, path: str) -> DataFrame:
+        """The run's rows as they were written, and none of an earlier run of the same name."""
+        rows = self.spark.read.schema(LOG_SCHEMA).json(path).where(C("run_id") == self.run_id)
+        started = self.entries[0][-1].replace(microsecond=0)  # JSON keeps milliseconds
+        return rows.where(C("logged_at") >= F.lit(started)).orderBy("step")
 
 
 class QualityGateError(RuntimeError):
@@ -57,6 +71,26 @@ def quality_log(checks: DataFrame, run_id: str) -> DataFrame:
     return checks.withColumn("run_id", F.lit(run_id)).withColumn("logged_at", F.current_timestamp())
 
 
+def retained(tables: dict[str, DataFrame], as_of: date) -> dict[str, DataFrame]:
+    """The tables without records older than their kind is kept; records without the date stay."""
+    kept = dict(tables)
+    for name, (kind, column) in settings.RECORD_DATES.items():
+        if name in kept:
+            moment = F.lit(as_of).cast("timestamp")
+            kept[name] = files.kept(kept[name], column, moment, settings.RETENTION_DAYS[kind])
+    return kept
+
+
+def purge_logs(spark: SparkSession, directory: str, as_of: datetime) -> None:
+    """Delete log rows older than logs are kept."""
+    path, moment = f"{directory}/logs/runs", F.lit(as_of).cast("timestamp")
+    rows = spark.read.schema(LOG_SCHEMA).json(path)
+    left = files.kept(rows, "logged_at", moment, settings.RETENTION_DAYS["pipeline_logs"])
+    # Written beside the log and put in its place: rows are not read while they are replaced.
+    left.write.mode("overwrite").json(f"{path}-kept")
+    replace_folder(spark, f"{path}-kept", path)
+
+
 def run(
     spark: SparkSession,
     tables: dict[str, DataFrame],
@@ -66,52 +100,92 @@ def run(
     as_of: date = settings.AS_OF,
     on_fail: str = "warn",
     nullable: tuple[str, ...] = (),
+    load_only: bool = False,
+    retain: bool = False,
 ) -> DataFrame:
-    """Run all phases over the source tables into `directory`; returns the run log.
-
-    Failed checks are logged; with `on_fail` "warn" the run goes on, with "stop" it ends
-    before the star schema is touched. Layers are directories: staging, analytics,
-    compliance and logs. The salt is never logged.
+    """Run all phases over the source tables into `directory`; returns the run log as written.
+
+    Empty sources and failed checks, before or after the star schema is built, are logged:
+    with `on_fail` "warn" the run goes on and ends with WARN, with "stop" it ends with FAIL
+    and leaves the layers of the last run as they are; so does any error, which is logged
+    with its phase. Layers are directories: staging, analytics and compliance, and logs
+    beside them. `load_only` ends after loading. `retain` leaves records out that are
+    older than their kind is kept. The salt is never logged.
     """
     if on_fail not in ("warn", "stop"):
         raise ValueError("on_fail is 'warn' or 'stop'")
-    log = RunLog(spark, run_id)
+    log, logs, error = RunLog(spark, run_id), f"{directory}/logs/runs", None
     try:
         with intermediate_tables(spark):
-            _phases(log, tables, directory, salt, as_of, on_fail, nullable)
-        log.add("end", "PASS")
-    except Exception:
-        log.add("end", "FAIL")
-        raise
-    finally:
-        log.write(f"{directory}/logs/runs")
-    return log.frame()
-
-
-def _phases(log, tables, directory, salt, as_of, on_fail, nullable) -> None:
-    loaded = files.load_staging(tables, f"{directory}/staging")
-    staged = {name: df.drop("load_timestamp") for name, df in loaded.items()}
+            _phases(log, retained(tables, as_of) if retain else tables, directory, salt, as_of, on_fail, nullable, load_only)
+        log.add("end", "WARN" if log.failed else "PASS")
+    except Exception as caught:
+        error = caught
+        if not isinstance(caught, QualityGateError):
+            log.add(log.phase, "FAIL", error=f"{type(caught).__name__}: {str(caught)[:500]}")
+        log.add("end", "FAIL", error=f"{log.phase} failed")
+    try:
+        log.write(logs)
+    except Exception as unwritten:
+        if error is None:
+            raise
+        error.add_note(f"the run log could not be written: {unwritten}")
+    if error is not None:
+        raise error
+    return log.read(logs)
+
+
+def _phases(log, tables, directory, salt, as_of, on_fail, nullable, load_only) -> None:
+    building = f"{directory}/building/{log.run_id}"
+
+    def verdict(phase: str, failed: list[str], detail: dict[str, int]) -> None:
+        reason = ", ".join(sorted(failed))
+        log.add(phase, "FAIL" if failed else "PASS", detail, f"failed: {reason}" if failed else None)
+        if failed and on_fail == "stop":
+            raise QualityGateError(f"{phase} failed: {reason}")
+
+    # Sources are written down once; nothing reads them again.
+    landed = files.load_staging(tables, f"{building}/staging")
+    staged = {name: df.drop("load_timestamp") for name, df in landed.items()}
     counts = _counts(staged)
-    log.add("extract", "PASS" if all(counts.values()) else "FAIL", counts)
-    log.add("load", "PASS", counts)
+    verdict("extract", [name for name, n in counts.items() if not n], counts)
 
+    log.phase = "validate"
     checks = _saved(
         quality_log(quality.report(staged, as_of, nullable), log.run_id),
         f"{directory}/logs/quality/run_id={log.run_id}",
     )
-    gate = {r["table_name"]: r for r in quality.gate(checks).collect()}
-    failed = [name for name, r in gate.items() if r["status"] == "FAIL"]
-    log.add("validate", "FAIL" if failed else "PASS", {n: r["passed"] for n, r in gate.items() if n != quality.ALL})
-    if failed and on_fail == "stop":
-        raise QualityGateError("checks failed: " + ", ".join(sorted(failed)))
-
-    built = transform(staged, f"{directory}/analytics")
-    publish(built, staged, f"{directory}/compliance", salt)
+    gate = {r["table_name"]: r for r in quality.gate(checks).collect() if r["table_name"] != quality.ALL}
+    verdict("validate", [n for n, r in gate.items() if r["status"] == "FAIL"], {n: r["passed"] for n, r in gate.items()})
+
+    if load_only:
+        log.phase = "load"
+        _promote(log, building, directory, ("staging",))
+        log.add("load", "PASS", counts)
+        return
+
+    log.phase = "transform"
+    built = transform(staged, f"{building}/analytics")
+    publish(built, staged, f"{building}/compliance", salt)
     log.add("transform", "PASS", _counts(built))
+    lineage = quality_log(stage_lineage(star_sources(staged, built)), log.run_id)
+    lineage.write.mode("overwrite").parquet(f"{directory}/logs/lineage/run_id={log.run_id}")
+
+    log.phase = "post_check"
+    post = integrity.post_load(built["fact_enrollment"], built["dim_student"], staged)
+    post = _saved(quality_log(post, log.run_id), f"{directory}/logs/post_load/run_id={log.run_id}")
+    failed = {r["check_name"]: r for r in post.filter(C("status") != "PASS").collect()}
+    passed = integrity.pass_counts(post).first()
+    verdict("post_check", list(failed), {"checks": passed["checks"], "passed": passed["passed"]})
+
+    log.phase = "load"
+    _promote(log, building, directory, LAYERS)
+    log.add("load", "PASS", counts)
 
-    post = {r["check_name"]: r for r in integrity.post_load(built["fact_enrollment"], built["dim_student"], staged).collect()}
-    passed = all(r["status"] == "PASS" for r in post.values())
-    log.add("post_check", "PASS" if passed else "FAIL", {n: r["failed"] for n, r in post.items()})
+
+def _promote(log: RunLog, building: str, directory: str, layers: tuple[str, ...]) -> None:
+    for layer in layers:
+        replace_folder(log.spark, f"{building}/{layer}", f"{directory}/{layer}")
 
 
 def transform(staged: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:
@@ -145,38 +219,45 @@ def transform(staged: dict[str, DataFrame], directory: str) -> dict[str, DataFra
 
 def publish(built: dict[str, DataFrame], staged: dict[str, DataFrame], directory: str, salt: str) -> None:
     """Save the governed outputs and the summary that dashboards read."""
-    safe = _saved(
-        views.student_enrollment_safe(built["fact_enrollment"], built["dim_student"], salt),
-        f"{directory}/student_enrollment_safe",
-    )
+    rows = views.fact_rows(built["fact_enrollment"], built["dim_student"])
+    safe = _saved(views.student_enrollment_safe(rows, salt), f"{directory}/student_enrollment_safe")
     _saved(reports.enrollment_summary(safe), f"{directory}/enrollment_summary")
-    _saved(
-        views.faculty_research_safe(built["fact_research_grant"], built["dim_faculty"]),
-        f"{directory}/faculty_research_safe",
-    )
+    sums = views.fact_grant_sums(built["fact_research_grant"], built["dim_faculty"])
+    _saved(views.faculty_research_safe(sums), f"{directory}/faculty_research_safe")
     _saved(views.student_masked(staged["students"], salt), f"{directory}/student_masked")
     _saved(views.faculty_masked(staged["faculty"], salt), f"{directory}/faculty_masked")
 
 
-def stage_lineage(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows in, out and dropped of each star table's main input."""
+# (star table, its rows, the source they come from, the source's rows)
+Flow = tuple[str, DataFrame, str, DataFrame]
+
+
+def star_sources(staged: dict[str, DataFrame], built: dict[str, DataFrame]) -> list[Flow]:
+    """The star tables that take their rows from one source each."""
+    pairs = {
+        "dim_student": "students",
+        "dim_faculty": "faculty",
+        "dim_course": "courses",
+        "fact_enrollment": "enrollments",
+        "fact_research_grant": "grants",
+    }
+    return [(target, built[target], source, staged[source]) for target, source in pairs.items()]
 
-    def copying(target: str, source: str) -> DataFrame:
-        count = tables[source].agg(F.count("*").alias("rows_in"))
-        return count.withColumns({"rows_out": C("rows_in"), "rows_dropped": F.lit(0).cast("long")}).select(
-            F.lit(target).alias("target"), F.lit(source).alias("source"), "*"
+
+def stage_lineage(flows: list[Flow]) -> DataFrame:
+    """Rows in the source, rows in the target, both counted, and the difference."""
+
+    def flow(target: str, rows: DataFrame, source: str, source_rows: DataFrame) -> DataFrame:
+        both = source_rows.agg(F.count("*").alias("rows_in"), F.lit(0).cast("long").alias("rows_out")).unionByName(
+            rows.agg(F.lit(0).cast("long").alias("rows_in"), F.count("*").alias("rows_out"))
+        )
+        counts = both.agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"))
+        return counts.select(
+            F.lit(target).alias("target"),
+            F.lit(source).alias("source"),
+            "rows_in",
+            "rows_out",
+            (C("rows_in") - C("rows_out")).alias("rows_dropped"),
         )
 
-    def joining(target: str, source: str, key: str, parent: str, parent_key: str) -> DataFrame:
-        flow = integrity.join_flow(tables[source], key, tables[parent], parent_key)
-        return flow.select(F.lit(target).alias("target"), F.lit(source).alias("source"), "*")
-
-    return quality.union(
-        [
-            copying("dim_student", "students"),
-            copying("dim_faculty", "faculty"),
-            copying("dim_course", "courses"),
-            joining("fact_enrollment", "enrollments", "student_id", "students", "student_id"),
-            joining("fact_research_grant", "grants", "pi_id", "faculty", "faculty_id"),
-        ]
-    )
+    return quality.union([flow(*f) for f in flows])

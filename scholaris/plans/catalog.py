@@ -45,8 +45,12 @@ class Tables(StagingTables):
         return star.fact_research_grant(self.positioned("grants"), self.dim_faculty)
 
     @cached_property
-    def grants_by_department(self) -> DataFrame:
-        return reports.grants_with_department(self.fact_research_grant, self.dim_faculty)
+    def known_years(self) -> DataFrame:
+        return reports.known_years(self.enrollments, self.students)
+
+    @cached_property
+    def grant_sums(self) -> DataFrame:
+        return reports.grant_sums_with_department(self.grants, self.faculty)
 
     @cached_property
     def staged_grants_by_department(self) -> DataFrame:
@@ -60,7 +64,7 @@ class Tables(StagingTables):
         return LandedTables(self.spark, self.directory)
 
     def safe_rows(self) -> DataFrame:
-        return views.student_enrollment_safe(self.fact_enrollment, self.dim_student, EXAMPLE_SALT)
+        return views.student_enrollment_safe(self.known_enrollments, EXAMPLE_SALT)
 
 
 class LandedTables(Tables):

@@ -132,7 +132,7 @@ def faculty_productivity(t: Tables):
        from staged_grants_by_department group by department""",
 )
 def research_roi(t: Tables):
-    return metrics.research_roi(t.staged_grants_by_department)
+    return metrics.research_roi(t.grant_sums)
 
 
 @query(

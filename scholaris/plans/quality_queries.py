@@ -5,42 +5,43 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from scholaris import settings
-from scholaris.operators import integrity, quality
+from scholaris.operators import integrity, quality, reports
 from scholaris.plans.catalog import Tables, query
 from scholaris.schemas import STAGING
 
 C = F.col
 STAGING_NAMES = list(STAGING)
 
-# What each rule counts, as SQL conditions.
-_BROKEN = {
+# What each rule demands of a row. The oracle counts rows that do not meet it; a null meets
+# every rule but the one on course credits.
+_VALID = {
     ("students", "validity"): {
-        "invalid_gpa": "gpa < 0.0 or gpa > 4.0",
-        "invalid_cohort_year": "cohort_year < 2000 or cohort_year > 2027",
-        "invalid_date_logic": "date_graduated < date_enrolled",
+        "invalid_gpa": "gpa between 0 and 4",
+        "invalid_cohort_year": "cohort_year between 2000 and year(date '2026-07-16') + 1",
+        "invalid_date_logic": "date_diff('day', date_enrolled, date_graduated) >= 0",
     },
     ("faculty", "validity"): {
-        "invalid_salary": "salary <= 0",
-        "hire_date_in_future": "hire_date > date '2026-07-16'",
+        "invalid_salary": "sign(salary) = 1",
+        "hire_date_in_future": "date_diff('day', hire_date, date '2026-07-16') >= 0",
     },
     ("grants", "validity"): {
-        "invalid_award_amount": "award_amount <= 0",
-        "invalid_date_range": "end_date < start_date",
+        "invalid_award_amount": "sign(award_amount) = 1",
+        "invalid_date_range": "date_diff('day', start_date, end_date) >= 0",
     },
     ("courses", "validity"): {
-        "invalid_credits": "credits is null or credits not in (1, 2, 3, 4)",
-        "invalid_pass_rate": "pass_rate < 0 or pass_rate > 1",
-        "invalid_rating": "avg_rating < 1 or avg_rating > 5",
+        "invalid_credits": "coalesce(credits between 1 and 4, false)",
+        "invalid_pass_rate": "pass_rate between 0 and 1",
+        "invalid_rating": "avg_rating between 1 and 5",
     },
     ("enrollments", "validity"): {
-        "invalid_grade_point": "grade_point < 0 or grade_point > 4",
-        "invalid_credits_earned": "credits_earned < 0",
+        "invalid_grade_point": "grade_point between 0 and 4",
+        "invalid_credits_earned": "sign(credits_earned) >= 0",
     },
     ("students", "consistency"): {
-        "active_no_credits": "enrollment_status = 'Active' and credits_completed = 0",
-        "graduated_insufficient_credits": "enrollment_status = 'Graduated' and credits_completed < 120",
+        "active_no_credits": "enrollment_status <> 'Active' or credits_completed <> 0",
+        "graduated_insufficient_credits": "enrollment_status <> 'Graduated' or credits_completed >= 120",
     },
-    ("enrollments", "consistency"): {"f_grade_with_credits": "grade = 'F' and credits_earned > 0"},
+    ("enrollments", "consistency"): {"f_grade_with_credits": "grade <> 'F' or credits_earned <= 0"},
 }
 
 
@@ -51,7 +52,7 @@ def _row(table, check, rule, failed, affected):
 
 
 def _rule_rows(table, check):
-    rules = _BROKEN.get((table, check), {})
+    rules = {name: f"not ({valid})" for name, valid in _VALID.get((table, check), {}).items()}
     each = {name: f"count(*) filter (where {broken})" for name, broken in rules.items()}
     anyof = " or ".join(f"({broken})" for broken in rules.values()) or "false"
     total = " + ".join(each.values()) or "0"
@@ -83,7 +84,7 @@ def _report(rows):
 _COMPLETENESS = _report([_completeness_row(n) for n in STAGING_NAMES])
 _UNIQUENESS = _report([_uniqueness_row(n) for n in STAGING_NAMES])
 _CONSISTENCY = _report([r for n in STAGING_NAMES for r in _rule_rows(n, "consistency")])
-_CHECKS = _report(
+CHECKS = _report(
     [
         row
         for n in STAGING_NAMES
@@ -132,7 +133,7 @@ def consistency_by_table(t: Tables):
     return quality.union([quality.row_checks(df, n, checks=("consistency",)) for n, df in t.all().items()])
 
 
-@query("quality_checks", _CHECKS)
+@query("quality_checks", CHECKS)
 def quality_checks(t: Tables):
     return t.landed().checks
 
@@ -146,8 +147,8 @@ _SCREENED = {
 }
 _ANOMALIES = " union all ".join(
     f"""select '{n}' as table_name, '{c}' as column_name, any_value(n) as checked_values,
-               any_value(n >= 10 and deviation > 0) as screened,
-               count(*) filter (where n >= 10 and deviation > 0 and abs(({c} - mean) / deviation) > 3) as anomalous
+               coalesce(any_value(deviation > 0), false) as screened,
+               count(*) filter (where deviation > 0 and abs(({c} - mean) / deviation) > 3) as anomalous
         from {n}, (select count({c}) as n, avg({c}) as mean, stddev_samp({c}) as deviation from {n}) s"""
     for n, c in _SCREENED.items()
 )
@@ -155,7 +156,7 @@ _ANOMALIES = " union all ".join(
 
 @query("anomalies_by_column", _ANOMALIES)
 def anomalies_by_column(t: Tables):
-    return quality.anomalies_of(t.all())
+    return quality.anomalies_of(t.landed().all())
 
 
 _SCORECARD = f"""
@@ -167,14 +168,13 @@ from (select table_name, max(total) as row_count,
              max(rate) filter (where check_name = 'uniqueness') as uniqueness,
              max(rate) filter (where check_name = 'validity') as validity,
              max(rate) filter (where check_name = 'consistency') as consistency
-      from ({_CHECKS}) c where rule = 'all' group by table_name) t
+      from ({CHECKS}) c where rule = 'all' group by table_name) t
 join (select table_name, sum(anomalous) > 0 as anomalies_detected from ({_ANOMALIES}) a group by table_name) b
   using (table_name)"""
 
 
 def _scorecard(t: Tables):
-    t = t.landed()
-    return quality.scorecard(t.checks, quality.anomalies_of(t.all()))
+    return quality.scored(t.landed().all())
 
 
 @query("quality_scorecard", _SCORECARD)
@@ -190,13 +190,14 @@ def quality_alerts(t: Tables):
     return quality.alerts(_scorecard(t))
 
 
-@query(
-    "quality_gate",
-    f"""select table_name, checks, passed, case when passed = checks then 'PASS' else 'FAIL' end as status
-        from (select coalesce(table_name, 'all') as table_name, count(*) as checks,
-                     count(*) filter (where status = 'PASS') as passed
-              from ({_CHECKS}) c where rule = 'all' group by rollup(table_name)) g""",
-)
+GATE = f"""
+select table_name, checks, passed, case when passed = checks then 'PASS' else 'FAIL' end as status
+from (select coalesce(table_name, 'all') as table_name, count(*) as checks,
+             count(*) filter (where status = 'PASS') as passed
+      from ({CHECKS}) c where rule = 'all' group by rollup(table_name)) g"""
+
+
+@query("quality_gate", GATE)
 def quality_gate(t: Tables):
     return quality.gate(t.landed().checks)
 
@@ -213,8 +214,8 @@ def quality_gate(t: Tables):
 def null_key_counts(t: Tables):
     return integrity.null_counts(
         [
-            (t.dim_student, "dim_student", "student_id"),
-            (t.fact_enrollment, "fact_enrollment", "student_key"),
+            (t.students, "dim_student", "student_id"),
+            (t.known_enrollments.withColumnRenamed("student_id", "student_key"), "fact_enrollment", "student_key"),
             (t.enrollments, "enrollments", "student_id"),
         ]
     )
@@ -241,7 +242,7 @@ def duplicate_student_keys(t: Tables):
     "select count(*) as invalid_gpa_records from dim_student where gpa < 0.0 or gpa > 4.0",
 )
 def invalid_gpa_count(t: Tables):
-    return t.dim_student.filter((C("gpa") < 0.0) | (C("gpa") > 4.0)).agg(F.count("*").alias("invalid_gpa_records"))
+    return reports.invalid_gpa_rows(t.students).agg(F.count("*").alias("invalid_gpa_records"))
 
 
 _REFERENCES = [
@@ -266,7 +267,7 @@ def _references(pairs):
 @query("referential_integrity", _references(_REFERENCES))
 def referential_integrity(t: Tables):
     t = t.landed()
-    return quality.union([integrity.star_reference(t.fact_enrollment, t.dim_student), *integrity.staging_references(t.all())])
+    return quality.union([_star_reference(t), *integrity.staging_references(t.all())])
 
 
 @query(
@@ -287,7 +288,12 @@ def orphan_keys(t: Tables):
 
 def _enrollment_orphans(t: Tables):
     staged = integrity.reference_check(t.enrollments, "student_id", t.students, "student_id", "enrollments", "students")
-    return quality.union([integrity.star_reference(t.fact_enrollment, t.dim_student), staged])
+    return quality.union([_star_reference(t), staged])
+
+
+def _star_reference(t: Tables):
+    """The fact's rows before they get surrogate keys; a run checks the fact that it has built."""
+    return integrity.star_reference(t.known_enrollments, t.students, "student_id")
 
 
 @query(
@@ -296,19 +302,20 @@ def _enrollment_orphans(t: Tables):
               case when count(*) > 0 then 'PASS' else 'FAIL' end as status from fact_enrollment""",
 )
 def fact_has_rows(t: Tables):
-    return integrity.has_rows(t.fact_enrollment, "fact_enrollment")
+    return integrity.has_rows(t.known_enrollments, "fact_enrollment")
 
 
-@query(
-    "post_load_validation",
-    f"""select 'fact_enrollment_has_rows' as check_name, cast(count(*) = 0 as bigint) as failed,
-               case when count(*) > 0 then 'PASS' else 'FAIL' end as status from fact_enrollment
-        union all
-        select child || '_' || child_column || '_fk', orphan_keys, status from ({_references(_REFERENCES)}) r""",
-)
+POST_LOAD = f"""
+select 'fact_enrollment_has_rows' as check_name, cast(count(*) = 0 as bigint) as failed,
+       case when count(*) > 0 then 'PASS' else 'FAIL' end as status from fact_enrollment
+union all
+select child || '_' || child_column || '_fk', orphan_keys, status from ({_references(_REFERENCES)}) r"""
+
+
+@query("post_load_validation", POST_LOAD)
 def post_load_validation(t: Tables):
     t = t.landed()
-    return integrity.post_load(t.fact_enrollment, t.dim_student, t.all())
+    return integrity.post_load(t.known_enrollments, t.students, t.all(), "student_id")
 
 
 @query(

@@ -13,7 +13,7 @@ AGENCIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
        from dim_student join fact_enrollment using (student_key) group by 1, 2 order by 3 desc""",
 )
 def enrollment_by_major_year(t: Tables):
-    return reports.enrollment_by_major_year(t.fact_enrollment, t.dim_student)
+    return reports.enrollment_by_major_year(t.known_years)
 
 
 @query(
@@ -22,7 +22,7 @@ def enrollment_by_major_year(t: Tables):
        from grants_by_department group by 1 order by 2 nulls first""",
 )
 def cost_per_publication(t: Tables):
-    return reports.cost_per_publication(t.grants_by_department)
+    return reports.cost_per_publication(t.grant_sums)
 
 
 @query("total_enrolled_students", "select count(distinct student_id) as total_students from enrollment_detail")
@@ -46,7 +46,7 @@ def avg_gpa_by_major(t: Tables):
     "select academic_year, count(*) as enrollments from fact_enrollment group by academic_year",
 )
 def enrollment_by_year(t: Tables):
-    return reports.enrollment_by_year(t.known_enrollments)
+    return reports.enrollment_by_year(t.known_years)
 
 
 @query(
@@ -85,7 +85,7 @@ def invalid_gpa_rows(t: Tables):
               cast(sum(publication_count) as bigint) as total_publications from fact_research_grant""",
 )
 def research_totals(t: Tables):
-    return reports.research_totals(t.staged_grants_by_department)
+    return reports.research_totals(t.grant_sums)
 
 
 @query(
@@ -95,7 +95,7 @@ def research_totals(t: Tables):
        from grants_by_department group by department""",
 )
 def award_by_department(t: Tables):
-    return reports.award_by_department(t.staged_grants_by_department)
+    return reports.award_by_department(t.grant_sums)
 
 
 @query(
@@ -130,7 +130,7 @@ def publications_per_dollar_by_agency(t: Tables):
        from staged_grants_by_department group by 1, 2""",
 )
 def agency_department_long(t: Tables):
-    return reports.agency_department(t.staged_grants_by_department)
+    return reports.agency_department(t.grant_sums)
 
 
 @query(
@@ -144,7 +144,7 @@ def agency_department_long(t: Tables):
     + """) or funding_agency is null) as bigint) as other from staged_grants_by_department group by department""",
 )
 def agency_department_pivot(t: Tables):
-    return reports.agency_department_pivot(t.staged_grants_by_department, AGENCIES)
+    return reports.agency_department_pivot(t.grant_sums, AGENCIES)
 
 
 @query(
@@ -154,7 +154,7 @@ def agency_department_pivot(t: Tables):
        from staged_grants_by_department group by department order by publications desc, department limit 5""",
 )
 def top_departments(t: Tables):
-    return reports.top_departments(t.staged_grants_by_department)
+    return reports.top_departments(t.grant_sums)
 
 
 @query(

@@ -124,7 +124,7 @@ def fact_course_performance(t: Tables):
 
 @query("enrollment_detail", "select * from enrollment_detail")
 def enrollment_detail(t: Tables):
-    return views.enrollment_detail(t.fact_enrollment, t.dim_student)
+    return views.enrollment_detail(t.known_enrollments)
 
 
 @query(
@@ -142,7 +142,7 @@ def student_enrollment_safe(t: Tables):
        from enrollment_detail group by major, academic_year""",
 )
 def enrollment_summary(t: Tables):
-    return reports.enrollment_summary(t.safe_rows())
+    return reports.summary_of_years(t.known_years)
 
 
 @query(
@@ -153,7 +153,7 @@ def enrollment_summary(t: Tables):
        from grants_by_department group by department""",
 )
 def faculty_research_safe(t: Tables):
-    return views.faculty_research_safe(t.fact_research_grant, t.dim_faculty)
+    return views.faculty_research_safe(t.grant_sums)
 
 
 @query(

@@ -1,42 +1,45 @@
-"""Declared types of the five staging tables. Nothing is inferred."""
+"""Declared columns of the five staging tables. Nothing is inferred.
+
+The names and types are fixed values.
+"""
 
 from pyspark.sql import types as T
 
+_COLUMNS = {
+    "students": """
+        student_id string, cohort_year bigint, major string, gpa double, enrollment_status string,
+        date_enrolled date, date_graduated date, credits_completed bigint, ethnicity string, first_generation boolean
+    """,
+    "faculty": """
+        faculty_id string, rank string, hire_date date, department string, salary bigint,
+        employment_status string, tenure_status string, research_focus string
+    """,
+    "grants": """
+        grant_id string, pi_id string, award_amount bigint, funding_agency string, start_date date, end_date date,
+        department string, status string, publication_count bigint
+    """,
+    "courses": """
+        course_id string, course_code string, course_title string, credits bigint, semester string, year bigint,
+        instructor_id string, enrollment bigint, pass_rate double, avg_rating double
+    """,
+    "enrollments": """
+        enrollment_id string, student_id string, course_id string, semester string, year bigint, grade string,
+        grade_point double, credits_earned bigint
+    """,
+}
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "boolean": T.BooleanType(),
+}
 
-def _struct(spec: str) -> T.StructType:
-    kinds = {
-        "s": T.StringType(),
-        "l": T.LongType(),
-        "d": T.DoubleType(),
-        "t": T.DateType(),
-        "b": T.BooleanType(),
-    }
-    fields = (item.split(":") for item in spec.split())
-    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in fields])
 
+def _struct(columns: str) -> T.StructType:
+    """A schema from DDL; parsing DDL through Spark would need a session."""
+    named = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in named])
 
-STAGING = {
-    "students": _struct(
-        "student_id:s cohort_year:l major:s gpa:d enrollment_status:s date_enrolled:t "
-        "date_graduated:t credits_completed:l ethnicity:s first_generation:b"
-    ),
-    "faculty": _struct(
-        "faculty_id:s rank:s hire_date:t department:s salary:l employment_status:s "
-        "tenure_status:s research_focus:s"
-    ),
-    "grants": _struct(
-        "grant_id:s pi_id:s award_amount:l funding_agency:s start_date:t end_date:t "
-        "department:s status:s publication_count:l"
-    ),
-    "courses": _struct(
-        "course_id:s course_code:s course_title:s credits:l semester:s year:l "
-        "instructor_id:s enrollment:l pass_rate:d avg_rating:d"
-    ),
-    "enrollments": _struct(
-        "enrollment_id:s student_id:s course_id:s semester:s year:l grade:s "
-        "grade_point:d credits_earned:l"
-    ),
-}
 
-# Added by the loader, not by any source.
-LOAD_TIMESTAMP = T.StructField("load_timestamp", T.TimestampType())
+STAGING = {table: _struct(columns) for table, columns in _COLUMNS.items()}

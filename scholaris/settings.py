@@ -31,10 +31,9 @@ THRESHOLDS = {
 }
 NULL_SHARE_LIMIT = 0.10
 
-# Columns screened for outliers, the z-score limit and the fewest values that are screened.
+# Columns screened for outliers and the z-score limit.
 ANOMALY_COLUMNS = ["gpa", "salary", "award_amount", "grade_point", "pass_rate"]
 Z_LIMIT = 3.0
-MIN_SAMPLE = 10
 
 # Alert limits.
 QUALITY_ALERT_BELOW = 0.995
@@ -48,6 +47,12 @@ RETENTION_DAYS = {
     "faculty_records": 2555,
     "grant_records": 3650,
 }
+# The date that a record's age counts from: graduation, hiring, the end of the grant.
+RECORD_DATES = {
+    "students": ("student_records", "date_graduated"),
+    "faculty": ("faculty_records", "hire_date"),
+    "grants": ("grant_records", "end_date"),
+}
 
 # Columns that never leave the staging layer.
 PII_FIELDS = ["first_name", "last_name", "ssn", "email", "phone"]
@@ -77,6 +82,5 @@ FUNDING_AGENCIES = [
     "Industrial Partner",
 ]
 
-RESULT_CAP = 100_000
 AT_RISK_BELOW = 2.5
 SALARY_BAND = 25_000

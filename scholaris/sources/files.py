@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from scholaris.functions.numeric import without_nan
 from scholaris.operators.integrity import row_counts
 from scholaris.schemas import STAGING
-from scholaris.settings import RESULT_CAP
 
 C = F.col
 
@@ -35,13 +34,11 @@ def read_csv(spark: SparkSession, table: str, path: str, multiline: bool = False
     return reader.csv(path)
 
 
-def read_parquet(spark: SparkSession, table: str, path: str) -> DataFrame:
-    return spark.read.schema(STAGING[table]).parquet(path)
-
-
-def with_load_timestamp(df: DataFrame, at: datetime | None = None) -> DataFrame:
+def with_load_timestamp(df: DataFrame, at: datetime | Column | None = None) -> DataFrame:
     """Add the time of loading: `at`, or the start of the query that loads."""
-    return df.withColumn("load_timestamp", F.lit(at).cast("timestamp") if at else F.current_timestamp())
+    if isinstance(at, datetime):
+        at = F.lit(at).cast("timestamp")
+    return df.withColumn("load_timestamp", F.current_timestamp() if at is None else at)
 
 
 def load_staging(tables: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:
@@ -72,8 +69,8 @@ def table_row_count(spark: SparkSession, table: str) -> int:
     return spark.table(table).count()
 
 
-def run_query(spark: SparkSession, sql: str, max_results: int | None = RESULT_CAP, **tables: DataFrame) -> DataFrame:
-    """Result of a SQL text, cut to `max_results`; order in the text for a stable cut.
+def run_query(spark: SparkSession, sql: str, max_results: int | None = None, **tables: DataFrame) -> DataFrame:
+    """Result of a SQL text, whole unless cut to `max_results`; order in the text for a stable cut.
 
     Frames passed by name stand in the text as {name}.
     """
@@ -97,9 +94,14 @@ def write_partitioned(df: DataFrame, path: str, by: str, sort: list[str]) -> Non
 
 
 def refresh_partitions(df: DataFrame, path: str, by: str) -> None:
-    """Replace only the values of `by` that occur in `df`; the rest of the table stays."""
+    """Replace only the values of `by` that occur in `df`; the rest of the table stays.
+
+    The range shuffle gives a value as many files as its share of the rows asks for,
+    instead of one from every task.
+    """
     (
-        df.write.mode("overwrite")
+        df.repartitionByRange(by, *[c for c in df.columns if c != by])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(by)
         .parquet(path)

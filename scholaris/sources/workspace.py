@@ -1,5 +1,6 @@
 """Intermediate tables, kept in the shared folder the cluster names."""
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -14,15 +15,19 @@ _scoped_paths: ContextVar[list[str] | None] = ContextVar("scoped_paths", default
 def workspace(spark: SparkSession) -> str:
     """This application's folder below `spark.checkpoint.dir`.
 
-    Executors must be able to read it after the one that wrote it is gone, so a
-    machine-local folder is used only when the whole application is one machine.
+    Executors must be able to read it after the one that wrote it is gone. Whether the
+    folder is shared cannot be seen from its name, so the setting is demanded; only where
+    the whole application is one process (master `local` or `local[...]`) is a temporary
+    folder made for an application that has none.
     """
     app = spark.conf.get("spark.app.id")
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = _local_folders.setdefault(app, tempfile.mkdtemp(prefix="scholaris-"))
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="scholaris-")
+        shared = _local_folders[app]
     return f"{shared.rstrip('/')}/scholaris/{app}"
 
 
@@ -66,6 +71,22 @@ def clear_workspace(spark: SparkSession) -> None:
     _delete(spark, workspace(spark))
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put `source` in the place of `target`, which is deleted; nothing happens without `source`."""
+    (new, files), (old, _) = _folder(spark, source), _folder(spark, target)
+    if not files.exists(new):
+        return
+    files.delete(old, True)
+    files.mkdirs(old.getParent())
+    if not files.rename(new, old):
+        raise RuntimeError(f"cannot move {source} to {target}")
+
+
+def _folder(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path, files = _folder(spark, folder)
+    files.delete(path, True)

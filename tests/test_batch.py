@@ -1,7 +1,8 @@
 """Files, retention, partition refresh and the batch run."""
 
 import json
-from datetime import date, datetime
+from collections import defaultdict
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -73,7 +74,7 @@ def test_retention_keeps_the_boundary_and_undated_rows(spark, tmp_path):
 def test_capped_query(spark):
     frame = spark.range(50)
     assert files.run_query(spark, "select id from {t} order by id desc", 3, t=frame).count() == 3
-    assert files.run_query(spark, "select id from {t}", None, t=frame).count() == 50
+    assert files.run_query(spark, "select id from {t}", t=spark.range(150_000)).count() == 150_000
 
 
 def test_views_are_replaced_and_counted(spark):
@@ -102,15 +103,29 @@ def test_intermediate_tables_go_with_their_block(spark):
     assert outside.count() == 3
 
 
-def test_workspace_demands_a_shared_folder_on_a_cluster():
-    class Cluster:
+def session_of(master, folder=None):
+    settings = {"spark.app.id": f"app-{master}", "spark.master": master, "spark.checkpoint.dir": folder}
+
+    class Session:
         class conf:
             @staticmethod
             def get(key, default=None):
-                return {"spark.app.id": "app-1", "spark.master": "yarn"}.get(key, default)
+                return settings.get(key) or default
+
+    return Session
 
+
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]", "spark://host:7077", ""])
+def test_workspace_demands_a_shared_folder_on_a_cluster(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        workspace.workspace(Cluster)
+        workspace.workspace(session_of(master))
+    assert workspace.workspace(session_of(master, "hdfs://x/y/")).startswith("hdfs://x/y/scholaris/")
+
+
+@pytest.mark.parametrize("master", ["local", "local[8]", "local[*]"])
+def test_a_local_session_has_one_temporary_folder(master):
+    first, second = (workspace.workspace(session_of(master)) for _ in range(2))
+    assert first == second
 
 
 @pytest.fixture(scope="module")
@@ -122,9 +137,11 @@ def finished(spark, tmp_path_factory):
 
 def test_run_logs_every_phase(finished):
     directory, log = finished
-    assert [r.phase for r in log] == ["extract", "load", "validate", "transform", "post_check", "end"]
+    assert [r.phase for r in log] == ["extract", "validate", "transform", "post_check", "load", "end"]
     status = {r.phase: r.status for r in log}
-    assert status["end"] == "PASS" and status["validate"] == "FAIL"
+    assert status["end"] == "WARN" and status["validate"] == "FAIL" and status["load"] == "PASS"
+    assert "students" in next(r.error for r in log if r.phase == "validate")
+    assert next(r.detail for r in log if r.phase == "post_check")["checks"] == 6
     written = [json.loads(line) for f in Path(directory, "logs/runs").glob("*.json") for line in f.read_text().splitlines()]
     assert len(written) == len(log)
     assert "secret-salt" not in json.dumps(written)
@@ -161,12 +178,106 @@ def test_safe_view_matches_its_summary(spark, finished):
     assert total == safe.count() and reports.enrollment_summary(safe).count() == summary.count()
 
 
-def test_stop_ends_the_run_before_the_star_schema(spark, tmp_path):
+def log_of(directory):
+    lines = [json.loads(x) for f in Path(directory, "logs/runs").glob("*.json") for x in f.read_text().splitlines()]
+    return sorted(lines, key=lambda x: (x["logged_at"], x["step"]))
+
+
+@pytest.fixture
+def layers(spark, tmp_path):
+    """A directory with layers from an earlier run."""
+    for layer in batch.LAYERS:
+        (tmp_path / layer).mkdir()
+        (tmp_path / layer / "old").write_text("old")
+    return tmp_path
+
+
+def untouched(directory):
+    return all((directory / layer / "old").read_text() == "old" for layer in batch.LAYERS)
+
+
+def test_stop_leaves_the_layers_of_the_last_run(spark, layers):
     with pytest.raises(batch.QualityGateError):
-        batch.run(spark, Tables(spark, SMALL).all(), str(tmp_path), "s", run_id="r2", on_fail="stop")
-    assert not (tmp_path / "analytics").exists()
-    lines = [json.loads(x) for f in (tmp_path / "logs/runs").glob("*.json") for x in f.read_text().splitlines()]
-    assert {x["phase"]: x["status"] for x in lines}["end"] == "FAIL"
+        batch.run(spark, Tables(spark, SMALL).all(), str(layers), "s", run_id="r2", on_fail="stop")
+    assert untouched(layers)
+    assert [(x["phase"], x["status"]) for x in log_of(layers)][-2:] == [("validate", "FAIL"), ("end", "FAIL")]
+
+
+def test_an_empty_source_stops_a_strict_run(spark, layers):
+    tables = Tables(spark, SMALL).all()
+    with pytest.raises(batch.QualityGateError, match="courses"):
+        batch.run(spark, tables | {"courses": tables["courses"].limit(0)}, str(layers), "s", run_id="r5", on_fail="stop")
+    assert untouched(layers)
+
+
+def test_a_failing_transform_is_named_in_the_log(spark, layers, monkeypatch):
+    def broken(*_):
+        raise ArithmeticError("no star today")
+
+    monkeypatch.setattr(batch, "transform", broken)
+    with pytest.raises(ArithmeticError):
+        batch.run(spark, Tables(spark, SMALL).all(), str(layers), "s", run_id="r6")
+    assert untouched(layers)
+    entry = next(x for x in log_of(layers) if x["phase"] == "transform")
+    assert entry["status"] == "FAIL" and "no star today" in entry["error"]
+
+
+def test_failed_post_checks_stop_a_strict_run(spark, layers, monkeypatch):
+    monkeypatch.setattr(batch.quality, "gate", lambda checks: checks.sparkSession.createDataFrame([], "table_name string, passed long, status string"))
+    with pytest.raises(batch.QualityGateError, match="post_check"):
+        batch.run(spark, Tables(spark, SMALL).all(), str(layers), "s", run_id="r7", on_fail="stop")
+    assert untouched(layers)
+
+
+def test_an_unwritten_log_does_not_hide_the_error(spark, layers, monkeypatch):
+    def broken(*_):
+        raise ArithmeticError("first")
+
+    def unwritable(*_):
+        raise OSError("second")
+
+    monkeypatch.setattr(batch, "transform", broken)
+    monkeypatch.setattr(batch.RunLog, "write", unwritable)
+    with pytest.raises(ArithmeticError) as caught:
+        batch.run(spark, Tables(spark, SMALL).all(), str(layers), "s", run_id="r8")
+    assert any("second" in note for note in caught.value.__notes__)
+
+
+def test_load_only_replaces_staging_alone(spark, layers):
+    log = batch.run(spark, Tables(spark, SMALL).all(), str(layers), "s", run_id="r9", load_only=True).collect()
+    assert [r.phase for r in log] == ["extract", "validate", "load", "end"]
+    assert spark.read.parquet(str(layers / "staging/students")).count() == 150
+    assert not (layers / "staging/old").exists() and (layers / "analytics/old").exists()
+
+
+def test_retention_by_kind(spark):
+    grants = spark.createDataFrame([("a", date(2010, 1, 1)), ("b", date(2020, 1, 1)), ("c", None)], "grant_id string, end_date date")
+    students = spark.createDataFrame([("s", date(2010, 1, 1)), ("t", None)], "student_id string, date_graduated date")
+    kept = batch.retained({"grants": grants, "students": students, "courses": grants}, date(2026, 7, 16))
+    assert sorted(r.grant_id for r in kept["grants"].collect()) == ["b", "c"]
+    assert [r.student_id for r in kept["students"].collect()] == ["t"] and kept["courses"].count() == 3
+
+
+def test_old_log_rows_are_purged(spark, tmp_path):
+    log = batch.RunLog(spark, "r10")
+    log.add("extract", "PASS", {"t": 3})
+    log.write(f"{tmp_path}/logs/runs")
+    batch.purge_logs(spark, str(tmp_path), datetime.now() + timedelta(days=30))
+    assert log.read(f"{tmp_path}/logs/runs").count() == 1
+    batch.purge_logs(spark, str(tmp_path), datetime.now() + timedelta(days=90))
+    assert log.read(f"{tmp_path}/logs/runs").count() == 0
+
+
+def test_lineage_sees_rows_that_a_target_lost(spark, finished):
+    directory, _ = finished
+    staged = {n: spark.read.parquet(f"{directory}/staging/{n}") for n in STAGING}
+    built = {f[0]: spark.read.parquet(f"{directory}/analytics/{f[0]}") for f in batch.star_sources(staged, defaultdict(lambda: None))}
+    built["dim_course"] = built["dim_course"].filter("course_key > 5")
+    rows = {r.target: r for r in batch.stage_lineage(batch.star_sources(staged, built)).collect()}
+    assert rows["dim_course"].rows_dropped == 5 and rows["dim_student"].rows_dropped == 0
+    assert rows["fact_enrollment"].rows_dropped > 0
+    written = spark.read.parquet(f"{directory}/logs/lineage").filter("target = 'dim_course'").collect()
+    assert [(r.rows_dropped, r.run_id) for r in written] == [(0, "r1")]
 
 
 def test_unknown_gate_mode_is_refused(spark, tmp_path):

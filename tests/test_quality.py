@@ -87,12 +87,12 @@ def test_threshold_uses_the_unrounded_rate(spark):
     assert (got.rate, got.status) == (0.95, "FAIL")
 
 
-def test_outliers_need_enough_values_and_spread(spark):
-    few = spark.createDataFrame([(float(i),) for i in range(9)], "gpa double")
+def test_outliers_need_spread(spark):
+    few = spark.createDataFrame([(float(i),) for i in range(5)], "gpa double")
     flat = spark.createDataFrame([(2.0,)] * 20, "gpa double")
     wild = spark.createDataFrame([(1.0 + i % 2,) for i in range(40)] + [(90.0,), (None,)], "gpa double")
     got = [quality.anomalies(df, "t").collect()[0] for df in (few, flat, wild)]
-    assert [(r.checked_values, r.screened, r.anomalous) for r in got] == [(9, False, 0), (20, False, 0), (41, True, 1)]
+    assert [(r.checked_values, r.screened, r.anomalous) for r in got] == [(5, True, 0), (20, False, 0), (41, True, 1)]
 
 
 def test_orphans_as_rows_and_as_keys(spark):

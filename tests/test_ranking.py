@@ -38,6 +38,26 @@ def test_dense_key_equals_row_number(spark, partitions, skewed, n):
     assert got == [(i, *row) for i, row in enumerate(sorted(skewed, key=by_place), 1)]
 
 
+@pytest.mark.parametrize("n", [1, 7, 200])
+def test_rows_of_a_key_that_came_before(spark, partitions, skewed, n):
+    frame = stored(spark.createDataFrame(skewed, "a string, b long, c double"), "skewed")
+    partitions(n)
+    flagged = duplicate_rows(ranking.positioned(frame, in_files=True), "a", ["b", "c"]).collect()
+    seen, expected = set(), []
+    for i, row in enumerate(sorted(skewed, key=by_place), 1):
+        expected.append((i, *row, row[0] in seen))
+        seen.add(row[0])
+    assert [tuple(r) for r in sorted(flagged)] == expected
+
+
+def test_a_group_of_nulls_has_percentiles_of_zero(spark):
+    frame = spark.createDataFrame([("a", None), ("a", None), ("b", 1.0), ("b", None), ("b", 3.0)], "g string, v double")
+    for exact in (True, False):
+        got = {r.g: r.p50 for r in ranking.percentiles(frame, "g", "v", [50], exact).collect()}
+        assert got["a"] == 0.0 and got["b"] == (2.0 if exact else 1.0)
+    assert ranking.percentiles(frame.limit(0), "g", "v", [50]).count() == 0
+
+
 def test_copies_spread_over_tasks(spark, partitions):
     """Identical rows are told apart by their place in the files, so ranges split them."""
     frame = stored(spark.range(40_000).select(F.lit("same").alias("a")), "copies")
@@ -96,6 +116,8 @@ def test_percentiles(spark, partitions, n):
     for g, v in rows:
         if v is not None:
             groups[g].append(v)
+    # A group without values has percentiles of 0.
+    assert got.pop("empty") == (0.0,) * 5
     assert set(got) == set(groups)
     for g, values in groups.items():
         assert got[g] == pytest.approx([brute_percentile(values, p) for p in (0, 25, 50, 97.5, 100)])
