@@ -2,13 +2,18 @@
 
 A window is represented by its anchor, the eight-word gram of least digest within it. Two
 equal windows have equal anchors at equal offsets, and different starts have different
-anchor places, so an anchor occurs at least as often as any window it stands for. There
-are about a fifteenth as many anchors as windows.
+anchor places or offsets, so an anchor occurs at least as often as any window it stands
+for. An anchor's windows start one after another: there are about a fifteenth as many
+anchors as windows.
 
 First pass: every task adds its anchors to a count-min sketch of two rows; the partition
 sketches are merged, cell by cell, by a shuffle. A cell only has to tell "once" from "more".
 Estimates can only be too high. Second pass: windows whose anchor is estimated repeated,
-and no others, are grouped exactly, by anchor and a digest of all 35 words (128 bits).
+and no others, are grouped exactly. Anchors whose words all around are the same have all
+their windows in common; where an anchor stands in several surroundings, its windows are
+compared one by one, one place of each surrounding for all. Digests that are compared have
+128 bits together.
+
 The sketch has a fixed size, whatever the input: where many more anchors than cells make
 it useless, more windows go to the second pass, and the result stays the same.
 """
@@ -23,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholaris.llm.arrow import map_batches, small_batches, text_key, texts
-from scholaris.sources.workspace import stored
+from scholaris.sources.workspace import intermediate_tables, new_path, stored
 
 WINDOW = 35
 # Words of an anchor: a power of two, at most WINDOW.
@@ -91,8 +96,8 @@ class Windows:
         self.digests = np.fromiter((cache[w] for text in words for w in text), np.uint64, total)
         self.window = window
 
-    def segments(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(first words, window digests, index of each window's anchor, anchors' digests)."""
+    def segments(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first words, digests) of windows; (first window, digest, offset in it) of their anchors."""
         gram = min(GRAM, self.window)
         rooms = np.repeat(self.starts[1:], self.lengths)
         for at in range(0, max(0, len(self.digests) - self.window + 1), SEGMENT):
@@ -104,8 +109,9 @@ class Windows:
             memo = {1: h}
             grams = _digests(h, gram, memo)
             places = _least_places(grams, self.window - gram + 1)[inside]
-            change = np.concatenate(([True], places[1:] != places[:-1]))
-            yield first[inside], _digests(h, self.window, memo)[inside], np.cumsum(change) - 1, grams[places[change]]
+            runs = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
+            first, digests = first[inside], _digests(h, self.window, memo)[inside]
+            yield first, digests, runs, grams[places[runs]], places[runs] + at - first[runs]
 
 
 def _cells(anchors: np.ndarray) -> list[np.ndarray]:
@@ -130,7 +136,7 @@ def repeated_cells(docs: DataFrame, text_column: str = "text", window: int = WIN
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, rows, size = _WordDigests(), [[] for _ in range(ROWS)], 0
         for batch in small_batches(batches, "text"):
-            for _, _, _, anchors in Windows(texts(batch.column(0)), cache, window).segments():
+            for _, _, _, anchors, _ in Windows(texts(batch.column(0)), cache, window).segments():
                 for row, cells in zip(rows, _cells(anchors), strict=True):
                     row.append(cells)
                 size += len(anchors)
@@ -169,11 +175,11 @@ def repeated_cells(docs: DataFrame, text_column: str = "text", window: int = WIN
 
 
 def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW) -> DataFrame:
-    """(id, key, starts array<int>): the windows of each row that occur elsewhere too.
+    """(id, key, runs array<struct<first, n>>): the windows of each row that occur elsewhere too.
 
-    `key` is `text_key`; `starts` counts words from 0. Rows without such windows are left
-    out. Repeated rows share an id and key: each of them has its windows repeated by the
-    others, and their starts appear once or more.
+    `key` is `text_key`; a run is n windows that start at words first, first + 1 and so on,
+    counted from 0. Rows without such windows are left out. Repeated rows share an id and
+    key: each has its windows repeated by the others, and runs appear once or more.
     """
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(repeated_cells(docs, text_column, window))
@@ -184,52 +190,76 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, repeated = _WordDigests(), bits.value
-        names = ["id", "key", "first", "anchor", "window"]
+        names = ["id", "key", "first", "anchor", "around", "windows"]
         for batch in small_batches(batches, "text"):
             all_windows = Windows(texts(batch.column(2)), cache, window)
-            for first, digests, which, anchors in all_windows.segments():
+            for first, digests, runs, anchors, offsets in all_windows.segments():
                 likely = np.ones(len(anchors), bool)
                 for cells, row in zip(_cells(anchors), repeated, strict=True):
                     likely &= (row[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
-                chosen = np.flatnonzero(likely[which])
-                text = np.searchsorted(all_windows.starts, first[chosen], side="right") - 1
+                sizes = np.diff(np.append(runs, len(first)))
+                begin, size = runs[likely], sizes[likely]
+                # The first and the last window of an anchor overlap: they are all the words around it.
+                ends = _mixed(digests[begin], digests[begin + size - 1])
+                around = _mixed(ends, (offsets[likely] * window + size).astype(np.uint64))
+                text = np.searchsorted(all_windows.starts, first[begin], side="right") - 1
+                windows = digests[np.repeat(likely, sizes)].view(np.int64)
                 take = pa.array(text)
                 columns = [
                     batch.column(0).take(take),
                     batch.column(1).take(take),
-                    pa.array((first[chosen] - all_windows.starts[text]).astype(np.int32)),
-                    pa.array(anchors[which[chosen]].view(np.int64)),
-                    pa.array(digests[chosen].view(np.int64)),
+                    pa.array((first[begin] - all_windows.starts[text]).astype(np.int32)),
+                    pa.array(anchors[likely].view(np.int64)),
+                    pa.array(around.view(np.int64)),
+                    pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(size))).astype(np.int32), windows),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = f"id {kind}, key long, first int, anchor long, window long"
-    found = stored(map_batches(rows, candidates, schema), "windows")
-    twice = found.groupBy("anchor", "window").count().where("count > 1")
-    starts = found.join(twice.select("anchor", "window"), ["anchor", "window"], "left_semi")
-    return starts.groupBy("id", "key").agg(F.collect_list("first").alias("starts"))
-
-
-def _kept(text: bytes, starts, window: int) -> tuple[int, int, list[bytes]]:
+    schema = f"id {kind}, key long, first int, anchor long, around long, windows array<long>"
+    path = new_path(spark, "repeated")
+    with intermediate_tables(spark):
+        found = stored(map_batches(rows, candidates, schema), "anchors")
+        place = F.struct("key", "first")
+        # One row an anchor and surrounding; a frequent one leaves each task as one row.
+        around = stored(found.groupBy("anchor", "around").agg(F.count("*").alias("n"), F.min(place).alias("one")), "around")
+        # Written down, so that the join with it may split an anchor of very many surroundings.
+        mixed = stored(around.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "mixed")
+        kinds = around.join(mixed, "anchor", "left").where("n > 1 or kinds is not null")
+        # Of a surrounding met more than once, all windows are known: one place stands for it.
+        compared = F.col("kinds").isNotNull() & ((F.col("n") == 1) | (place == F.col("one")))
+        met = found.join(kinds, ["anchor", "around"]).select(
+            "id", "key", "first", "anchor", "n", F.size("windows").alias("size"), F.when(compared, F.col("windows")).alias("windows")
+        )
+        met = stored(met, "met")
+        whole = met.where("n > 1").select("id", "key", "first", F.col("size").alias("n"))
+        single = met.select("id", "key", "first", "n", "anchor", F.posexplode("windows").alias("i", "window"))
+        twice = single.groupBy("anchor", "window").count().where("count > 1")
+        parts = single.where("n = 1").join(twice.select("anchor", "window"), ["anchor", "window"], "left_semi")
+        parts = parts.select("id", "key", (F.col("first") + F.col("i")).alias("first"), F.lit(1).alias("n"))
+        repeated = whole.union(parts).groupBy("id", "key").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
+        repeated.write.parquet(path)
+    return spark.read.schema(repeated.schema).parquet(path)
+
+
+def _kept(text: bytes, runs: list[dict] | None, window: int) -> tuple[int, int, list[bytes]]:
     words = text.split()
     steps = np.zeros(len(words) + 1, np.int64)
-    if starts is not None:
-        begin = np.unique(starts)
-        steps[begin] += 1
-        steps[begin + window] -= 1
+    for run in runs or ():
+        steps[run["first"]] += 1
+        steps[run["first"] + run["n"] - 1 + window] -= 1
     gone = np.cumsum(steps)[:-1] > 0
     if not gone.any():
         return len(words), 0, words
     return len(words), int(gone.sum()), [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
 
 
-def _with_starts(docs: DataFrame, id_column: str, text_column: str, window: int) -> DataFrame:
-    """`docs` with a last column `__starts`, null where nothing repeats."""
-    starts = repeated_windows(docs, id_column, text_column, window)
-    starts = starts.select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("starts").alias("__starts"))
+def _with_runs(docs: DataFrame, id_column: str, text_column: str, window: int) -> DataFrame:
+    """`docs` with a last column `__runs`, null where nothing repeats."""
+    runs = repeated_windows(docs, id_column, text_column, window)
+    runs = runs.select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("runs").alias("__runs"))
     keyed = docs.withColumn("__key2", text_key(id_column, text_column))
     same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__key2") == F.col("__key"))
-    return keyed.join(starts, same, "left").select(*docs.columns, "__starts")
+    return keyed.join(runs, same, "left").select(*docs.columns, "__runs")
 
 
 def removed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW) -> DataFrame:
@@ -247,14 +277,14 @@ def removed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             found = []
-            for text, starts in zip(texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                n, gone, kept = _kept(text, starts, window)
+            for text, runs in zip(texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                n, gone, kept = _kept(text, runs, window)
                 found.append((n, gone, hashlib.sha256(b" ".join(kept)).hexdigest()))
             columns = [pa.array(x) for x in zip(*found, strict=True)]
             if found:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [id_column, "n_words", "n_removed", "kept_sha256"])
 
-    joined = _with_starts(rows, id_column, "text", window)
+    joined = _with_runs(rows, id_column, "text", window)
     return map_batches(joined, work, f"`{id_column}` {kind}, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -269,11 +299,11 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, text_column):
             new = []
-            for text, starts in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-                if starts:
-                    text = b" ".join(_kept(text.encode(), starts, window)[2]).decode()
+            for text, runs in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+                if runs:
+                    text = b" ".join(_kept(text.encode(), runs, window)[2]).decode()
                 new.append(text)
             columns = [pa.array(new, x.type) if i == at else x for i, x in enumerate(batch.columns[:-1])]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    return map_batches(_with_starts(docs, id_column, text_column, window), work, docs.schema)
+    return map_batches(_with_runs(docs, id_column, text_column, window), work, docs.schema)
