@@ -6,18 +6,17 @@ ids. Memory is bounded: a full store of words is emptied and filled again.
 
 import functools
 import re
+from array import array
 from collections.abc import Callable
 
-import numpy as np
 from tokenizers import Tokenizer
 
 # What the file's pre-tokenizer never joins: a run of letters, and a run of ASCII that
 # holds neither letters nor an apostrophe. Letters are a to z and the small ones of
 # Latin-1, in UTF-8; words with anything else go to the library whole.
-_LETTERS = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
-_PLAIN = re.compile(rb"(?:[!-&(-@\[-~]|\xc3[\x9f-\xb6\xb8-\xbf])+")
-_RUNS = re.compile(_LETTERS + rb"|[!-&(-@\[-`{-~]+")
-MOST = 300_000
+_RUNS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[!-&(-@\[-`{-~]+")
+_LETTER_STARTS = frozenset(b"abcdefghijklmnopqrstuvwxyz\xc3")
+MOST_WORDS, MOST_RUNS = 700_000, 400_000
 
 
 def _byte_characters() -> dict[int, str]:
@@ -27,6 +26,11 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as uint32 of the machine's order, which is little-endian wherever Spark runs on x86 or ARM."""
+    return array("I", ids).tobytes()
+
+
 class _Store(dict):
     """What `make` gives for a key, kept until there are too many keys."""
 
@@ -48,28 +52,29 @@ class WordIds:
     between letters and other characters. Strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, most: int = MOST):
+    def __init__(self, path: str, most_words: int = MOST_WORDS, most_runs: int = MOST_RUNS):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.characters = {i: c for i, c in _byte_characters().items() if chr(i) != c}
-        self.runs = _Store(self._run, most)
-        self.words = _Store(self._word, most)
+        self.runs = _Store(self._run, most_runs)
+        self.words = _Store(self._word, most_words)
 
     def _library(self, text: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids)
 
     def _run(self, run: bytes) -> bytes:
-        if not re.fullmatch(_LETTERS, run):
+        if run[0] not in _LETTER_STARTS:
             return self._library(run)
         # One pre-token that normalisation leaves as it is: straight to the merges.
-        tokens = self.model.tokenize(run.decode("latin-1").translate(self.characters))
-        return np.array([t.id for t in tokens], "<u4").tobytes()
+        characters = run.decode() if run.isascii() else run.decode("latin-1").translate(self.characters)
+        return _packed([token.id for token in self.model.tokenize(characters)])
 
     def _word(self, word: bytes) -> bytes:
-        if _PLAIN.fullmatch(word) is None:
+        runs = _RUNS.findall(word)
+        if sum(map(len, runs)) < len(word):
             return self._library(word)
-        return b"".join([self.runs[run] for run in _RUNS.findall(word)])
+        return self.runs[word] if len(runs) == 1 else b"".join([self.runs[run] for run in runs])
 
     def ids(self, text: bytes) -> bytes:
         # Lower-casing ASCII first merges words that differ in case only. A combining mark
