@@ -6,10 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholaris.llm import bytebpe, maxscore, packing, quality, simhash, substring, tokencount, tokenfiles, urlfilter
+from scholaris.llm import bytebpe, licenses, maxscore, packing, quality, simhash, substring, tokencount, tokenfiles, urlfilter
+from scholaris.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -36,8 +36,7 @@ def op4_lazy_transducer(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def op5_redirect_aliases(spark: SparkSession, directory: str) -> DataFrame:
-    rules = spark.createDataFrame([(r.verdict, r.host, r.path) for r in urlfilter.RULES], "verdict string, host string, path string")
-    return urlfilter.judged(table(spark, directory, "pages"), rules)
+    return urlfilter.judged(table(spark, directory, "pages"), urlfilter.rules_frame(spark))
 
 
 @query
@@ -57,6 +56,13 @@ def op8_reduced_best_fit(spark: SparkSession, directory: str) -> DataFrame:
     return packing.packed_documents(table(spark, directory, "documents"), path)
 
 
+@query
+def op9_license_digests(spark: SparkSession, directory: str) -> DataFrame:
+    known = spark.createDataFrame(list(licenses.KNOWN), "license string, text string")
+    found = licenses.scanned(table(spark, directory, "documents"), known)
+    return found.withColumn("notices", F.array_join("notices", ","))
+
+
 @query
 def op10_compression_bands(spark: SparkSession, directory: str) -> DataFrame:
     return quality.measured(table(spark, directory, "documents"))

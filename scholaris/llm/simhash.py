@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholaris.llm.arrow import map_batches, small_batches, texts
+from scholaris.llm.arrow import map_batches, small_batches, text_key, texts
 from scholaris.llm.components import components
 from scholaris.sources.workspace import stored
 
@@ -219,3 +219,17 @@ def near_duplicates(
     linked = joined.join(names, "root").select(F.col("node").alias("fp"), "component")
     nodes = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component", "least").alias("component"))
     return rows.join(nodes, "fp").select(id_column, "fp", "component")
+
+
+def representatives(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of every group of near-duplicates, with all its columns.
+
+    It is the row of the least id, a null id before all others; of repeated rows one stays.
+    """
+    names = docs.columns
+    keyed = docs.withColumn("__key", text_key(id_column, text_column))
+    row = F.struct(F.col(id_column).alias("id"), F.col("__key").alias("key"))
+    found = near_duplicates(keyed.select(row.alias("__row"), F.col(text_column)), "__row", text_column)
+    first = found.where("__row <=> component").select(F.col("__row.id").alias("__id"), F.col("__row.key").alias("__first"))
+    same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__first"))
+    return keyed.join(first.distinct(), same, "left_semi").dropDuplicates([id_column, "__key"]).select(names)

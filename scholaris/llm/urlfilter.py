@@ -7,9 +7,10 @@ pages that no rule fits. An explicit allow among the aliases goes before the blo
 rule that fits the page itself before either.
 """
 
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholaris.llm.components import components
@@ -38,6 +39,12 @@ RULES = (
 )
 
 
+def rules_frame(spark: SparkSession, rules: Iterable[Rule] = RULES) -> DataFrame:
+    """Rules as a table (verdict, host, path), made of literals."""
+    rows = [F.struct(*[F.lit(v).alias(n) for n, v in asdict(rule).items()]) for rule in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def host_and_path(df: DataFrame, url_column: str = "url") -> DataFrame:
     """`df` with `host` (A to Z lower-cased) and `path`; both empty without a `://`, or for null."""
     url = F.col(url_column)
