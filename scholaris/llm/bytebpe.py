@@ -165,6 +165,7 @@ class Transducer:
         self.numbers: dict[tuple[int, tuple[Guess, ...]], int] = {}
         self.states: list[tuple[int, tuple[Guess, ...]]] = []
         self.moves: dict[int, tuple[int, bytes]] = {}
+        self.asked: set[int] = set()
         self.start = self._number(-1, (((), 0),))
 
     def _number(self, last: int, guesses: tuple[Guess, ...]) -> int:
@@ -212,16 +213,52 @@ class Transducer:
         rest = tuple([(done[shared:], node) for done, node in after])
         return self._number(whole[shared - 1], rest), b"".join([self.packed[rank] for rank in whole[:shared]])
 
+    def _follow(self, state: int, rest: bytes) -> list[int]:
+        """The ranks still to come after a state, for bytes that no move is made for: guesses, one by one."""
+        last, guesses = self.states[state]
+        children, ends, pairs = self.children, self.ends, self.pairs
+        # (place, token before, the token before and all before that, back to the state)
+        live = []
+        for done, node in guesses:
+            link = None
+            for rank in done:
+                link = (rank, link)
+            live.append((node, done[-1] if done else last, link))
+        for byte in rest:
+            after, whole = [], None
+            for node, before, link in live:
+                node = children[node].get(byte)
+                if node is None:
+                    continue
+                if node in children:
+                    after.append((node, before, link))
+                if whole is None and (rank := ends.get(node)) is not None:
+                    if before < 0 or ((known := pairs.get(before << 32 | rank)) is None and self._compatible(before, rank)) or known:
+                        whole = (0, rank, (rank, link))
+            after.append(whole)
+            live = after
+        ranks, link = [], live[-1][2]
+        while link is not None:
+            ranks.append(link[0])
+            link = link[1]
+        return ranks[::-1]
+
     def encode(self, piece: bytes) -> bytes:
         if (rank := self.ranks.get(piece)) is not None:
             return self.packed[rank]
-        if len(self.states) > self.most_states:
+        if len(self.states) > self.most_states or len(self.asked) > self.most_pairs:
             self._forget()
         state, moves, out = self.start, self.moves, []
-        for byte in piece:
-            move = moves.get(state << 8 | byte)
+        for i, byte in enumerate(piece):
+            key = state << 8 | byte
+            move = moves.get(key)
             if move is None:
-                move = moves[state << 8 | byte] = self._move(state, byte)
+                if key not in self.asked:
+                    # Most moves are needed once: one is made when it is asked for again.
+                    self.asked.add(key)
+                    out += [self.packed[rank] for rank in self._follow(state, piece[i:])]
+                    return b"".join(out)
+                move = moves[key] = self._move(state, byte)
             state, emitted = move
             if emitted:
                 out.append(emitted)
@@ -230,33 +267,51 @@ class Transducer:
         return b"".join(out)
 
 
+class Recent:
+    """Values of keys used lately: two generations, the older of which goes when the newer is full."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def put(self, key: str, value: bytes) -> dict[str, bytes]:
+        """Keep a value; returns the newer generation."""
+        if len(self.new) >= self.most:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+        return self.new
+
+
 class Encoder:
     """ids(text) by a rank file and a splitting pattern, as little-endian uint32 bytes."""
 
-    def __init__(self, path: str, pattern: str, most: int = 300_000):
+    def __init__(self, path: str, pattern: str, most: int = 500_000):
         self.transducer = Transducer(read_ranks(path))
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{_SPACE}").replace(r"\s", f"[{_SPACE}]").replace(r"\S", f"[^{_SPACE}]"))
-        self.most = most
-        # The ids of pieces seen lately: what the pattern matches, and what it is matched in.
-        self.pieces: dict[str, bytes] = {}
-        self.coarse: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= self.most:
-                self.pieces.clear()
-            ids = self.pieces[piece] = self.transducer.encode(piece.encode())
-        return ids
+        # The ids of what the pattern matches, and of the runs that it is matched in.
+        self.recent = Recent(most)
+
+    def _matched(self, run: str) -> bytes:
+        """The ids of a run that is not known."""
+        matches = self.pattern.findall(run)
+        if len(matches) == 1:
+            return self.transducer.encode(run.encode())
+        out = []
+        for piece in matches:
+            ids = self.recent.new.get(piece) or self.recent.old.get(piece)
+            if ids is None:
+                ids = self.transducer.encode(piece.encode())
+                self.recent.put(piece, ids)
+            out.append(ids)
+        return b"".join(out)
 
     def ids(self, text: str) -> bytes:
-        coarse, out = self.coarse, []
-        for part in _COARSE.findall(text):
-            ids = coarse.get(part)
+        recent, out = self.recent, []
+        new = recent.new
+        for run in _COARSE.findall(text):
+            ids = new.get(run)
             if ids is None:
-                if len(coarse) >= self.most:
-                    coarse.clear()
-                ids = coarse[part] = b"".join([self._piece(piece) for piece in self.pattern.findall(part)])
+                ids = recent.old.get(run) or self._matched(run)
+                new = recent.put(run, ids)
             out.append(ids)
         return b"".join(out)
 
