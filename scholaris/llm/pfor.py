@@ -26,43 +26,46 @@ _MAGIC = b"PFR1"
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
     """Rows of 1,024 differences below 2**width as rows of 16 * width words."""
-    lanes = values.reshape(len(values), BLOCK // LANE, LANE)
-    words = np.zeros((len(values), BLOCK // LANE, width), np.uint64)
+    # All first values of the lanes together, then all second ones, so that steps run over whole rows.
+    places = np.ascontiguousarray(values.reshape(-1, LANE).T).astype(np.uint64)
+    words = np.zeros((width, places.shape[1]), np.uint64)
     for i in range(LANE if width else 0):
         word, shift = divmod(i * width, 64)
-        words[:, :, word] |= lanes[:, :, i] << np.uint64(shift)
+        words[word] |= places[i] << np.uint64(shift)
         if shift + width > 64:
-            words[:, :, word + 1] |= lanes[:, :, i] >> np.uint64(64 - shift)
-    return words.reshape(len(values), -1)
+            words[word + 1] |= places[i] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(words.T).reshape(len(values), -1)
 
 
 def _unpack(words: np.ndarray, width: int) -> np.ndarray:
-    lanes = words.reshape(len(words), BLOCK // LANE, width)
-    values = np.zeros((len(words), BLOCK // LANE, LANE), np.uint64)
+    columns = np.ascontiguousarray(words.reshape(-1, width).T)
+    places = np.empty((LANE, columns.shape[1]), np.uint32)
+    mask = np.uint64((1 << width) - 1)
     for i in range(LANE):
         word, shift = divmod(i * width, 64)
-        values[:, :, i] = lanes[:, :, word] >> np.uint64(shift)
+        found = columns[word] >> np.uint64(shift)
         if shift + width > 64:
-            values[:, :, i] |= lanes[:, :, word + 1] << np.uint64(64 - shift)
-    return values.reshape(len(words), BLOCK) & np.uint64((1 << width) - 1)
+            found |= columns[word + 1] << np.uint64(64 - shift)
+        places[i] = found & mask
+    return np.ascontiguousarray(places.T).reshape(len(words), BLOCK)
 
 
 def encode(numbers: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     """The image of an array of uint32, of any length."""
     blocks = -(-len(numbers) // BLOCK)
-    filled = np.zeros(blocks * BLOCK, np.uint64)
+    filled = np.zeros(blocks * BLOCK, np.uint32)
     filled[: len(numbers)] = numbers
     filled[len(numbers) :] = numbers[-1] if len(numbers) else 0
     rows = filled.reshape(blocks, BLOCK)
-    least = rows.min(axis=1, initial=1 << 32) if blocks else np.zeros(0, np.uint64)
+    least = rows.min(axis=1, initial=(1 << 32) - 1)
     rows = rows - least[:, None]
     at = min(BLOCK - 1, int(BLOCK * percentile / 100))
-    typical = np.partition(rows, at, axis=1)[:, at] if blocks else least
+    typical = np.partition(rows, at, axis=1)[:, at]
     widths = np.ceil(np.log2(typical.astype(np.float64) + 1)).astype(np.int64)
     parts: list[bytes] = [b""] * blocks
     for width in np.unique(widths):
         chosen = np.flatnonzero(widths == width)
-        limit = np.uint64((1 << int(width)) - 1)
+        limit = np.uint32((1 << int(width)) - 1)
         packed = _pack(rows[chosen] & limit, int(width))
         over = rows[chosen] > limit
         for i, block in enumerate(chosen.tolist()):
@@ -85,7 +88,7 @@ def decode(image: bytes, start: int = 0, stop: int | None = None) -> np.ndarray:
     first, last = start // BLOCK, -(-stop // BLOCK)
     heads = [_BLOCK.unpack_from(image, at) for at in index[first:last].tolist()]
     widths = np.array([w for _, w, _ in heads])
-    rows = np.zeros((last - first, BLOCK), np.uint64)
+    rows = np.zeros((last - first, BLOCK), np.uint32)
     for width in np.unique(widths).tolist():
         chosen = np.flatnonzero(widths == width)
         if width:
@@ -96,5 +99,5 @@ def decode(image: bytes, start: int = 0, stop: int | None = None) -> np.ndarray:
             at = index[first + i] + _BLOCK.size + 128 * width
             places = np.frombuffer(image, "<u2", exceptions, at)
             rows[i, places] = np.frombuffer(image, "<u4", exceptions, at + 2 * exceptions)
-        rows[i] += np.uint64(least)
-    return rows.reshape(-1)[start - first * BLOCK : stop - first * BLOCK].astype(np.uint32)
+        rows[i] += np.uint32(least)
+    return rows.reshape(-1)[start - first * BLOCK : stop - first * BLOCK]

@@ -1,7 +1,7 @@
 """Token ids by a `tokenizers` file whose tokens never cross white space.
 
 Words repeat, so the library tokenizes each distinct word once and a task joins the stored
-ids. Memory is bounded: a full store of words is emptied and filled again.
+ids. Memory is bounded: words that have not been met for long are forgotten.
 """
 
 import functools
@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 # Latin-1, in UTF-8; words with anything else go to the library whole.
 _RUNS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[!-&(-@\[-`{-~]+")
 _LETTER_STARTS = frozenset(b"abcdefghijklmnopqrstuvwxyz\xc3")
-MOST_WORDS, MOST_RUNS = 700_000, 400_000
+MOST_WORDS, MOST_RUNS = 300_000, 150_000
 
 
 def _byte_characters() -> dict[int, str]:
@@ -32,16 +32,21 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class _Store(dict):
-    """What `make` gives for a key, kept until there are too many keys."""
+    """What `make` gives for a key; of keys used lately, two generations of at most `most` are kept."""
 
     def __init__(self, make: Callable[[bytes], bytes], most: int):
         super().__init__()
         self.make, self.most = make, most
+        self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, key: bytes) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        self[key] = value = self.make(key)
+        self[key] = value
         return value
 
 

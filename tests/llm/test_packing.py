@@ -3,7 +3,6 @@
 import random
 import zlib
 from collections import Counter, defaultdict
-from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -133,6 +132,5 @@ def test_rows_keep_their_columns_and_odd_lengths_have_no_place(spark):
     assert packing.packed(rows.limit(0), capacity=10).count() == 0
 
 
-def test_pairs_of_the_fixture_are_checked_by_brute_force():
+def test_the_search_for_the_fewest_sequences():
     assert fewest([6, 5, 5, 4], 10) == 2 and fewest([6, 6, 6], 10) == 3
-    assert all(sum(p) <= 100 for p in combinations([10, 20, 30], 2))
