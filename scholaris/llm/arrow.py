@@ -40,7 +40,7 @@ def texts(column: pa.Array) -> list[bytes]:
     return [text or b"" for text in column.cast(pa.binary()).to_pylist()]
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `most` text bytes (one row at least).
 
     A batch of Spark's holds 10,000 rows whatever their length; this bounds the memory

@@ -37,7 +37,7 @@ GRAM = 8
 CELL_BITS = 26
 ROWS = 2
 SHARD_BITS = 16
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -140,7 +140,7 @@ def repeated_cells(docs: DataFrame, text_column: str = "text", window: int = WIN
                 for row, cells in zip(rows, _cells(anchors), strict=True):
                     row.append(cells)
                 size += len(anchors)
-                if size > 1 << 22:
+                if size > 1 << 20:
                     rows = [_at_most_two(row) for row in rows]
                     size = 0
         shards, payloads = [], []
