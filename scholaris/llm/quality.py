@@ -2,10 +2,12 @@
 
 Text that repeats itself compresses too well, noise too badly. A whole document is
 compared with the band of its length, as short texts carry the compressor's fixed cost;
-fixed chunks find a repetitive or noisy part that the whole would hide.
+fixed chunks, smaller ones in short texts, find a repetitive or noisy part that the whole
+would hide.
 """
 
 import bisect
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,22 +28,34 @@ BLANKS = b" \t\n\x0b\x0c\r"
 class Bands:
     """Limits of raw bytes / compressed bytes.
 
-    `whole` holds (bytes from, least, most) in ascending order: a document is judged by
-    the last entry whose `bytes from` it reaches. A document is rejected as well if more
-    than `bad_share` of its chunks of `chunk` bytes lie outside (`chunk_least`,
-    `chunk_most`); a shorter last chunk is left to the whole document's limits.
+    `limits` holds (bytes from, least, most) in ascending order: a document and each of its
+    chunks is judged by the last entry whose `bytes from` its own length reaches. The least
+    ratios lie above those of random words of letters and digits and below those of prose.
+    `chunks` holds (bytes from, bytes of a chunk) in the same way, by the document's length.
+    A last chunk shorter than half a chunk is judged together with the one before it. A
+    document is rejected as well if more than `bad_share` of its chunks lie outside.
     """
 
-    whole: tuple[tuple[int, float, float], ...] = (
-        (0, 0.0, 5.0),
-        (256, 1.15, 5.0),
-        (1024, 1.35, 6.0),
-        (4096, 1.6, 6.5),
+    limits: tuple[tuple[int, float, float], ...] = (
+        (0, 1.02, 5.0),
+        (128, 1.07, 5.0),
+        (160, 1.13, 5.0),
+        (192, 1.18, 5.0),
+        (224, 1.24, 5.0),
+        (256, 1.28, 5.0),
+        (320, 1.32, 5.0),
+        (384, 1.355, 5.0),
+        (448, 1.38, 5.0),
+        (512, 1.42, 5.0),
+        (640, 1.46, 5.0),
+        (768, 1.5, 5.0),
+        (1024, 1.54, 6.0),
+        (1536, 1.58, 6.0),
+        (2048, 1.62, 6.0),
+        (4096, 1.65, 6.5),
         (16384, 1.7, 7.0),
     )
-    chunk: int = 4096
-    chunk_least: float = 1.5
-    chunk_most: float = 6.5
+    chunks: tuple[tuple[int, int], ...] = ((0, 256), (2048, 512), (16384, 4096))
     bad_share: float = 0.25
     level: int = 3
 
@@ -74,7 +88,8 @@ class Measure:
 
     def __init__(self, bands: Bands):
         self.bands = bands
-        self.starts = [x[0] for x in bands.whole]
+        self.starts = [x[0] for x in bands.limits]
+        self.chunk_starts = [x[0] for x in bands.chunks]
         self.compressor = zstandard.ZstdCompressor(level=bands.level)
         table = np.zeros((2, 256), np.int64)
         table[0] = [(b & 0xC0) != 0x80 and b not in BLANKS for b in range(256)]
@@ -84,6 +99,16 @@ class Measure:
     def ratio(self, text: bytes) -> float:
         return len(text) / len(self.compressor.compress(text)) if text else 0.0
 
+    def chunks(self, text: bytes) -> list[bytes]:
+        _, size = self.bands.chunks[bisect.bisect_right(self.chunk_starts, len(text)) - 1]
+        n = (len(text) + size // 2) // size
+        cuts = [i * size for i in range(max(n, 1))] + [len(text)]
+        return [text[a:b] for a, b in itertools.pairwise(cuts)] if text else []
+
+    def inside(self, ratio: float, length: int) -> bool:
+        _, least, most = self.bands.limits[bisect.bisect_right(self.starts, length) - 1]
+        return least <= ratio <= most
+
     def __call__(self, text: bytes) -> tuple:
         words = text.split()
         bytes_by_value = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
@@ -91,12 +116,10 @@ class Measure:
         lines = [line for line in text.split(b"\n") if line and not line.isspace()]
         repeats = repeated_words(words)
         failed = len(words) < 50 or 100 * repeats > 50 * len(words)
-        bands = self.bands
         ratio = self.ratio(text)
-        _, least, most = bands.whole[bisect.bisect_right(self.starts, len(text)) - 1]
-        chunks = [text[i : i + bands.chunk] for i in range(0, len(text) - bands.chunk + 1, bands.chunk)]
-        bad = sum(not bands.chunk_least <= self.ratio(x) <= bands.chunk_most for x in chunks)
-        kept = not failed and least <= ratio <= most and bad <= bands.bad_share * len(chunks)
+        chunks = self.chunks(text)
+        bad = sum(not self.inside(self.ratio(x), len(x)) for x in chunks)
+        kept = not failed and self.inside(ratio, len(text)) and bad <= self.bands.bad_share * len(chunks)
         return (
             len(words), word_chars, n_symbols, len(lines) - len(set(lines)), repeats,
             failed, len(text), ratio, len(chunks), bad, kept,

@@ -3,6 +3,7 @@
 import base64
 import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -76,3 +77,31 @@ def test_kept_returns_the_rows_as_they_were(spark, documents, odd_texts):
     expected = {r.doc_id for r in measured(docs).where("kept").collect()}
     assert {r.doc_id for r in rows.collect()} == expected and len(texts) - 1 in expected
     assert all(r.text == texts[r.doc_id] and r.kept == "clash" for r in rows.collect())
+
+
+def noise_words(rng, n_bytes):
+    letters = string.ascii_letters + string.digits
+    words = " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 10))) for _ in range(n_bytes // 3))
+    return words[:n_bytes]
+
+
+@pytest.mark.parametrize("n", [256, 320, 384, 448, 512, 600, 640, 768, 900, 1020, 1536, 2048, 3000, 4090, 6000, 16384, 40000])
+def test_noise_and_half_noise_of_every_band(n):
+    rng = random.Random(n)
+    measure = Measure(Bands())
+    assert all(measure(prose(rng, n)[:n].encode())[-1] for _ in range(5) if n >= 400)
+    for _ in range(20):
+        clean, noise = prose(rng, n)[: n // 2], noise_words(rng, n)
+        for text in (noise, clean + " " + noise[: n // 2], noise[: n // 2] + " " + clean):
+            assert not measure(text.encode())[-1], text
+
+
+def test_chunks_cover_the_text():
+    measure = Measure(Bands())
+    for n in (0, 1, 127, 255, 256, 383, 384, 2047, 2048, 5000, 16383, 16384, 18431, 18432, 40000):
+        text = random.Random(n).randbytes(n)
+        chunks = measure.chunks(text)
+        size = 256 if n < 2048 else 512 if n < 16384 else 4096
+        assert b"".join(chunks) == text
+        assert all(len(x) == size for x in chunks[:-1])
+        assert n < size or size // 2 <= len(chunks[-1]) < size * 3 // 2
