@@ -70,7 +70,8 @@ def op10_compression_bands(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def op2_longest_match(spark: SparkSession, directory: str) -> DataFrame:
-    return tokencount.token_counts(table(spark, directory, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return tokencount.token_counts(table(spark, directory, "documents"), path, all_pieces=True)
 
 
 @query

@@ -22,15 +22,28 @@ START, CONTINUE, NOWHERE = 0, 1, -1
 
 
 class LongestMatch:
-    """count(word): pieces of a word, or 0 if the vocabulary cannot cut it."""
+    """count(word): pieces of a word, or 0 if the vocabulary cannot cut it.
 
-    def __init__(self, starting: Iterable[str], continuing: Iterable[str]):
+    An empty starting piece is the mark before a word as a piece of its own: a word that no
+    other starting piece fits is cut by continuing pieces from its first character. With
+    `by_bytes`, a character that no piece fits counts as the bytes of its UTF-8 form.
+    """
+
+    def __init__(self, starting: Iterable[str], continuing: Iterable[str], by_bytes: bool = False):
         # A node's edges by character; START and CONTINUE are the roots.
         self.edges: list[dict[str, int]] = [{}, {}]
-        pieces = [self._add(START, p) for p in starting if p] + [self._add(CONTINUE, p) for p in continuing if p]
+        self.by_bytes = by_bytes
+        starting, continuing = set(starting), set(continuing) - {""}
+        pieces = dict.fromkeys([self._add(START, p) for p in starting if p] + [self._add(CONTINUE, p) for p in continuing], 1)
+        if by_bytes:
+            # Other characters are met at the root only, and never lie within a piece.
+            for character in set().union(*starting, *continuing) - continuing:
+                pieces[self._add(CONTINUE, character)] = len(character.encode())
         self.links = [NOWHERE] * len(self.edges)
         self.popped = [0] * len(self.edges)
-        self._link(set(pieces))
+        if "" in starting:
+            self.links[START], self.popped[START] = CONTINUE, 1
+        self._link(pieces)
 
     def _add(self, node: int, piece: str) -> int:
         for character in piece:
@@ -40,7 +53,7 @@ class LongestMatch:
             node = self.edges[node][character]
         return node
 
-    def _link(self, pieces: set[int]) -> None:
+    def _link(self, pieces: dict[int, int]) -> None:
         level = [START, CONTINUE]
         while level:
             following = []
@@ -48,7 +61,7 @@ class LongestMatch:
                 for character, node in self.edges[parent].items():
                     following.append(node)
                     if node in pieces:
-                        self.links[node], self.popped[node] = CONTINUE, 1
+                        self.links[node], self.popped[node] = CONTINUE, pieces[node]
                         continue
                     # What the parent's characters are cut into, and on from there.
                     at, popped = self.links[parent], self.popped[parent]
@@ -63,6 +76,10 @@ class LongestMatch:
         node, popped = START, 0
         for character in word:
             while (following := self.edges[node].get(character)) is None:
+                if node == CONTINUE and self.by_bytes:
+                    popped += len(character.encode())
+                    following = CONTINUE
+                    break
                 if self.links[node] == NOWHERE:
                     return 0
                 popped += self.popped[node]
@@ -91,24 +108,30 @@ class _Counts(dict):
 
 
 @functools.lru_cache(maxsize=2)
-def piece_counts(path: str) -> _Counts:
+def piece_counts(path: str, all_pieces: bool = False) -> _Counts:
     """Counts by the pieces of a sentencepiece file, one store for a worker process.
 
-    A piece with the word mark starts a word, any other continues one. Control, unknown and
-    byte pieces are left out.
+    A piece with the word mark starts a word, any other continues one. Control and unknown
+    pieces are left out. So are byte pieces and the word mark alone without `all_pieces`;
+    with it, a marked piece also continues a word that holds the mark's character itself.
     """
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     numbers = range(model.get_piece_size())
     pieces = [model.id_to_piece(i) for i in numbers if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
     starting = [p.removeprefix("▁") for p in pieces if p.startswith("▁")]
-    return _Counts(LongestMatch(starting, [p for p in pieces if "▁" not in p]).count)
+    if all_pieces:
+        return _Counts(LongestMatch(starting, pieces, sum(map(model.is_byte, numbers)) == 256).count)
+    return _Counts(LongestMatch([p for p in starting if p], [p for p in pieces if "▁" not in p]).count)
 
 
-def token_counts(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def token_counts(
+    docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", all_pieces: bool = False
+) -> DataFrame:
     """(id, n_words, n_tokens, n_unknown) of every row.
 
     Words are what ASCII white space separates. A word that the vocabulary cannot cut is
-    one unknown token. Null and empty texts have none. Rows are taken one by one, without a
+    one unknown token; with `all_pieces`, the lone word mark and the byte pieces are part of
+    the vocabulary, and where it holds both, it cuts every word. Null and empty texts have none. Rows are taken one by one, without a
     shuffle; repeated rows and null ids stay, an empty table gives no rows, other columns
     are not read.
     """
@@ -117,7 +140,7 @@ def token_counts(docs: DataFrame, path: str, id_column: str = "doc_id", text_col
     names = [id_column, "n_words", "n_tokens", "n_unknown"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = piece_counts(path)
+        counts = piece_counts(path, all_pieces)
         for batch in small_batches(batches, "text"):
             found = []
             for text in texts(batch.column(1)):

@@ -8,6 +8,7 @@ import pytest
 import sentencepiece
 
 from scholaris.llm import tokencount
+from scholaris.llm.queries import QUERIES
 from scholaris.llm.tokencount import LongestMatch
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -66,3 +67,45 @@ def test_odd_tables(spark, documents):
     assert tokencount.token_counts(documents([]), PATH).count() == 0
     rows = tokencount.token_counts(documents(["the", "the", None], [None, 1, 1]), PATH).collect()
     assert sorted((r.doc_id or 0, r.n_words, r.n_tokens) for r in rows) == [(0, 1, 1), (1, 0, 0), (1, 1, 1)]
+
+
+def brute_bytes(word, pieces, longest):
+    """Greedy cutting of the marked word over one set of pieces, bytes where none fits."""
+    word, at, n = "▁" + word, 0, 0
+    while at < len(word):
+        size = next((k for k in range(min(longest, len(word) - at), 0, -1) if word[at : at + k] in pieces), 0)
+        n += 1 if size else len(word[at].encode())
+        at += max(size, 1)
+    return n
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_lone_mark_and_bytes_in_random_vocabularies(seed):
+    rng = random.Random(seed)
+    made = lambda n, least: {"".join(rng.choice("abé") for _ in range(rng.randint(least, 6))) for _ in range(n)}
+    starting, continuing = made(8, 1) | {""}, made(8, 2)
+    match = LongestMatch(starting, continuing, by_bytes=True)
+    pieces = {"▁" + p for p in starting} | continuing
+    for _ in range(3000):
+        word = "".join(rng.choice("日dé" if rng.random() < 0.2 else "abé") for _ in range(rng.randint(1, 14)))
+        assert match.count(word) == brute_bytes(word, pieces, 7), word
+
+
+def full_vocabulary():
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    numbers = range(model.get_piece_size())
+    return {model.id_to_piece(i) for i in numbers if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+
+
+def test_the_query_counts_by_the_full_vocabulary(spark, documents, odd_texts, tmp_path):
+    words = ["2016", "100,000", "中国人民大学生", "ñandú", "x🦄y", "🦄🦄", "▁a▁▁b", "\x00", "ﬁne", "é\u0301"]
+    texts = [*words, *odd_texts]
+    documents(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in QUERIES["op2_longest_match"](spark, str(tmp_path)).collect()}
+    assert sorted(rows) == list(range(len(texts)))
+    assert [rows[i].n_tokens for i in range(4)] == [5, 8, 8, 4]
+    pieces = full_vocabulary()
+    longest = max(map(len, pieces))
+    for i, text in enumerate(texts):
+        cut = [brute_bytes(w, pieces, longest) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+        assert tuple(rows[i][1:]) == (len(cut), sum(cut), 0), text
