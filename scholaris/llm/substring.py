@@ -179,7 +179,7 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
     `key` is `text_key`; a run is n windows that start at words first, first + 1 and so on,
     counted from 0. Rows without such windows are left out. Repeated rows share an id and
-    key: each has its windows repeated by the others, and runs appear once or more.
+    key: each has its windows repeated by the others, and all have one list, of each run once.
     """
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(repeated_cells(docs, text_column, window))
@@ -236,7 +236,8 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text_column: st
         twice = single.groupBy("anchor", "window").count().where("count > 1")
         parts = single.where("n = 1").join(twice.select("anchor", "window"), ["anchor", "window"], "left_semi")
         parts = parts.select("id", "key", (F.col("first") + F.col("i")).alias("first"), F.lit(1).alias("n"))
-        repeated = whole.union(parts).groupBy("id", "key").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
+        # A set: every task leaves the runs of rows that share an id and key once, however many rows there are.
+        repeated = whole.union(parts).groupBy("id", "key").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
         repeated.write.parquet(path)
     return spark.read.schema(repeated.schema).parquet(path)
 

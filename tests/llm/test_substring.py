@@ -101,3 +101,19 @@ def test_deduplicated_leaves_other_texts_alone(spark, documents):
             assert hashlib.sha256(rows[i].text.encode()).hexdigest() == digest
         else:
             assert rows[i].text == texts[i]
+
+
+def test_rows_that_share_id_and_text_list_each_run_once(spark, documents):
+    rng = random.Random(7)
+    words = lambda n: " ".join(f"c{rng.getrandbits(40):x}" for _ in range(n))
+    copied, other = words(300), words(200)
+    texts = [copied] * 40 + [other] * 30 + [words(100)]
+    ids = [None] * 40 + [7] * 30 + [8]
+    docs = documents(texts, ids)
+    found = {r.id: r.runs for r in substring.repeated_windows(docs).collect()}
+    assert set(found) == {None, 7}
+    for runs, n in ((found[None], 300), (found[7], 200)):
+        starts = [run.first + i for run in runs for i in range(run.n)]
+        assert sorted(starts) == list(range(n - 34))
+    rows = sorted((r.doc_id or 0, *r[1:]) for r in substring.removed(docs).collect())
+    assert rows == sorted((i or 0, *x) for i, x in zip(ids, brute(texts), strict=True))
