@@ -89,10 +89,27 @@ Unless required by applicable law or agreed to in writing, software distributed
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
 )
+_BSD_2 = next(text for name, text in KNOWN if name == "BSD-2-Clause").split("\n")
+_CLAUSE_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+    "or promote products derived from this software without specific prior written permission."
+)
+KNOWN += (("BSD-3-Clause", "\n".join([*_BSD_2[:-1], _CLAUSE_3, _BSD_2[-1]])),)
+
+# The title lines that whole texts are given with; each makes one more known text.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License"),
+}
+KNOWN += tuple((name, f"{title}\n{text}") for name, text in KNOWN if "\n" in text for title in TITLES.get(name, ()))
 
 _SPELLINGS = {a.encode(): b.encode() for a, b in EQUIVALENT.items()}
-# A copyright line: after comment signs or list marks, one of these words or signs.
-_COPYRIGHT = re.compile(rb"[ \t*#/;|%<>=!-]*(?:copyright\b|\(c\)|\xc2\xa9|all rights reserved\b)")
+# A copyright line: after comment signs or list marks, one of these words or signs. Where a
+# sentence of a license is broken before "copyright holders" and the like, it is none.
+_COPYRIGHT = re.compile(rb"[ \t*#/;|%<>=!-]*(?:copyright\b(?![ \t]+(?:holders?|owners?|notices?|laws?|licenses?|statements?|and|or|in|to|interests?)\b)|\(c\)|\xc2\xa9|all rights reserved\b)")
 # Typographic dashes and quotes, the no-break space, the copyright sign and angle quotes.
 _QUOTES = re.compile(rb"\xe2\x80[\x90-\x9f]|\xc2[\xa0\xa9\xab\xbb]")
 _KEPT = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
@@ -131,10 +148,17 @@ def digests(table: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return map_batches(rows, work, f"id {kind}, raw binary, digest string, lines array<string>")
 
 
-def scanned(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def scanned(
+    docs: DataFrame,
+    known: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    known_digests: tuple[tuple[str, str], ...] = (),
+) -> DataFrame:
     """(id, digest, license, notices array<string>) of every row.
 
-    `known` has license and text, any number of rows. `digest` is the SHA-256 of the whole
+    `known` has license and text, any number of rows; `known_digests` adds pairs of a license
+    and the digest of a canonical form. `digest` is the SHA-256 of the whole
     text's canonical form, `license` the known license of that digest (the first by name, if
     several share one) or null. `notices` names the licenses that lines of a longer text are,
     sorted, each once; it is empty without any, and for texts of one line, which are whole.
@@ -147,7 +171,9 @@ def scanned(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_c
     """
     rows = stored(digests(docs, id_column, text_column), "digests")
     empty = hashlib.sha256(b"").hexdigest()
-    named = digests(known, "license", "text").where(F.col("digest") != empty)
+    named = digests(known, "license", "text").where(F.col("digest") != empty).select("id", "digest")
+    if known_digests:
+        named = named.union(docs.sparkSession.createDataFrame(list(known_digests), "id string, digest string"))
     named = stored(named.groupBy("digest").agg(F.min("id").alias("license")), "licenses")
     lines = rows.select("raw", F.explode("lines").alias("digest")).join(named, "digest")
     notices = lines.groupBy("raw").agg(F.sort_array(F.collect_set("license")).alias("notices"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholaris.llm import bytebpe, licenses, maxscore, packing, quality, simhash, substring, tokencount, tokenfiles, urlfilter
+from scholaris.llm.licensedigests import DIGESTS
 from scholaris.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,7 +60,7 @@ def op8_reduced_best_fit(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op9_license_digests(spark: SparkSession, directory: str) -> DataFrame:
     known = spark.createDataFrame(list(licenses.KNOWN), "license string, text string")
-    found = licenses.scanned(table(spark, directory, "documents"), known)
+    found = licenses.scanned(table(spark, directory, "documents"), known, known_digests=DIGESTS)
     return found.withColumn("notices", F.array_join("notices", ","))
 
 

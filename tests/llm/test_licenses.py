@@ -6,6 +6,7 @@ import pytest
 
 from scholaris.llm import licenses
 from scholaris.llm.licenses import KNOWN, canonical_lines
+from scholaris.llm.queries import QUERIES
 
 MIT = next(text for name, text in KNOWN if name == "MIT" and "\n" in text)
 
@@ -59,3 +60,38 @@ def test_odd_tables(spark, documents, odd_texts):
     blank = spark.createDataFrame([("None", ""), ("Null", None), ("B", "x"), ("A", "X!")], "license string, text string")
     rows = licenses.scanned(documents(["x", "", None]), blank).collect()
     assert {r.doc_id: r.license for r in rows} == {0: "A", 1: None, 2: None}
+
+
+def test_titles_other_texts_and_digests(spark, documents, tmp_path):
+    clause = "3. Neither the name of the copyright holder nor the names of its contributors may be used"
+    bsd = next(text for name, text in KNOWN if name == "BSD-3-Clause")
+    isc = next(text for name, text in KNOWN if name == "ISC")
+    unlicense = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all
+copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>
+"""
+    expected = {
+        "MIT License\n\nCopyright (c) 2020 Somebody\n\n" + MIT: "MIT",
+        "The MIT License (MIT)\n\nCopyright 2020\n" + MIT: "MIT",
+        "MIT License\n" + MIT.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS OR\nCOPYRIGHT HOLDERS"): "MIT",
+        "ISC License\n\n" + isc: "ISC",
+        "BSD 3-Clause License\n\nCopyright (c) 2020, A B\nAll rights reserved.\n\n" + bsd: "BSD-3-Clause",
+        bsd.replace(clause, "3. Neither the name of A B nor the names of its contributors may be used"): None,
+        unlicense: "Unlicense",
+    }
+    assert clause in bsd
+    documents(list(expected)).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r.license for r in QUERIES["op9_license_digests"](spark, str(tmp_path)).collect()}
+    assert [rows[i] for i in range(len(expected))] == list(expected.values())
+
+
+def test_copyright_lines_are_not_broken_sentences():
+    lines = b"Copyright 2020 x\nCopyright holders be liable\n * Copyright (c) x\ncopyright notice, and\nCopyright Ann Other"
+    assert canonical_lines(lines) == [b"copyright holders be liable", b"copyright notice and"]
