@@ -126,7 +126,54 @@ where kind = 'd'
 """
 
 
+INFILL = """
+with docs as (
+  select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n,
+         sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+dealt as (
+  select *, [cast('0x' || substr(h, 8 * i + 1, 8) as bigint) for i in range(4)] as d from docs),
+cut as (
+  select *, least(d[1] % (n + 1), d[2] % (n + 1)) as a, greatest(d[1] % (n + 1), d[2] % (n + 1)) as b,
+         case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or d[3] % 100 >= 90 then 'plain'
+              when d[4] % 100 < 20 then 'spm' else 'psm' end as form from dealt),
+parts as (select *, substr(t, 1, a) as p, substr(t, a + 1, b - a) as m, substr(t, b + 1) as s from cut)
+select doc_id, cast(n as bigint) as n, form,
+       case when form <> 'plain' then cast(a as bigint) end as prefix_chars,
+       case when form <> 'plain' then cast(b - a as bigint) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+              else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(t) as restored_sha256
+from parts
+"""
+
+
+def _search(k: int) -> str:
+    term = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+    def terms(table: str, name: str) -> str:
+        small = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+        return f"select row_number() over () as {name}, *, regexp_extract_all({small}, '{term}') as terms from {table}"
+
+    return f"""
+with docs as ({terms("documents", "d")}), items as ({terms("benchmark", "i")}),
+totals as (select count(*) filter (len(terms) > 0) as N, cast(sum(len(terms)) as bigint) as L from docs),
+tfs as (select d, term, count(*) as tf from (select d, unnest(terms) as term from docs) group by all),
+asked as (select i, term, count(*) as times from (select i, unnest(terms) as term from items) group by all),
+weights as (select term, cast(floor(1000 * ln((2 * N + 2) / (2 * count(*) + 1))) as bigint) as w from tfs, totals group by term, N),
+lengths as (select d, doc_id, 25 + (75 * len(terms) * N) // L as m from docs, totals),
+scores as (
+  select i, d, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as score
+  from asked join tfs using (term) join weights using (term) join lengths using (d) group by i, d)
+select item_id, cast(rank as int) as rank, doc_id, cast(score as bigint) as score
+from (select i, doc_id, score, row_number() over (partition by i order by score desc, doc_id) as rank
+      from scores join lengths using (d) where score > 0) join items using (i)
+where rank <= {k}
+"""
+
+
 ORACLE = {
+    "op11_fenwick_infill": INFILL,
+    "op12_automaton_search": _search(10),
     "op3_count_min_windows": _windows(35),
     "op5_redirect_aliases": _urls(),
     "op6_maxscore": TOP_K,

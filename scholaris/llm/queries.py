@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholaris.llm import bytebpe, licenses, maxscore, packing, quality, simhash, substring, tokencount, tokenfiles, urlfilter
+from scholaris.llm import bytebpe, infill, lexscan, licenses, maxscore, packing, quality, simhash, substring, tokencount, tokenfiles, urlfilter
 from scholaris.llm.licensedigests import DIGESTS
 from scholaris.llm.oracle import ORACLE  # noqa: F401
 
@@ -78,3 +78,16 @@ def op2_longest_match(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op3_count_min_windows(spark: SparkSession, directory: str) -> DataFrame:
     return substring.removed(table(spark, directory, "documents"))
+
+
+@query
+def op11_fenwick_infill(spark: SparkSession, directory: str) -> DataFrame:
+    found = infill.transformed(table(spark, directory, "documents"))
+    back = infill.restored(F.col("output"), F.col("form"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")]
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query
+def op12_automaton_search(spark: SparkSession, directory: str) -> DataFrame:
+    return lexscan.ranked(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
