@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholaris.llm import bytebpe, infill, lexscan, licenses, maxscore, packing, quality, simhash, substring, tokencount, tokenfiles, urlfilter
+from scholaris.llm import bytebpe, infill, lexscan, licenses, maxscore, packing, quality, simhash, substring, tokencount, tokenfiles, toxicity, urlfilter
 from scholaris.llm.licensedigests import DIGESTS
 from scholaris.llm.oracle import ORACLE  # noqa: F401
 
@@ -91,3 +91,8 @@ def op11_fenwick_infill(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op12_automaton_search(spark: SparkSession, directory: str) -> DataFrame:
     return lexscan.ranked(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
+@query
+def op13_recurrent_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    return toxicity.scored(table(spark, directory, "documents"), table(spark, directory, "labels"))

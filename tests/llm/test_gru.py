@@ -1,0 +1,65 @@
+"""The network's gradients against differences, and its batches against one sequence at a time."""
+
+import numpy as np
+import pytest
+
+from scholaris.llm import gru
+
+SMALL = gru.Shape(character=3, character_state=2, word=3, state=3, attention=2, window=5, step=2)
+WORDS = ["a", "the", "näïve", "日本語", "x" * gru.LONGEST, "loser", "b2"]
+
+
+def sample():
+    rng = np.random.default_rng(4)
+    p = {k: v.astype(np.float64) + 0.1 * rng.normal(size=v.shape) for k, v in gru.start(rng, SMALL, 4).items()}
+    numbers = np.array([0, 1, 0, 2, 0, 3, 1])
+    windows = rng.integers(0, len(WORDS), (6, 5))
+    lengths = np.array([5, 5, 4, 2, 1, 0])
+    windows[np.arange(5) >= lengths[:, None]] = 0
+    return p, numbers, windows, lengths, np.array([1.0, 0, 1, 0, 1, 0]), rng.random(6) + 0.5
+
+
+@pytest.mark.parametrize("name", sorted(gru.start(np.random.default_rng(0), SMALL, 4)))
+def test_gradients(name):
+    p, numbers, windows, lengths, labels, weights = sample()
+
+    def loss():
+        return gru.gradients(p, WORDS, numbers, windows, lengths, labels, weights)
+
+    found = loss()[1][name]
+    rng = np.random.default_rng(1)
+    places = list(np.ndindex(found.shape))
+    used = [i for i in places if found[i]] or places
+    for at in [used[i] for i in rng.choice(len(used), min(len(used), 12), replace=False)]:
+        before = p[name][at]
+        p[name][at] = before + 1e-5
+        up = loss()[0]
+        p[name][at] = before - 1e-5
+        down = loss()[0]
+        p[name][at] = before
+        assert found[at] == pytest.approx((up - down) / 2e-5, rel=1e-4, abs=1e-7)
+
+
+def test_a_batch_equals_its_windows_alone():
+    p, numbers, windows, lengths, *_ = sample()
+    table, _ = gru.word_rows(p, WORDS, numbers)
+    together = gru.window_logits(p, table, windows, lengths)[0]
+    for window, n, logit in zip(windows, lengths, together, strict=True):
+        alone = gru.window_logits(p, table, window[None, : max(n, 1)], np.array([n]))[0]
+        assert alone[0] == pytest.approx(logit)
+    for i, word in enumerate(WORDS):
+        assert gru.word_rows(p, [word], numbers[i : i + 1])[0][0] == pytest.approx(table[i])
+
+
+def test_states_run_both_ways():
+    """One sequence against the equations of a GRU, step by step."""
+    rng = np.random.default_rng(2)
+    gates, inner, bias = rng.normal(size=(4, 1, 6)), rng.normal(size=(2, 6)), rng.normal(size=2)
+    for back in (False, True):
+        states, _ = gru.gru(list(gates), inner, bias, back)
+        h = np.zeros(2)
+        for t in reversed(range(4)) if back else range(4):
+            a = h @ inner
+            z, r = (1 / (1 + np.exp(-(gates[t, 0, i : i + 2] + a[i : i + 2]))) for i in (0, 2))
+            h = z * h + (1 - z) * np.tanh(gates[t, 0, 4:] + r * (a[4:] + bias))
+            assert states[t][0] == pytest.approx(h)
