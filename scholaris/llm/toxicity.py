@@ -306,7 +306,9 @@ def trained(docs: DataFrame, labels: DataFrame, training: Training, shape: gru.S
         model = train(given, np.array(wanted, np.int64), training, shape)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    return pickle.loads(map_batches(together, work, "model binary").first()["model"])
+    made = map_batches(together, work, "model binary").first()
+    # Without rows Spark may leave the task out.
+    return pickle.loads(made["model"]) if made else train([], np.zeros(0, np.int64), training, shape)
 
 
 def scored(
