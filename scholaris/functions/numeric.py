@@ -57,5 +57,11 @@ def in_order(first, last) -> Column:
     return F.coalesce(_col(first) <= _col(last), F.lit(False))
 
 
+def map_total(c) -> Column:
+    """Sum of a map's values; 0 for an empty map and for null values, null for a null map."""
+    zero = F.lit(0).cast("long")
+    return F.aggregate(F.map_values(_col(c)), zero, lambda total, x: total + F.coalesce(x.cast("long"), zero))
+
+
 def _col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)

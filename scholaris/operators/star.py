@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from scholaris.functions import calendar, grades
 from scholaris.functions.numeric import ratio
 from scholaris.operators.ranking import dense_key, position_columns
+from scholaris.operators.registry import extend, keyed
 
 
 def students_cleaned(students: DataFrame) -> DataFrame:
@@ -26,19 +27,41 @@ def _dimension(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return dense_key(df.select(*columns, *position_columns(df)), key, columns)
 
 
+# (key, id and attributes) of the dimensions of things with an id.
+STUDENT = ("student_key", ["student_id", "major", "gpa"])
+FACULTY = ("faculty_key", ["faculty_id", "rank", "department"])
+COURSE = ("course_key", ["course_id", "course_code", "course_title", "credits", "instructor_id"])
+
+
 def dim_student(students: DataFrame) -> DataFrame:
-    keyed = _dimension(students, "student_key", ["student_id", "major", "gpa"])
-    return keyed.withColumn("dw_is_current", F.lit(True))
+    return _dimension(students, *STUDENT).withColumn("dw_is_current", F.lit(True))
 
 
 def dim_faculty(faculty: DataFrame) -> DataFrame:
-    keyed = _dimension(faculty, "faculty_key", ["faculty_id", "rank", "department"])
-    return keyed.withColumn("dw_is_current", F.lit(True))
+    return _dimension(faculty, *FACULTY).withColumn("dw_is_current", F.lit(True))
 
 
 def dim_course(courses: DataFrame) -> DataFrame:
-    columns = ["course_id", "course_code", "course_title", "credits", "instructor_id"]
-    return _dimension(courses, "course_key", columns)
+    return _dimension(courses, *COURSE)
+
+
+def lasting(rows: DataFrame, dimension: tuple[str, list[str]], registry: str, load: str) -> DataFrame:
+    """A dimension whose keys stay from load to load, handed out by the registry at a path."""
+    key, columns = dimension
+    members = rows.select(*columns)
+    return keyed(members, extend(members, registry, load, columns[0], key), columns[0], key)
+
+
+def lasting_students(students: DataFrame, registry: str, load: str) -> DataFrame:
+    return lasting(students, STUDENT, registry, load).withColumn("dw_is_current", F.lit(True))
+
+
+def lasting_faculty(faculty: DataFrame, registry: str, load: str) -> DataFrame:
+    return lasting(faculty, FACULTY, registry, load).withColumn("dw_is_current", F.lit(True))
+
+
+def lasting_courses(courses: DataFrame, registry: str, load: str) -> DataFrame:
+    return lasting(courses, COURSE, registry, load)
 
 
 def dim_department(faculty: DataFrame) -> DataFrame:

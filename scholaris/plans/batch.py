@@ -1,10 +1,10 @@
 """The batch run: extract, validate, load, transform, check, and a log of it all.
 
-Everything is built beside the layers in use, in a folder of the run: the layers are
-replaced at the end, once all checks have had their say, so a run that stops or breaks
-leaves the last good ones as they were. Each phase reads what the phase before it wrote,
-so wide work is done once and a lost executor costs a re-read. Phases are logged as rows;
-an error ends the run and is raised after the log has been written.
+Everything is built as a new version beside the one in use, and published by one step at
+the end, once all checks have had their say: a run that stops or breaks, wherever it does,
+leaves the last good version as it was, whole. Each phase reads what the phase before it
+wrote, so wide work is done once and a lost executor costs a re-read. Phases are logged as
+rows; an error ends the run and is raised after the log has been written.
 """
 
 from collections.abc import Callable
@@ -14,16 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholaris import settings
+from scholaris.functions.numeric import map_total
 from scholaris.operators import integrity, quality, reports, star, views
 from scholaris.operators.ranking import positioned
-from scholaris.sources import files
-from scholaris.sources.workspace import intermediate_tables, replace_folder
+from scholaris.sources import files, versions
+from scholaris.sources.workspace import children, intermediate_tables, replace_folder
 
 C = F.col
+ENTRY = "run_id string, step int, phase string, status string, detail map<string,long>, error string, logged_at timestamp"
 LOG_SCHEMA = (
     "run_id string, step int, phase string, status string, tables long, rows long, "
     "detail map<string,long>, error string, logged_at timestamp"
 )
+LOG_COLUMNS = [part.split()[0] for part in LOG_SCHEMA.split(", ")]
 LAYERS = ("staging", "analytics", "compliance")
 
 
@@ -34,17 +37,18 @@ class RunLog:
         self.spark, self.run_id, self.entries, self.phase = spark, run_id, [], "extract"
 
     def add(self, phase: str, status: str, detail: dict[str, int] | None = None, error: str | None = None) -> None:
-        detail = detail or {}
         now = datetime.now(timezone.utc)
         step = len(self.entries) + 1
-        self.entries.append((self.run_id, step, phase, status, len(detail), sum(detail.values()), detail, error, now))
+        self.entries.append((self.run_id, step, phase, status, detail or {}, error, now))
 
     @property
     def failed(self) -> list[str]:
         return [e[2] for e in self.entries if e[3] == "FAIL"]
 
     def write(self, path: str) -> None:
-        self.spark.createDataFrame(self.entries, LOG_SCHEMA).coalesce(1).write.mode("append").json(path)
+        rows = self.spark.createDataFrame(self.entries, ENTRY).coalesce(1)
+        sums = {"tables": F.size("detail").cast("long"), "rows": map_total("detail")}
+        rows.withColumns(sums).select(LOG_COLUMNS).write.mode("append").json(path)
 
     def read(self, path: str) -> DataFrame:
         """The run's rows as they were written, and none of an earlier run of the same name."""
@@ -58,13 +62,7 @@ class QualityGateError(RuntimeError):
 
 
 def _saved(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _counts(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """Row counts by name: one job, one row per table."""
-    return {r["table_name"]: r["row_count"] for r in integrity.row_counts(tables).collect()}
+    return files.saved(df, path)[0]
 
 
 def quality_log(checks: DataFrame, run_id: str) -> DataFrame:
@@ -107,10 +105,13 @@ def run(
 
     Empty sources and failed checks, before or after the star schema is built, are logged:
     with `on_fail` "warn" the run goes on and ends with WARN, with "stop" it ends with FAIL
-    and leaves the layers of the last run as they are; so does any error, which is logged
-    with its phase. Layers are directories: staging, analytics and compliance, and logs
-    beside them. `load_only` ends after loading. `retain` leaves records out that are
-    older than their kind is kept. The salt is never logged.
+    and leaves the version of the last run in use; so does any error, which is logged with
+    its phase. A version has the layers staging, analytics and compliance, whose folders
+    `layer` names; logs and the registry of keys lie beside the versions. Dimension keys
+    stay from run to run. `load_only` ends after loading, the other layers stay those in
+    use. `retain` leaves records out that are older than their kind is kept, and log rows
+    likewise. The version before the new one is kept for readers that are still at it;
+    older ones, and what broken runs left, are deleted. The salt is never logged.
     """
     if on_fail not in ("warn", "stop"):
         raise ValueError("on_fail is 'warn' or 'stop'")
@@ -118,6 +119,8 @@ def run(
     try:
         with intermediate_tables(spark):
             _phases(log, retained(tables, as_of) if retain else tables, directory, salt, as_of, on_fail, nullable, load_only)
+        if retain and children(spark, logs):
+            purge_logs(spark, directory, datetime.combine(as_of, datetime.min.time()))
         log.add("end", "WARN" if log.failed else "PASS")
     except Exception as caught:
         error = caught
@@ -136,7 +139,8 @@ def run(
 
 
 def _phases(log, tables, directory, salt, as_of, on_fail, nullable, load_only) -> None:
-    building = f"{directory}/building/{log.run_id}"
+    version = versions.begin(log.spark, directory, log.run_id)
+    building = versions.folder(directory, version)
 
     def verdict(phase: str, failed: list[str], detail: dict[str, int]) -> None:
         reason = ", ".join(sorted(failed))
@@ -145,9 +149,8 @@ def _phases(log, tables, directory, salt, as_of, on_fail, nullable, load_only) -
             raise QualityGateError(f"{phase} failed: {reason}")
 
     # Sources are written down once; nothing reads them again.
-    landed = files.load_staging(tables, f"{building}/staging")
+    landed, counts = files.load_counted(tables, f"{building}/staging")
     staged = {name: df.drop("load_timestamp") for name, df in landed.items()}
-    counts = _counts(staged)
     verdict("extract", [name for name, n in counts.items() if not n], counts)
 
     log.phase = "validate"
@@ -160,15 +163,16 @@ def _phases(log, tables, directory, salt, as_of, on_fail, nullable, load_only) -
 
     if load_only:
         log.phase = "load"
-        _promote(log, building, directory, ("staging",))
+        _publish(log, directory, version, ("staging",))
         log.add("load", "PASS", counts)
         return
 
     log.phase = "transform"
-    built = transform(staged, f"{building}/analytics")
+    built, rows = transform(staged, f"{building}/analytics", f"{directory}/registry", version)
     publish(built, staged, f"{building}/compliance", salt)
-    log.add("transform", "PASS", _counts(built))
-    lineage = quality_log(stage_lineage(star_sources(staged, built)), log.run_id)
+    log.add("transform", "PASS", rows)
+    flows = [(target, source, counts[source], rows[target], counts[source] - rows[target]) for target, source in STAR_SOURCES.items()]
+    lineage = quality_log(log.spark.createDataFrame(flows, LINEAGE), log.run_id)
     lineage.write.mode("overwrite").parquet(f"{directory}/logs/lineage/run_id={log.run_id}")
 
     log.phase = "post_check"
@@ -179,28 +183,36 @@ def _phases(log, tables, directory, salt, as_of, on_fail, nullable, load_only) -
     verdict("post_check", list(failed), {"checks": passed["checks"], "passed": passed["passed"]})
 
     log.phase = "load"
-    _promote(log, building, directory, LAYERS)
+    _publish(log, directory, version, LAYERS)
     log.add("load", "PASS", counts)
 
 
-def _promote(log: RunLog, building: str, directory: str, layers: tuple[str, ...]) -> None:
-    for layer in layers:
-        replace_folder(log.spark, f"{building}/{layer}", f"{directory}/{layer}")
+def _publish(log: RunLog, directory: str, version: str, layers: tuple[str, ...]) -> None:
+    versions.publish(log.spark, directory, version, layers)
+    versions.retire(log.spark, directory)
+
+
+def layer(spark: SparkSession, directory: str, name: str) -> str:
+    """The folder of a layer of the version in use."""
+    return versions.layers(spark, directory)[name]
 
 
-def transform(staged: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:
-    """Build and save the star schema, dimensions before the facts that use them."""
-    s, built = staged, {}
+def transform(staged: dict[str, DataFrame], directory: str, registry: str, load: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Build and save the star schema, dimensions before the facts that use them.
+
+    Returns the tables and their rows, counted as they were written.
+    """
+    s, built, rows = staged, {}, {}
 
     def placed(name: str) -> DataFrame:
         return positioned(staged[name], in_files=True)
 
     def save(name: str, build: Callable[[], DataFrame]) -> None:
-        built[name] = _saved(build(), f"{directory}/{name}")
+        built[name], rows[name] = files.saved(build(), f"{directory}/{name}")
 
-    save("dim_student", lambda: star.dim_student(placed("students")))
-    save("dim_faculty", lambda: star.dim_faculty(placed("faculty")))
-    save("dim_course", lambda: star.dim_course(placed("courses")))
+    save("dim_student", lambda: star.lasting_students(s["students"], f"{registry}/student", load))
+    save("dim_faculty", lambda: star.lasting_faculty(s["faculty"], f"{registry}/faculty", load))
+    save("dim_course", lambda: star.lasting_courses(s["courses"], f"{registry}/course", load))
     save("dim_department", lambda: star.dim_department(s["faculty"]))
     save("dim_funding_agency", lambda: star.dim_funding_agency(s["grants"]))
     save("dim_date", lambda: star.dim_date(s["students"]))
@@ -212,9 +224,9 @@ def transform(staged: dict[str, DataFrame], directory: str) -> dict[str, DataFra
     )
     save("fact_course_performance", lambda: star.fact_course_performance(s["courses"], s["enrollments"]))
     fact, path = star.fact_enrollment(placed("enrollments"), built["dim_student"]), f"{directory}/fact_enrollment"
-    files.write_partitioned(fact, path, "academic_year", ["student_key", "enrollment_key"])
+    rows["fact_enrollment"] = files.write_partitioned(fact, path, "academic_year", ["student_key", "enrollment_key"])
     built["fact_enrollment"] = fact.sparkSession.read.schema(fact.schema).parquet(path)
-    return built
+    return built, rows
 
 
 def publish(built: dict[str, DataFrame], staged: dict[str, DataFrame], directory: str, salt: str) -> None:
@@ -232,16 +244,20 @@ def publish(built: dict[str, DataFrame], staged: dict[str, DataFrame], directory
 Flow = tuple[str, DataFrame, str, DataFrame]
 
 
+# The star tables that take their rows from one source each.
+STAR_SOURCES = {
+    "dim_student": "students",
+    "dim_faculty": "faculty",
+    "dim_course": "courses",
+    "fact_enrollment": "enrollments",
+    "fact_research_grant": "grants",
+}
+LINEAGE = "target string, source string, rows_in long, rows_out long, rows_dropped long"
+
+
 def star_sources(staged: dict[str, DataFrame], built: dict[str, DataFrame]) -> list[Flow]:
-    """The star tables that take their rows from one source each."""
-    pairs = {
-        "dim_student": "students",
-        "dim_faculty": "faculty",
-        "dim_course": "courses",
-        "fact_enrollment": "enrollments",
-        "fact_research_grant": "grants",
-    }
-    return [(target, built[target], source, staged[source]) for target, source in pairs.items()]
+    """Those tables next to their sources, to be counted."""
+    return [(target, built[target], source, staged[source]) for target, source in STAR_SOURCES.items()]
 
 
 def stage_lineage(flows: list[Flow]) -> DataFrame:

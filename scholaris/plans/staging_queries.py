@@ -2,15 +2,15 @@
 
 from pyspark.sql import functions as F
 
-from scholaris.operators import reports, star
+from scholaris.operators import incremental, reports, star
 from scholaris.operators.integrity import row_counts
 from scholaris.plans import batch
 from scholaris.plans.catalog import EXAMPLE_SALT, Tables, query
 from scholaris.plans.quality_queries import CHECKS, GATE, POST_LOAD
 from scholaris.settings import RETENTION_DAYS
-from scholaris.sources import files
+from scholaris.sources import files, landing, versions
 from scholaris.sources.derived import SOURCES
-from scholaris.sources.workspace import new_path
+from scholaris.sources.workspace import new_path, stored
 
 C = F.col
 _ALL_STAGING = ("students", "faculty", "grants", "courses", "enrollments")
@@ -93,6 +93,69 @@ def retention_purge(t: Tables):
     return files.purge(events, new_path(t.spark, "events"), "ts", latest, RETENTION_DAYS["staging"])
 
 
+@query("retention_by_day", "select * from events where ts >= (select max(ts) from events) - interval 7 day")
+def retention_by_day(t: Tables):
+    """Retention on a landing zone in folders by day: whole days go unread."""
+    events, path = t.source("events"), new_path(t.spark, "landing")
+    landing.land(events, path, "ts")
+    latest = events.agg(F.max("ts")).first()[0]
+    landing.purge(t.spark, path, events.schema, "ts", latest, RETENTION_DAYS["staging"])
+    return landing.read(t.spark, path, events.schema)
+
+
+# The day before which students are in the first of two loads.
+_SECOND_LOAD = "2021-01-01"
+
+
+@query("published_version_rows", "select * from students")
+def published_version_rows(t: Tables):
+    """Students of the published version, after an older one and beside one that is not published."""
+    root = new_path(t.spark, "warehouse")
+    early = t.students.where(C("date_enrolled") < _SECOND_LOAD)
+    for name, rows, published in (("first", early, True), ("second", t.students, True), ("broken", early, False)):
+        version = versions.begin(t.spark, root, name)
+        files.saved(rows, f"{versions.folder(root, version)}/staging/students")
+        if published:
+            versions.publish(t.spark, root, version, ("staging",))
+    return t.spark.read.schema(t.students.schema).parquet(f"{batch.layer(t.spark, root, 'staging')}/students")
+
+
+@query(
+    "dim_student_stable_keys",
+    f"""select row_number() over (order by date_enrolled >= date '{_SECOND_LOAD}', student_id) as student_key,
+               student_id, major, gpa, true as dw_is_current from students""",
+)
+def dim_student_stable_keys(t: Tables):
+    """The dimension after a second load, whose new ids lie between those of the first."""
+    registry = new_path(t.spark, "registry")
+    star.lasting_students(t.students.where(C("date_enrolled") < _SECOND_LOAD), registry, "1")
+    return star.lasting_students(t.students, registry, "2")
+
+
+@query(
+    "summary_delta_merge",
+    """select s.major, e.year as academic_year, count(*) as total_enrollments, round(avg(e.grade_point), 6) as avg_gpa,
+              round(stddev_samp(e.grade_point), 6) as sd_gpa
+       from enrollments e join students s using (student_id) group by 1, 2""",
+)
+def summary_delta_merge(t: Tables):
+    """A summary of yesterday's rows, brought up to date by the change feed.
+
+    Yesterday the last fall term was missing, B grades were lower by half a point, and
+    spring rows stood there a second time.
+    """
+    rows = t.landed().known_enrollments
+    after = rows.select("enrollment_id", "major", "academic_year", "grade_point")
+    last = rows.agg(F.max("academic_year")).scalar()
+    lower = F.when(C("grade").startswith("B"), C("grade_point") - 0.5).otherwise(C("grade_point"))
+    before = rows.where((C("academic_year") < last) | (C("semester") != "Fall")).withColumn("grade_point", lower)
+    before = before.select(after.columns).unionByName(after.where(rows["semester"] == "Spring"))
+    groups, value = ["major", "academic_year"], "grade_point"
+    summary = stored(incremental.states(before, groups, value), "summary")
+    feed = stored(incremental.change_feed(before, after), "feed")
+    return incremental.summarized(incremental.refreshed(summary, feed, groups, value), groups)
+
+
 _BUILT = {
     **{n: n for n in ("dim_student", "dim_faculty", "fact_enrollment", "fact_research_grant")},
     "dim_course": "courses",

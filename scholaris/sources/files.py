@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scholaris.functions.numeric import without_nan
@@ -41,15 +41,29 @@ def with_load_timestamp(df: DataFrame, at: datetime | Column | None = None) -> D
     return df.withColumn("load_timestamp", F.current_timestamp() if at is None else at)
 
 
+def saved(df: DataFrame, path: str, by: str | None = None) -> tuple[DataFrame, int]:
+    """Write a table, in a folder for each value of `by` if given; returns it as written, and its rows.
+
+    The rows are counted as they are written, in the last stage, where Spark counts a task
+    once however often it was tried; what is written is not read for it.
+    """
+    rows = Observation()
+    writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), int(rows.get.get("rows", 0))
+
+
+def load_counted(tables: dict[str, DataFrame], directory: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Replace each staging table; returns the tables as written, with NaN as null, and their rows."""
+    loaded, counts = {}, {}
+    for name, df in tables.items():
+        loaded[name], counts[name] = saved(with_load_timestamp(without_nan(df)), f"{directory}/{name}")
+    return loaded, counts
+
+
 def load_staging(tables: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:
     """Replace each staging table and return it as written, with NaN as null."""
-    loaded = {}
-    for name, df in tables.items():
-        path = f"{directory}/{name}"
-        stamped = with_load_timestamp(without_nan(df))
-        stamped.write.mode("overwrite").parquet(path)
-        loaded[name] = df.sparkSession.read.schema(stamped.schema).parquet(path)
-    return loaded
+    return load_counted(tables, directory)[0]
 
 
 def extraction_stats(tables: dict[str, DataFrame]) -> DataFrame:
@@ -78,19 +92,14 @@ def run_query(spark: SparkSession, sql: str, max_results: int | None = None, **t
     return result if max_results is None else result.limit(max_results)
 
 
-def write_partitioned(df: DataFrame, path: str, by: str, sort: list[str]) -> None:
-    """One directory per value of `by`, sorted across and inside its files.
+def write_partitioned(df: DataFrame, path: str, by: str, sort: list[str]) -> int:
+    """One directory per value of `by`, sorted across and inside its files; returns the rows.
 
     The range shuffle gives every task an equal share: a value that holds most of the
     table gets many files, provided that `sort` tells its rows apart.
     """
-    (
-        df.repartitionByRange(by, *sort)
-        .sortWithinPartitions(by, *sort)
-        .write.mode("overwrite")
-        .partitionBy(by)
-        .parquet(path)
-    )
+    ordered = df.repartitionByRange(by, *sort).sortWithinPartitions(by, *sort)
+    return saved(ordered, path, by)[1]
 
 
 def refresh_partitions(df: DataFrame, path: str, by: str) -> None:

@@ -71,6 +71,32 @@ def clear_workspace(spark: SparkSession) -> None:
     _delete(spark, workspace(spark))
 
 
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    path, files = _folder(spark, folder)
+    if not files.exists(path):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(path))
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    _delete(spark, folder)
+
+
+def write_text(spark: SparkSession, file: str, text: str) -> None:
+    """A small new file; one of that name is not replaced."""
+    path, files = _folder(spark, file)
+    stream = files.create(path, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, file: str) -> str:
+    return "\n".join(row["value"] for row in spark.read.text(file).collect())
+
+
 def replace_folder(spark: SparkSession, source: str, target: str) -> None:
     """Put `source` in the place of `target`, which is deleted; nothing happens without `source`."""
     (new, files), (old, _) = _folder(spark, source), _folder(spark, target)

@@ -1,18 +1,19 @@
 """Files, retention, partition refresh and the batch run."""
 
 import json
-from collections import defaultdict
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from scholaris.operators import reports
 from scholaris.plans import batch
 from scholaris.plans.catalog import QUERIES, Tables, load
 from scholaris.schemas import STAGING
-from scholaris.sources import files, workspace
+from scholaris.sources.workspace import children
+from scholaris.sources import files, versions, workspace
 
 load()
 SMALL = "/root/testdata/sf0.001"
@@ -150,21 +151,21 @@ def test_run_logs_every_phase(finished):
 def test_run_builds_the_same_star_as_the_queries(spark, finished):
     directory, _ = finished
     for name in ("dim_student", "fact_enrollment", "fact_research_grant", "dim_course"):
-        built = spark.read.parquet(f"{directory}/analytics/{name}")
+        built = spark.read.parquet(f"{batch.layer(spark, directory, 'analytics')}/{name}")
         queried = QUERIES[name](spark, SMALL)
         assert built.select(queried.columns).exceptAll(queried).count() == 0
         assert built.count() == queried.count()
 
 
-def test_run_keeps_years_apart(finished):
+def test_run_keeps_years_apart(spark, finished):
     directory, _ = finished
-    assert list(Path(directory, "analytics/fact_enrollment").glob("academic_year=*"))
+    assert list(Path(batch.layer(spark, directory, "analytics"), "fact_enrollment").glob("academic_year=*"))
 
 
 def test_published_rows_hold_no_raw_id(spark, finished):
     directory, _ = finished
     for name in ("student_enrollment_safe", "student_masked", "faculty_masked", "faculty_research_safe", "enrollment_summary"):
-        df = spark.read.parquet(f"{directory}/compliance/{name}")
+        df = spark.read.parquet(f"{batch.layer(spark, directory, 'compliance')}/{name}")
         text = df.select(F.to_json(F.struct("*")).alias("j"))
         assert df.count() > 0
         assert text.filter(F.col("j").rlike("STU_|FAC_|GNT_|ENR_")).count() == 0, name
@@ -172,8 +173,8 @@ def test_published_rows_hold_no_raw_id(spark, finished):
 
 def test_safe_view_matches_its_summary(spark, finished):
     directory, _ = finished
-    safe = spark.read.parquet(f"{directory}/compliance/student_enrollment_safe")
-    summary = spark.read.parquet(f"{directory}/compliance/enrollment_summary")
+    safe = spark.read.parquet(f"{batch.layer(spark, directory, 'compliance')}/student_enrollment_safe")
+    summary = spark.read.parquet(f"{batch.layer(spark, directory, 'compliance')}/enrollment_summary")
     total = summary.agg(F.sum("total_enrollments")).collect()[0][0]
     assert total == safe.count() and reports.enrollment_summary(safe).count() == summary.count()
 
@@ -186,14 +187,18 @@ def log_of(directory):
 @pytest.fixture
 def layers(spark, tmp_path):
     """A directory with layers from an earlier run."""
+    version = versions.begin(spark, str(tmp_path), "old")
     for layer in batch.LAYERS:
-        (tmp_path / layer).mkdir()
-        (tmp_path / layer / "old").write_text("old")
+        folder = Path(versions.folder(str(tmp_path), version), layer)
+        folder.mkdir(parents=True)
+        (folder / "old").write_text("old")
+    versions.publish(spark, str(tmp_path), version, batch.LAYERS)
     return tmp_path
 
 
 def untouched(directory):
-    return all((directory / layer / "old").read_text() == "old" for layer in batch.LAYERS)
+    found = versions.layers(SparkSession.active(), str(directory))
+    return len(found) == 3 and all(Path(folder, "old").read_text() == "old" for folder in found.values())
 
 
 def test_stop_leaves_the_layers_of_the_last_run(spark, layers):
@@ -246,8 +251,9 @@ def test_an_unwritten_log_does_not_hide_the_error(spark, layers, monkeypatch):
 def test_load_only_replaces_staging_alone(spark, layers):
     log = batch.run(spark, Tables(spark, SMALL).all(), str(layers), "s", run_id="r9", load_only=True).collect()
     assert [r.phase for r in log] == ["extract", "validate", "load", "end"]
-    assert spark.read.parquet(str(layers / "staging/students")).count() == 150
-    assert not (layers / "staging/old").exists() and (layers / "analytics/old").exists()
+    assert spark.read.parquet(batch.layer(spark, str(layers), "staging") + "/students").count() == 150
+    assert not Path(batch.layer(spark, str(layers), "staging"), "old").exists()
+    assert Path(batch.layer(spark, str(layers), "analytics"), "old").exists()
 
 
 def test_retention_by_kind(spark):
@@ -268,10 +274,41 @@ def test_old_log_rows_are_purged(spark, tmp_path):
     assert log.read(f"{tmp_path}/logs/runs").count() == 0
 
 
+def test_counts_of_the_log_are_those_of_the_files(spark, finished):
+    directory, log = finished
+    analytics = batch.layer(spark, directory, "analytics")
+    found = {name: spark.read.parquet(f"{analytics}/{name}").count() for name in children(spark, analytics)}
+    entry = next(r for r in log if r.phase == "transform")
+    assert entry.detail == found and entry.tables == len(found) and entry.rows == sum(found.values())
+    lineage = {r.target: r for r in spark.read.parquet(f"{directory}/logs/lineage").collect()}
+    assert {name: r.rows_out for name, r in lineage.items()} == {name: found[name] for name in batch.STAR_SOURCES}
+
+
+def test_keys_stay_from_run_to_run(spark, tmp_path):
+    """Yesterday's fact points at the same people after a run that brings ids between the old ones."""
+    tables, directory = Tables(spark, SMALL).all(), str(tmp_path)
+    early = tables | {"students": tables["students"].filter("date_enrolled < date'2021-01-01'")}
+    batch.run(spark, early, directory, "s", run_id="monday")
+    monday = batch.layer(spark, directory, "analytics")
+    people = spark.read.parquet(f"{monday}/fact_enrollment").select("student_key").distinct()
+    named = people.join(spark.read.parquet(f"{monday}/dim_student"), "student_key").select("student_key", "student_id")
+    before = {r.student_key: r.student_id for r in named.collect()}
+    batch.run(spark, tables, directory, "s", run_id="tuesday")
+    tuesday = batch.layer(spark, directory, "analytics")
+    after = {r.student_key: r.student_id for r in spark.read.parquet(f"{tuesday}/dim_student").collect()}
+    assert before and len(after) == 150 > len(before) and before.items() <= after.items()
+    assert min(k for k in after if k not in before and after[k] < max(before.values())) > max(before)
+    # Monday's version is still there for its readers; a third run leaves the last two.
+    assert spark.read.parquet(f"{monday}/dim_student").count() > 0
+    batch.run(spark, tables, directory, "s", run_id="wednesday", load_only=True)
+    assert not Path(monday).exists() and Path(tuesday).exists()
+    assert batch.layer(spark, directory, "analytics") == tuesday
+
+
 def test_lineage_sees_rows_that_a_target_lost(spark, finished):
     directory, _ = finished
-    staged = {n: spark.read.parquet(f"{directory}/staging/{n}") for n in STAGING}
-    built = {f[0]: spark.read.parquet(f"{directory}/analytics/{f[0]}") for f in batch.star_sources(staged, defaultdict(lambda: None))}
+    staged = {n: spark.read.parquet(f"{batch.layer(spark, directory, 'staging')}/{n}") for n in STAGING}
+    built = {name: spark.read.parquet(f"{batch.layer(spark, directory, 'analytics')}/{name}") for name in batch.STAR_SOURCES}
     built["dim_course"] = built["dim_course"].filter("course_key > 5")
     rows = {r.target: r for r in batch.stage_lineage(batch.star_sources(staged, built)).collect()}
     assert rows["dim_course"].rows_dropped == 5 and rows["dim_student"].rows_dropped == 0

@@ -1,0 +1,60 @@
+"""Keys that stay: loads with new ids anywhere, repeated, null and run again."""
+
+import pytest
+
+from scholaris.operators import registry, star
+
+
+def load(spark, path, ids, name):
+    rows = spark.createDataFrame([(i, "M", None) for i in ids], "student_id string, major string, gpa double")
+    return {r.student_id: r.student_key for r in star.lasting_students(rows, path, name).collect()}
+
+
+def test_new_ids_change_no_key(spark, tmp_path):
+    path = str(tmp_path / "r")
+    first = load(spark, path, ["b", "d", "f", "b", None], "1")
+    assert first == {"b": 1, "d": 2, "f": 3}
+    second = load(spark, path, ["a", "c", "d", "e", "b"], "2")
+    assert second == {"a": 4, "b": 1, "c": 5, "d": 2, "e": 6}
+    # An id that was away for a load has its key when it is back.
+    assert load(spark, path, ["f", "g"], "3") == {"f": 3, "g": 7}
+
+
+def test_a_load_that_is_run_again_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "r")
+    once = load(spark, path, ["x", "y"], "1")
+    assert load(spark, path, ["x", "y"], "1") == once
+    assert load(spark, path, ["x", "y", "w"], "1") == once | {"w": 3}
+    assert registry.read(spark, path, "student_key long, student_id string").count() == 3
+
+
+def test_what_a_crash_left_is_never_given_twice(spark, tmp_path):
+    path = str(tmp_path / "r")
+    load(spark, path, ["a", "b"], "1")
+    part = spark.createDataFrame([(5, "e")], "student_key long, student_id string")
+    part.write.parquet(f"{path}/load=2")
+    assert load(spark, path, ["a", "c", "d", "e"], "2") == {"a": 1, "e": 5, "c": 6, "d": 7}
+
+
+def test_repeated_ids_are_one_member(spark, tmp_path):
+    rows = [("a", "M2", 3.0), ("a", "M1", 4.0), ("a", "M1", None), ("b", None, 1.0), (None, "M", 2.0)]
+    df = spark.createDataFrame(rows, "student_id string, major string, gpa double")
+    found = star.lasting_students(df, str(tmp_path / "r"), "1").collect()
+    assert sorted(map(tuple, found)) == [(1, "a", "M1", None, True), (2, "b", None, 1.0, True)]
+
+
+@pytest.mark.parametrize("n", [20_000])
+def test_hot_ids_and_dense_numbers(spark, tmp_path, partitions, n):
+    partitions(8)
+    path = str(tmp_path / "r")
+    rows = spark.range(n).selectExpr("if(id % 3 = 0, 0, id) as course_id")
+    first = registry.extend(rows, path, "1", "course_id", "k")
+    found = {r.course_id: r.k for r in first.collect()}
+    assert sorted(found.values()) == list(range(1, len(found) + 1))
+    more = registry.extend(spark.range(n + 500).withColumnRenamed("id", "course_id"), path, "2", "course_id", "k")
+    after = {r.course_id: r.k for r in more.collect()}
+    assert found.items() <= after.items() and sorted(after.values()) == list(range(1, n + 501))
+
+
+def test_no_registry_yet(spark, tmp_path):
+    assert registry.read(spark, str(tmp_path / "none"), "k long, id string").collect() == []
