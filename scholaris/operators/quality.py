@@ -121,6 +121,11 @@ def _screened(df: DataFrame) -> list[str]:
     return [c for c in settings.ANOMALY_COLUMNS if c in numeric]
 
 
+def screened(df: DataFrame) -> DataFrame:
+    """The columns of a table that `anomalies` looks at."""
+    return df.select(*_screened(df))
+
+
 def _moments(df: DataFrame) -> list[Column]:
     return [
         F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("deviation")).alias(f"{c}_moments")

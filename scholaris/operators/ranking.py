@@ -61,9 +61,13 @@ def dense_key(df: DataFrame, name: str, order: list[str], again: str | None = No
     in_order = Window.orderBy("__part")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     starts = [F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start")]
+    parts = ordered.withColumn("__part", part)
     if again:
         starts.append(F.lag("__last").over(in_order).alias("__last"))
-    numbered = ordered.withColumn("__part", part).join(F.broadcast(sizes.select("__part", *starts)), "__part")
+        # Ranges are of one size: dealt in their order, every task has as many rows, and the window
+        # below is content with that. A hash of so few numbers would put several into one task.
+        parts = parts.repartitionByRange("__part")
+    numbered = parts.join(F.broadcast(sizes.select("__part", *starts)), "__part")
     flags = []
     if again:
         # The row before in the same range, or the last of the range before.

@@ -240,10 +240,6 @@ def publish(built: dict[str, DataFrame], staged: dict[str, DataFrame], directory
     _saved(views.faculty_masked(staged["faculty"], salt), f"{directory}/faculty_masked")
 
 
-# (star table, its rows, the source they come from, the source's rows)
-Flow = tuple[str, DataFrame, str, DataFrame]
-
-
 # The star tables that take their rows from one source each.
 STAR_SOURCES = {
     "dim_student": "students",
@@ -255,25 +251,24 @@ STAR_SOURCES = {
 LINEAGE = "target string, source string, rows_in long, rows_out long, rows_dropped long"
 
 
-def star_sources(staged: dict[str, DataFrame], built: dict[str, DataFrame]) -> list[Flow]:
-    """Those tables next to their sources, to be counted."""
-    return [(target, built[target], source, staged[source]) for target, source in STAR_SOURCES.items()]
-
+def stage_lineage(staged: dict[str, DataFrame]) -> DataFrame:
+    """What the star takes from staging: rows in the source, rows in the target, and the difference.
 
-def stage_lineage(flows: list[Flow]) -> DataFrame:
-    """Rows in the source, rows in the target, both counted, and the difference."""
-
-    def flow(target: str, rows: DataFrame, source: str, source_rows: DataFrame) -> DataFrame:
-        both = source_rows.agg(F.count("*").alias("rows_in"), F.lit(0).cast("long").alias("rows_out")).unionByName(
-            rows.agg(F.lit(0).cast("long").alias("rows_in"), F.count("*").alias("rows_out"))
-        )
-        counts = both.agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"))
-        return counts.select(
-            F.lit(target).alias("target"),
-            F.lit(source).alias("source"),
-            "rows_in",
-            "rows_out",
-            (C("rows_in") - C("rows_out")).alias("rows_dropped"),
-        )
-
-    return quality.union([flow(*f) for f in flows])
+    Dimensions take every row. Facts are inner joins, whose rows are counted per key on
+    either side and never built.
+    """
+    joins = {
+        "fact_enrollment": ("student_id", "students", "student_id"),
+        "fact_research_grant": ("pi_id", "faculty", "faculty_id"),
+    }
+
+    def flow(target: str, source: str) -> DataFrame:
+        if target in joins:
+            column, parent, key = joins[target]
+            counts = integrity.join_flow(staged[source], column, staged[parent], key)
+        else:
+            counts = staged[source].agg(F.count("*").alias("rows_in")).withColumn("rows_out", C("rows_in"))
+        names = [F.lit(target).alias("target"), F.lit(source).alias("source")]
+        return counts.select(*names, "rows_in", "rows_out", (C("rows_in") - C("rows_out")).alias("rows_dropped"))
+
+    return quality.union([flow(target, source) for target, source in STAR_SOURCES.items()])

@@ -4,8 +4,9 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from scholaris.operators import metrics, ranking
+from scholaris.operators import distinct, metrics, ranking, sketches
 from scholaris.plans.catalog import Tables, query
+from scholaris.sources.workspace import stored
 
 _WEIGHTED = "sum(grade_point * credits_earned) / nullif(sum(case when grade_point is not null then credits_earned end), 0)"
 _YEARLY = f"""(select student_id, year, {_WEIGHTED} as gpa from enrollments
@@ -182,3 +183,72 @@ def course_performance(t: Tables):
 )
 def award_trend(t: Tables):
     return metrics.award_trend(t.grants)
+
+
+_SPANS = ((2016, 2018), (2013, 2030), (2019, 2019), (1900, 1901))
+_SPAN_ROWS = ", ".join(f"(cast({a} as bigint), cast({b} as bigint))" for a, b in _SPANS)
+_ENROLLED = "select distinct e.year, student_id from enrollments e join students s using (student_id)"
+
+
+def _member_bits(t: Tables):
+    """Students of each year as bitmaps on their dense keys, stored once."""
+    yearly = t.known_years.select("student_id", "academic_year")
+    keys = t.dim_student.select("student_id", "student_key")
+    return stored(distinct.bitmaps(yearly.join(keys, "student_id"), "academic_year", "student_key"), "members")
+
+
+def _pairs(t: Tables, pairs):
+    return t.spark.createDataFrame(list(pairs), "first long, last long")
+
+
+@query(
+    "distinct_students_by_span",
+    f"""select first, last, count(distinct student_id) as members
+        from (values {_SPAN_ROWS}) spans(first, last) left join ({_ENROLLED}) e on e.year between first and last group by first, last""",
+)
+def distinct_students_by_span(t: Tables):
+    return distinct.distinct_in_spans(_member_bits(t), _pairs(t, _SPANS), "academic_year")
+
+
+_RETURNS = tuple((year, year + 1) for year in range(2013, 2020)) + ((2018, 2018),)
+_RETURN_ROWS = ", ".join(f"(cast({a} as bigint), cast({b} as bigint))" for a, b in _RETURNS)
+
+
+@query(
+    "returning_students_by_year",
+    f"""select first, last, count(distinct b.student_id) as members
+        from (values {_RETURN_ROWS}) pairs(first, last)
+        left join ({_ENROLLED}) a on a.year = first left join ({_ENROLLED}) b on b.year = last and b.student_id = a.student_id
+        group by first, last""",
+)
+def returning_students_by_year(t: Tables):
+    return distinct.common_in_periods(_member_bits(t), _pairs(t, _RETURNS), "academic_year")
+
+
+_PERCENTS = (5.0, 25.0, 50.0, 75.0, 95.0)
+
+
+@query(
+    "percentiles_from_sketches",
+    f"""select major, percent, n, true as within
+        from (select s.major, count(e.grade_point) as n from enrollments e join students s using (student_id) group by s.major) g,
+             (values {", ".join(f"(cast({p} as double))" for p in _PERCENTS)}) p(percent)""",
+)
+def percentiles_from_sketches(t: Tables):
+    """Percentiles of grade points by major, merged from a sketch for each major and year, and whether
+    the rank of each is as near as promised, held against all rows."""
+    rows = t.landed().known_enrollments.select("major", "academic_year", "grade_point")
+    by_load = stored(sketches.sketched(rows, ["major", "academic_year"], "grade_point"), "sketches")
+    found = sketches.percentiles(sketches.merged(by_load, ["major"]), ["major"], list(_PERCENTS))
+    cells = [F.struct(F.lit(p).alias("percent"), F.col(f"p{p:g}").alias("value")) for p in _PERCENTS]
+    long = found.select("major", "n", F.inline(F.array(*cells)))
+    # Ranks from the counts of values, of which there are few beside the rows.
+    counts = rows.where(F.col("grade_point").isNotNull()).groupBy("major", "grade_point").agg(F.count("*").alias("c"))
+    ranks = long.join(counts, "major").groupBy("major", "percent", "n").agg(
+        F.sum(F.when(F.col("grade_point") < F.col("value"), F.col("c")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("grade_point") <= F.col("value"), F.col("c")).otherwise(0)).alias("upto"),
+    )
+    off = sketches.rank_error() * F.col("n") + 1
+    rank = F.col("percent") / 100.0 * F.col("n")
+    within = (F.col("below") <= rank + off) & (F.col("upto") >= rank - off)
+    return ranks.select("major", "percent", "n", within.alias("within"))

@@ -8,6 +8,7 @@ from scholaris import settings
 from scholaris.operators import integrity, quality, reports
 from scholaris.plans.catalog import Tables, query
 from scholaris.schemas import STAGING
+from scholaris.sources.workspace import stored
 
 C = F.col
 STAGING_NAMES = list(STAGING)
@@ -156,7 +157,8 @@ _ANOMALIES = " union all ".join(
 
 @query("anomalies_by_column", _ANOMALIES)
 def anomalies_by_column(t: Tables):
-    return quality.anomalies_of(t.landed().all())
+    # Two passes over the outcome of a join: its one screened column is written down for them.
+    return quality.anomalies_of(t.all() | {"enrollments": stored(quality.screened(t.enrollments), "screened")})
 
 
 _SCORECARD = f"""

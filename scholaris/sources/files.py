@@ -13,7 +13,7 @@ C = F.col
 
 
 # Quotes inside a value are doubled, and blanks at its ends are part of it.
-_CSV = {
+CSV = {
     "header": True,
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
@@ -22,7 +22,16 @@ _CSV = {
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**_CSV).csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
+
+
+def write_lines(lines: DataFrame, path: str, header: str) -> None:
+    """Text files of the lines in `value`, each with a header line: what a source system drops in an inbox."""
+    file = F.spark_partition_id().alias("file")
+    numbered = lines.select("value", file, F.monotonically_increasing_id().alias("at"))
+    heads = numbered.groupBy("file").agg(F.lit(header).alias("value"), F.lit(-1).cast("long").alias("at"))
+    ordered = numbered.unionByName(heads.select("value", "file", "at")).repartition("file").sortWithinPartitions("file", "at")
+    ordered.select("value", "file").write.mode("overwrite").partitionBy("file").text(path)
 
 
 def read_csv(spark: SparkSession, table: str, path: str, multiline: bool = False) -> DataFrame:
@@ -30,7 +39,7 @@ def read_csv(spark: SparkSession, table: str, path: str, multiline: bool = False
 
     `multiline` allows line breaks inside values, at the price of one task per file.
     """
-    reader = spark.read.schema(STAGING[table]).options(**_CSV, mode="FAILFAST", multiLine=multiline)
+    reader = spark.read.schema(STAGING[table]).options(**CSV, mode="FAILFAST", multiLine=multiline)
     return reader.csv(path)
 
 
