@@ -5,83 +5,108 @@ vectors whose component has that sign, its impacts their components. A query's t
 the dimensions it uses, with the sign that raises the score; where a vector's component
 has the other sign the score falls, which no upper bound has to count.
 
-Terms are ordered by their greatest possible share of the score in a shard. Once k scores
-are known, the terms at the end that together cannot reach the k-th are non-essential:
-only vectors in the postings of an essential term can get in. Those are scored on the
-essential terms, and the other terms are probed one group after another while a vector's
-score so far and the bounds still open reach the k-th. Each shard gives its k best, and
-the shards are merged.
+Terms are ordered by their greatest possible share of the score in a shard. The terms at
+the end that together cannot reach the score to beat are non-essential: only vectors in
+the postings of an essential term can get in. Vectors are scored on a query's essential
+terms first; those that can still reach the score to beat are probed on its other terms,
+one group after another, while they stay competitive. The score to beat is the k-th best
+so far, at the start that of a sample of all vectors, which is a lower bound in every
+shard. The shards' best are merged.
+
+Queries go to the vectors, not the other way round: a block of queries is broadcast, and
+each task reads its vectors once for it.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scholaris.llm.arrow import ship
+from scholaris.llm.arrow import map_batches
 from scholaris.sources.workspace import stored
 
 K = 20
-# Vectors of a shard and queries of a block: what one task holds at a time.
+# Vectors of a shard, and of the sample that the scores to beat come from.
 SHARD = 4096
-BLOCK = 512
-# Vectors of a shard taken together; the k-th score is raised after each group.
-GROUP = 1024
+# Vectors that a task reads, at the most; components of the queries that are broadcast at a time.
+TASK_VECTORS = 1 << 17
+BLOCK_CELLS = 1 << 22
+# Queries that meet a shard together.
+TOGETHER = 128
 # Non-essential terms probed before vectors are dropped again.
 PROBE = 8
+# Below every score.
+LOWEST = -(2**62)
+
+
+class Best:
+    """The k best of each query so far, in rows (query, score, vec_id, row)."""
+
+    def __init__(self, least: np.ndarray, k: int):
+        self.k, self.least = k, least.copy()
+        self.full = np.zeros(len(least), bool)
+        self.rows = np.zeros((4, 0), np.int64)
+
+    def add(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray, row: np.ndarray) -> None:
+        rows = np.concatenate((self.rows, np.stack((query, score.astype(np.int64), ids, row))), axis=1)
+        rows = rows[:, np.lexsort((rows[3], rows[2], -rows[1], rows[0]))]
+        place = np.arange(rows.shape[1]) - np.searchsorted(rows[0], rows[0])
+        last = rows[:, place == self.k - 1]
+        self.least[last[0]] = np.maximum(self.least[last[0]], last[1])
+        self.full[last[0]] = True
+        self.rows = rows[:, place < self.k]
 
 
 class Shard:
-    """The inverted index of some vectors: signs by dimension, components, greatest impacts."""
+    """The inverted index of some vectors: components by term, and each term's greatest impact."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.components = ids[order], np.ascontiguousarray(vectors[order].T)
-        # Row 0: postings of the positive terms, row 1: of the negative ones.
-        self.postings = np.stack([self.components > 0, self.components < 0])
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray):
+        self.ids, self.rows, self.components = ids, rows, np.ascontiguousarray(vectors.T)
+        # Row 0: of the positive terms, row 1: of the negative ones.
         self.impacts = np.stack([self.components.max(axis=1, initial=0), -self.components.min(axis=1, initial=0)])
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best without the query's own id, ties to the smaller id."""
-        negative = (query < 0).astype(np.int64)
-        shares = np.abs(query) * self.impacts[negative, np.arange(len(query))]
-        terms = np.argsort(-shares, kind="stable")
-        terms = terms[query[terms] != 0]
-        weights, shares, signs = query[terms], shares[terms], negative[terms]
-        # open_after[i]: the most that terms i and later can add.
-        open_after = np.concatenate((np.cumsum(shares[::-1])[::-1], [0]))
-        ids, scores, least = np.zeros(0, np.int64), np.zeros(0, self.components.dtype), None
-        for at in range(0, len(self.ids), GROUP):
-            rows = slice(at, at + GROUP)
-            components = self.components[:, rows]
-            if least is None:
-                found = np.arange(components.shape[1])
-                partial = weights @ components[terms]
-            else:
-                essential = int(np.argmax(open_after < least)) if open_after[-1] < least else len(terms)
-                member = self.postings[signs[:essential], terms[:essential], rows].any(axis=0)
-                if essential == len(terms) and open_after[-1] >= least:
-                    member[:] = True  # a vector in no postings at all could still be among the best
-                found = np.flatnonzero(member)
-                partial = weights[:essential] @ components[terms[:essential]][:, found]
-                for start in range(essential, len(terms), PROBE):
-                    competitive = partial + open_after[start] >= least
-                    found, partial = found[competitive], partial[competitive]
-                    probe = terms[start : start + PROBE]
-                    partial = partial + weights[start : start + PROBE] @ components[np.ix_(probe, found)]
-            own = self.ids[rows][found]
-            ids = np.concatenate((ids, own[own != query_id]))
-            scores = np.concatenate((scores, partial[own != query_id]))
-            if len(ids) > k:
-                best = np.lexsort((ids, -scores))[:k]
-                ids, scores = ids[best], scores[best]
-            if len(ids) == k:
-                least = scores.min()
-        best = np.lexsort((ids, -scores))[:k]
-        return ids[best], scores[best]
-
-
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    def terms(self, queries: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each query's terms by their greatest share, what term i and all after it can add, and how many are essential."""
+        dimensions = queries.shape[1]
+        shares = np.abs(queries) * self.impacts[(queries < 0).astype(np.int64), np.arange(dimensions)]
+        order = np.argsort(-shares, axis=1, kind="stable")
+        open_after = np.zeros((len(queries), dimensions + 1), shares.dtype)
+        open_after[:, :-1] = np.cumsum(np.take_along_axis(shares, order, axis=1)[:, ::-1], axis=1)[:, ::-1]
+        return order, open_after, np.minimum((open_after >= least[:, None]).sum(axis=1), dimensions)
+
+    def search(self, queries: np.ndarray, own: np.ndarray, numbers: np.ndarray, best: Best) -> None:
+        """Add this shard's vectors to the best of some queries, without the query's own row.
+
+        Queries are `numbers` in `best`. Where k are known from vectors of smaller ids,
+        equal scores come too late.
+        """
+        dimensions = queries.shape[1]
+        least = best.least[numbers] + best.full[numbers]
+        order, open_after, essential = self.terms(queries, least)
+        weights = np.take_along_axis(queries, order, axis=1)
+        scattered = np.zeros_like(queries)
+        np.put_along_axis(scattered, order, np.where(np.arange(dimensions) < essential[:, None], weights, 0), axis=1)
+        partial = scattered @ self.components
+        # A vector in no essential posting has nothing above 0 here, and falls out with the bound.
+        query, vector = np.nonzero(partial + open_after[np.arange(len(queries)), essential][:, None] >= least[:, None])
+        partial, at = partial[query, vector], essential[query]
+        while (more := at < dimensions).any():
+            done = ~more
+            probe = np.minimum(at[:, None] + np.arange(PROBE), dimensions - 1)
+            real = at[:, None] + np.arange(PROBE) < dimensions
+            terms = order[query[:, None], probe]
+            partial = partial + (weights[query[:, None], probe] * self.components[terms, vector[:, None]] * real).sum(axis=1)
+            at = np.minimum(at + PROBE, dimensions)
+            left = done | (partial + open_after[query, at] >= least[query])
+            query, vector, partial, at = query[left], vector[left], partial[left], at[left]
+        good = (partial >= least[query]) & (self.rows[vector] != own[query])
+        best.add(numbers[query[good]], partial[good], self.ids[vector[good]], self.rows[vector[good]])
+
+
+def matrix(column: pa.Array, width: int) -> np.ndarray:
     """Lists of whole numbers as rows, shorter ones filled with 0."""
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     lengths = np.asarray(pa.compute.list_value_length(lists))
@@ -90,68 +115,108 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return values
 
 
-def _search_cell(key, candidates: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    columns: tuple[list, list, list] = ([], [], [])
-    if candidates.num_rows and queries.num_rows:
-        width = max(int(pa.compute.max(pa.compute.list_value_length(t.column("v"))).as_py()) for t in (candidates, queries))
-        vectors, asked = _matrix(candidates.column("v"), width), _matrix(queries.column("v"), width)
-        # Whole numbers in doubles are exact, and faster, as long as no score can pass 2**53.
-        if float(np.abs(vectors).max(initial=0)) * float(np.abs(asked).max(initial=0)) * width < 2.0**53:
-            vectors, asked = vectors.astype(np.float64), asked.astype(np.float64)
-        shard = Shard(np.asarray(candidates.column("vec_id")), vectors)
-        for query_id, query in zip(queries.column("vec_id").to_pylist(), asked, strict=True):
-            ids, scores = shard.search(query_id, query, k)
-            for column, values in zip(columns, (np.full(len(ids), query_id), ids, scores.astype(np.int64)), strict=True):
-                column.append(values)
-    arrays = [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in columns]
-    return pa.table(arrays, names=["query_id", "vec_id", "score"])
+def search(ids, rows, vectors, queries, own, least, k: int) -> np.ndarray:
+    """(query, score, vec_id, row) of the k best of each query among some vectors, shard by shard."""
+    # Whole numbers in doubles are exact, and faster, as long as no score can pass 2**53.
+    bound = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(queries.shape[1], 1)
+    kind = np.float64 if bound < 2.0**53 else np.int64
+    order = np.lexsort((rows, ids))
+    best, asked = Best(least, k), queries.astype(kind)
+    for start in range(0, len(order), SHARD):
+        part = order[start : start + SHARD]
+        shard = Shard(ids[part], rows[part], vectors[part].astype(kind))
+        for at in range(0, len(asked), TOGETHER):
+            numbers = np.arange(at, min(at + TOGETHER, len(asked)))
+            shard.search(asked[numbers], own[numbers], numbers, best)
+    return best.rows
 
 
 def whole_vectors(table: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
-    """(vec_id, v array<long>): floor(scale * component) of every vector that takes part.
+    """(row, vec_id, v array<long>): floor(scale * component) of every vector that takes part.
 
-    Null ids, null vectors and vectors with a null or non-finite component take no part. Of
-    an id's rows one counts, that of the least vector; equal rows are one.
+    Null ids, null vectors and vectors with a null or non-finite component take no part.
+    Every other row does, also where rows share an id or are equal; `row` tells them apart.
     """
     x = F.col(vector_column)
     fit = F.forall(x, lambda v: F.coalesce(F.abs(v.cast("double")) < float("inf"), F.lit(False)))
     rows = table.where(F.col(id_column).isNotNull() & x.isNotNull() & fit)
     scaled = F.transform(x, lambda v: F.floor(F.lit(scale) * v.cast("double")).cast("long"))
-    rows = rows.select(F.col(id_column).cast("long").alias("vec_id"), scaled.alias("v"))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("vec_id"), scaled.alias("v"))
+
+
+def with_starts(asked: DataFrame, sample: pa.Table, width: int, k: int) -> DataFrame:
+    """The queries with `least`, their k-th best score in the sample, or the lowest number if it has fewer others."""
+    ids, rows = np.asarray(sample.column("vec_id")), np.asarray(sample.column("row"))
+    given = asked.sparkSession.sparkContext.broadcast((ids, rows, matrix(sample.column("v"), width)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.asarray(batch.column(0))
+            start = np.full(len(own), LOWEST, np.int64)
+            found = search(*given.value, matrix(batch.column(2), width), own, start, k)
+            place = np.arange(found.shape[1]) - np.searchsorted(found[0], found[0])
+            start[found[0][place == k - 1]] = found[1][place == k - 1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(start)], ["row", "vec_id", "v", "least"])
+
+    return map_batches(asked, work, "row long, vec_id long, v array<long>, least long")
+
+
+def best_of_tasks(vectors: DataFrame, block: pa.Table, width: int, k: int) -> DataFrame:
+    """(query_row, query_id, vec_id, score): the k best of a block of queries among each task's vectors."""
+    queries = tuple(np.asarray(block.column(c)) for c in ("row", "vec_id", "least"))
+    given = vectors.sparkSession.sparkContext.broadcast((*queries, matrix(block.column("v"), width)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, query_ids, least, asked = given.value
+        parts = [(np.asarray(b.column(1)), np.asarray(b.column(0)), matrix(b.column(2), width)) for b in batches]
+        if parts:
+            ids, rows, held = (np.concatenate(p) for p in zip(*parts, strict=True))
+            query, score, found, _ = search(ids, rows, held, asked, own, least, k)
+            columns = [pa.array(x) for x in (own[query], query_ids[query], found, score)]
+            yield pa.RecordBatch.from_arrays(columns, ["query_row", "query_id", "vec_id", "score"])
+
+    return map_batches(vectors, work, "query_row long, query_id long, vec_id long, score long")
 
 
 def top_k(
     table: DataFrame, every: int = 20, k: int = K, scale: int = 64, id_column: str = "vec_id", vector_column: str = "embedding",
-    shard_rows: int = SHARD, block_rows: int = BLOCK,
+    task_vectors: int = TASK_VECTORS, block_cells: int = BLOCK_CELLS,
 ) -> DataFrame:
     """(query_id, rank int, vec_id, score): each query's k greatest inner products.
 
-    Queries are the vectors whose id is divisible by `every`; candidates are all but the
-    query's own. Ties go to the smaller id; fewer than k candidates are all returned.
-    Vectors of different lengths are compared as if the shorter ended in zeros. Scores must
-    fit in 64 bits. A table without vectors gives no rows.
+    Queries are the rows whose id is divisible by `every`; candidates are all rows but the
+    query's own. Ties go to the smaller id, rows of one id and score are alike; fewer than k
+    candidates are all returned. A query id on several rows is as many queries, each ranked
+    from 1. Vectors of different lengths are compared as if the shorter ended in zeros.
+    Scores must fit in 62 bits. A table without vectors gives no rows.
 
-    Queries meet candidates in blocks: every shard of about `shard_rows` vectors with every
-    block of about `block_rows` queries, in a task of that size whatever the table's. Rows
-    are dealt by a hash of the id, so that equal vectors spread like any others.
+    The vectors are written down, dealt by a hash of their row into tasks of `task_vectors`
+    at the most, so that equal vectors spread like any others. Queries are taken in blocks of
+    `block_cells` components, one block at a time in memory, and a block's best are written
+    down before the next.
     """
-    ship(table.sparkSession)
+    spark = table.sparkSession
     vectors = stored(whole_vectors(table, id_column, vector_column, scale), "vectors")
     asked = vectors.where(F.col("vec_id") % every == 0)
-    shards = max(1, -(-vectors.count() // shard_rows))
-    blocks = max(1, -(-asked.count() // block_rows))
-    shard, block = F.pmod(F.xxhash64("vec_id"), F.lit(shards)), F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
-    each_block, each_shard = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    candidates = vectors.select("vec_id", "v", shard.cast("int").alias("shard"), each_block.alias("block"))
-    queries = asked.select("vec_id", "v", each_shard.alias("shard"), block.cast("int").alias("block"))
-
-    def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        return _search_cell(key, left, right, k)
-
-    cells = candidates.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block"))
-    found = cells.applyInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    size = vectors.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("v")), F.lit(0)).alias("width")).first()
+    n, width = size["n"], size["width"]
+    schema = "query_row long, query_id long, vec_id long, score long"
+    parts = [spark.createDataFrame([], schema)]
+    n_asked = asked.count()
+    if n_asked:
+        each = min(task_vectors, max(SHARD, -(-n // (2 * spark.sparkContext.defaultParallelism))))
+        dealt = stored(vectors.repartition(-(-n // each), "row"), "dealt")
+        sample = vectors.orderBy(F.xxhash64("row"), "row").limit(SHARD).toArrow()
+        queries = stored(with_starts(asked, sample, width, k), "queries")
+        blocks = -(-n_asked * max(width, 1) // block_cells)
+        for number in range(blocks):
+            block = queries.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == number).toArrow()
+            if block.num_rows:
+                parts.append(stored(best_of_tasks(dealt, block, width, k), "best"))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     # The limit on the rank also holds within each task, before rows are shuffled by query.
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -80,16 +80,15 @@ from pages left join ruled on place = url left join aliases on node = {node("url
 
 TOP_K = """
 with whole as (
-  select vec_id, min(list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint))) as v
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
   from embeddings
   where vec_id is not null and embedding is not null
-    and coalesce(list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))), true)
-  group by vec_id),
+    and coalesce(list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))), true)),
 scores as (
-  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1] * p[2], 0))) as score
-  from whole q join whole c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id)
+  select q.row, q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1] * p[2], 0))) as score
+  from whole q join whole c on q.vec_id % 20 = 0 and q.row <> c.row)
 select query_id, cast(rank as int) as rank, vec_id, cast(score as bigint) as score
-from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
+from (select *, row_number() over (partition by row order by score desc, vec_id) as rank from scores)
 where rank <= 20
 """
 
