@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from scholaris.llm.arrow import map_batches, small_batches, texts
 from scholaris.llm.wordids import word_ids
+from scholaris.operators.ranking import POSITION, positioned
 from scholaris.sources.workspace import stored
 
 CAPACITY = 4096
@@ -170,39 +171,47 @@ def pack_counts(counts: dict[int, int], capacity: int) -> dict[int, list[Run]]:
     return runs
 
 
+# Runs that are broadcast; beyond it, the plan is joined as any other table.
+MOST_RUNS = 200_000
+
+
 def packed(pieces: DataFrame, length_column: str = "length", capacity: int = CAPACITY) -> DataFrame:
-    """The rows of `pieces` with `sequence_id` and `offset`, both long.
+    """The rows of `pieces` with `sequence_id` and `offset`, both long, as the last columns.
 
     In every sequence the pieces follow each other from 0 without a gap and end by
-    `capacity`. Which of equally long pieces goes where is arbitrary. A length that is null,
-    below 1 or over the capacity has no place: both columns are null. An empty table gives
-    no rows. `pieces` is computed once and written to the shared folder.
+    `capacity`. Which of equally long pieces goes where is arbitrary, but settled: pieces are
+    numbered by their places in files, so that tasks run again give the same. A length that
+    is null, below 1 or over the capacity has no place: both columns are null. Columns of
+    these two names in `pieces` are replaced, all others stay whatever their names. An empty
+    table gives no rows. `pieces` is computed once and written to the shared folder.
     """
     spark = pieces.sparkSession
     # Pieces of one length are numbered in groups, so that a frequent length is no hot key.
     groups = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    length = F.col(length_column)
-    salted = stored(pieces.withColumn("__group", F.floor(F.rand(17) * groups)), "salted")
-    counted = stored(salted.where(length.between(1, capacity)).groupBy(length.alias("__length"), "__group").count(), "lengths")
-    totals = dict(counted.groupBy("__length").agg(F.sum("count")).collect())
+    # One struct for all that came, so that no name inside can clash with a name out there.
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    own = pieces.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("piece"), F.col(length_column).cast("long").alias("length"))
+    salted = positioned(stored(own.withColumn("group", F.floor(F.rand(17) * groups)), "salted"), in_files=True)
+    counted = stored(salted.where(F.col("length").between(1, capacity)).groupBy("length", "group").count(), "lengths")
+    totals = dict(counted.groupBy("length").agg(F.sum("count")).collect())
     runs = pack_counts(totals, capacity)
-    schema = "__length long, runs array<struct<before long, sequence long, each long, offset long>>"
+    schema = "length long, runs array<struct<before long, sequence long, each long, offset long>>"
     plan = spark.createDataFrame([(int(k), v) for k, v in runs.items()], schema)
-    before = Window.partitionBy("__length").orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counted.select("__length", "__group", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__base"))
-    # At most `capacity` rows.
-    bases = bases.join(F.broadcast(plan), "__length").withColumnRenamed("__group", "__own")
-    rows = salted.withColumn("__n", F.row_number().over(Window.partitionBy(length, "__group").orderBy(F.lit(0))))
-    same = (length == F.col("__length")) & (F.col("__group") == F.col("__own"))
-    joined = rows.join(bases, same, "left")
-    number = F.col("__base") + F.col("__n") - 1
+    before = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counted.select("length", "group", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+    # At most `capacity` rows, and so many runs in them as are counted here.
+    few = sum(map(len, runs.values())) <= MOST_RUNS
+    bases = bases.join(F.broadcast(plan) if few else plan, "length")
+    place = Window.partitionBy("length", "group").orderBy(*POSITION)
+    joined = salted.withColumn("n", F.row_number().over(place)).join(bases, ["length", "group"], "left")
+    number = F.col("base") + F.col("n") - 1
     run = F.element_at(F.filter("runs", lambda r: r["before"] <= number), -1)
-    found = joined.select(*pieces.columns, length.cast("long").alias("__length"), number.alias("__number"), run.alias("__run"))
-    past = F.col("__number") - F.col("__run.before")
+    found = joined.select("piece", "length", number.alias("number"), run.alias("run"))
+    past = F.col("number") - F.col("run.before")
     return found.select(
-        *pieces.columns,
-        (F.col("__run.sequence") + F.floor(past / F.col("__run.each"))).cast("long").alias("sequence_id"),
-        (F.col("__run.offset") + past % F.col("__run.each") * F.col("__length")).cast("long").alias("offset"),
+        "piece.*",
+        (F.col("run.sequence") + F.floor(past / F.col("run.each"))).cast("long").alias("sequence_id"),
+        (F.col("run.offset") + past % F.col("run.each") * F.col("length")).cast("long").alias("offset"),
     )
 
 

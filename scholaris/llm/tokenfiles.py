@@ -1,7 +1,8 @@
 """Token ids of a corpus in binary files, in the order of the document ids.
 
-Documents are range-partitioned by id and sorted; each task writes the ids of its range
-as images in the format of `pfor`. Spark's Parquet writer stores an image as one row,
+Texts are encoded where they lie and their ids written down, two to four bytes each; these,
+not the texts, are range-partitioned by document and sorted. Each task writes the ids of
+its range as images in the format of `pfor`. Spark's Parquet writer stores an image as one row,
 beside the ids and lengths of its documents: the commit is Spark's, so a lost executor
 leaves no half file, and any store that Spark writes to will do.
 """
@@ -18,33 +19,50 @@ from pyspark.sql import functions as F
 from scholaris.llm import pfor
 from scholaris.llm.arrow import map_batches, small_batches, texts
 from scholaris.llm.wordids import word_ids
-from scholaris.sources.workspace import new_path
+from scholaris.operators.ranking import POSITION, positioned
+from scholaris.sources.workspace import new_path, stored
 
 END_ID = 2
 # An image is closed once it holds so many ids; a document is never cut.
 IMAGE_IDS = 1 << 20
 
 
+def encoded(docs: DataFrame, tokenizer: str, id_column: str, text_column: str) -> DataFrame:
+    """(id, tokens binary) of every text: its ids as little-endian unsigned numbers, of 16 bits if all of the vocabulary fit in."""
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = word_ids(tokenizer)
+        for batch in small_batches(batches, "text"):
+            found = [np.frombuffer(encoder.ids(text), "<u4").astype(encoder.kind).tobytes() for text in texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "tokens"])
+
+    return map_batches(rows, work, f"id {kind}, tokens binary")
+
+
 def write(
     docs: DataFrame, path: str, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", end_id: int = END_ID, image_ids: int = IMAGE_IDS
 ) -> None:
     """Write the ids of every text, and `end_id` after each, to `path`.
 
-    Null ids come first, equal ids in any order, null texts are empty. An empty table
-    gives no images. Other columns are not read.
+    Null ids come first, equal ids in the order of the files that their ids were written to,
+    null texts are empty. An empty table gives no images. Other columns are not read. Ranges
+    go by id and place, so that an id, or null, on a third of all rows is split like others.
     """
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id")
+    tokens = positioned(stored(encoded(docs, tokenizer, id_column, text_column), "encoded"), in_files=True)
+    kind = tokens.schema["id"].dataType.simpleString()
+    ordered = tokens.repartitionByRange("id", *POSITION).sortWithinPartitions("id", *POSITION).select("id", "tokens")
     names = ["part", "before", "n", "ids", "lengths", "image"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = word_ids(tokenizer), np.array([end_id], "<u4").tobytes()
+        stored_as = word_ids(tokenizer).kind
+        end = np.array([end_id], "<u4")
         part, before = TaskContext.get().partitionId(), 0
         ids, lengths, parts, held = [], [], [], 0
 
         def image() -> pa.RecordBatch:
-            numbers = np.frombuffer(b"".join(parts), "<u4")
+            numbers = np.concatenate(parts)
             columns = [
                 pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([len(numbers)], pa.int64()),
                 pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(ids[0].type)),
@@ -52,12 +70,13 @@ def write(
             ]
             return pa.RecordBatch.from_arrays(columns, names)
 
-        for batch in small_batches(batches, "text"):
-            encoded = [encoder.ids(text) + end for text in texts(batch.column(1))]
+        for batch in small_batches(batches, "tokens"):
             ids.append(batch.column(0))
-            parts += encoded
-            lengths += [len(x) // 4 for x in encoded]
-            held += sum(map(len, encoded)) // 4
+            for one in batch.column(1).to_pylist():
+                own = np.frombuffer(one, stored_as).astype("<u4")
+                parts += (own, end)
+                lengths.append(len(own) + 1)
+                held += len(own) + 1
             if held >= image_ids:
                 yield image()
                 before += held

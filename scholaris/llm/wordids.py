@@ -54,12 +54,23 @@ class WordIds:
     """ids(text): the ids the library gives for a whole text, as little-endian uint32 bytes.
 
     For files that compose characters (NFC), lower-case, and then split at white space and
-    between letters and other characters. Strings of special tokens are ordinary text.
+    between letters and other characters. A special token's string, as it stands there and not
+    in other letters, is that token, as the library has it; the texts between are tokenized
+    by themselves.
     """
 
     def __init__(self, path: str, most_words: int = MOST_WORDS, most_runs: int = MOST_RUNS):
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens that take in what stands around them")
+        self.special = {t.content.encode(): _packed([i]) for i, t in added.items()}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.special_strings = re.compile(b"(" + b"|".join(map(re.escape, longest_first)) + b")") if added else None
+        # What is left between them goes to the library in small letters, and holds none.
         self.tokenizer.encode_special_tokens = True
+        # The narrowest numbers that hold every id.
+        self.kind = "<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4"
         self.model = self.tokenizer.model
         self.characters = {i: c for i, c in _byte_characters().items() if chr(i) != c}
         self.runs = _Store(self._run, most_runs)
@@ -82,6 +93,12 @@ class WordIds:
         return self.runs[word] if len(runs) == 1 else b"".join([self.runs[run] for run in runs])
 
     def ids(self, text: bytes) -> bytes:
+        if self.special_strings and self.special_strings.search(text):
+            parts = self.special_strings.split(text)
+            return b"".join([self.special[x] if i % 2 else self._plain_ids(x) for i, x in enumerate(parts)])
+        return self._plain_ids(text)
+
+    def _plain_ids(self, text: bytes) -> bytes:
         # Lower-casing ASCII first merges words that differ in case only. A combining mark
         # (U+0300 to U+036F) could compose differently with the small letter.
         if b"\xcc" not in text and b"\xcd" not in text:

@@ -103,9 +103,8 @@ def placed(rows, capacity):
 
 
 def test_documents(spark, documents, odd_texts):
-    texts = [*odd_texts, *[f"short {i % 3}" for i in range(300)]]
+    texts = [*odd_texts, *[f"short {i % 3}" for i in range(300)], "a <|endoftext|> b", "<|ENDOFTEXT|>", "x<|startoftext|>\u0301"]
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     rows = packing.packed_documents(documents(texts), PATH).collect()
     pieces = defaultdict(list)
     for r in rows:
@@ -124,8 +123,12 @@ def test_documents(spark, documents, odd_texts):
 
 def test_rows_keep_their_columns_and_odd_lengths_have_no_place(spark):
     lengths = [None, 0, -3, 11, *[7] * 50, *[3] * 50, 10]
-    rows = spark.createDataFrame([(i, n, "x") for i, n in enumerate(lengths)], "id int, length int, offset_ string")
-    found = packing.packed(rows, capacity=10).collect()
+    clashing = "id int, length int, runs string, offset string, sequence_id string, count string, __n string"
+    rows = spark.createDataFrame([(i, n, "x", "x", "x", "x", "x") for i, n in enumerate(lengths)], clashing)
+    frame = packing.packed(rows, capacity=10)
+    assert frame.columns == ["id", "length", "runs", "count", "__n", "sequence_id", "offset"]
+    found = frame.collect()
+    assert all((r.runs, r["count"], r["__n"]) == ("x", "x", "x") for r in found)
     assert sorted(r.id for r in found) == list(range(len(lengths)))
     assert all((r.sequence_id is None) == (r.length not in (7, 3, 10)) for r in found)
     assert len(placed([r for r in found if r.sequence_id is not None], 10)) == 51

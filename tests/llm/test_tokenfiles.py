@@ -21,9 +21,18 @@ ALPHABET = (
 
 
 def library():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
+
+
+def test_special_strings_are_tokens_as_they_stand():
+    """Next to words, marks that compose, blanks and each other, in all cases of letters, whole and broken."""
+    strings = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext|", "<|", "|>", "<|endof", "text|>"]
+    around = ["", " ", "\n", "a", "É", "e", "\u0301", "'s", "'", "#", "<", "é", "\u3000", "9"]
+    texts = [a + s + b + t + c for s in strings for t in strings[:3] for a in around for b in around for c in ("", "\u0301", " x")]
+    words = WordIds(PATH)
+    for text, found in zip(texts, library().encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(words.ids(text.encode()), "<u4").tolist() == found.ids, ascii(text)
+    assert np.frombuffer(words.ids(b"a <|endoftext|> b"), "<u4").tolist() == [320, 49407, 321]
 
 
 def test_ids_are_the_librarys(odd_texts):
@@ -81,3 +90,20 @@ def test_odd_tables(spark, documents):
     rows = tokenfiles.round_trip(documents(["b", "b", "a", None], [3, 3, None, 1]), PATH).collect()
     found = sorted(map(tuple, rows), key=lambda r: r[1])
     assert found == expected(["b", "b", "a", None], [3, 3, None, 1])
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_a_hot_id_is_split_over_ranges(spark, partitions, tmp_path, hot):
+    """A third of all rows under one id, or none, over eight ranges."""
+    partitions(8)
+    rows = [(hot if i % 3 == 0 else i, f"text {i % 50} of some words") for i in range(6000)]
+    path = str(tmp_path / "files")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    tokenfiles.write(docs, path, PATH)
+    files = spark.read.parquet(path)
+    sizes = [r.n for r in files.selectExpr("part", "size(ids) as n").groupBy("part").sum("n").toDF("part", "n").collect()]
+    assert sum(sizes) == 6000 and max(sizes) <= 2 * 6000 / 8
+    found = tokenfiles.read(files).orderBy("start").collect()
+    ids = [r.doc_id for r in found]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0)) and len(found) == 6000
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(found, found[1:], strict=False))
