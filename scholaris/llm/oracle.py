@@ -45,21 +45,36 @@ def _urls() -> str:
         front = f"regexp_extract({plain}, '^[^:/?#]+://[^/?#]*')"
         return f"translate({front}, '{_UPPER}', '{_LOWER}') || substr({plain}, length({front}) + 1)"
 
+    def value(tag: str, name: str) -> str:
+        start = f"(?is)[\\s\"''/]{name}\\s*=\\s*"
+        forms = ('"([^"]*)"', "''([^'']*)''", "([^\\s>\"'']+)")
+        return "(" + " || ".join(f"regexp_extract({tag}, '{start}{form}', 1)" for form in forms) + ")"
+
     return f"""
 with recursive rules(verdict, host, path) as (values {rules}),
 named as (
-  select url, unnest([regexp_extract(regexp_extract(html, '(?is)<link\\b[^>]*?\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'),
-                                     '(?is)\\bhref\\s*=\\s*["'']?([^"''>\\s]+)', 1),
-                      regexp_extract(regexp_extract(html, '(?is)<meta\\b[^>]*?\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'),
-                                     '(?is)\\burl\\s*=\\s*["'']?\\s*([^"''>\\s]+)', 1)]) as name
+  select distinct url, replace(unnest(
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\\b[^>]*>'), lambda t: regexp_matches({value("t", "rel")}, '(?i)(^|\\s)canonical(\\s|$)')),
+                   lambda t: trim({value("t", "href")}))
+    || list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\\b[^>]*>'), lambda t: regexp_matches({value("t", "http-equiv")}, '(?i)^\\s*refresh\\s*$')),
+                      lambda t: regexp_extract({value("t", "content")}, '(?is)^[^;,]*[;,]\\s*url\\s*=\\s*["'']?\\s*([^"''>\\s]+)', 1))), '&amp;', '&') as name
   from pages where contains(url, '://')),
-whole as (
+joined as (
   select url, case when regexp_matches(name, '^[A-Za-z][A-Za-z0-9+.-]*://') then name
                    when starts_with(name, '//') then regexp_extract(url, '^[^:/?#]+:') || name
                    when starts_with(name, '/') then regexp_extract(url, '^[^:/?#]+://[^/?#]*') || name
+                   when starts_with(name, '?') then regexp_extract(url, '^[^?#]*') || name
                    when regexp_matches(url, '^[^:/?#]+://[^/?#]*/') then regexp_extract(url, '^[^:/?#]+://[^/?#]*/(?:[^?#]*/)?') || name
                    else regexp_extract(url, '^[^:/?#]+://[^/?#]*') || '/' || name end as target
-  from named where name <> ''),
+  from named where name <> '' and not starts_with(name, '#')),
+cut as (
+  select url, target, regexp_extract(target, '^[^:/?#]+://[^/?#]*') as front, regexp_extract(target, '^[^:/?#]+://[^/?#]*(/[^?#]*)', 1) as path from joined),
+whole as (
+  select url, case when not regexp_matches(path, '/\\.\\.?(/|$)') or len(string_split(path, '/')) - 1 > {urlfilter.MOST_PARTS} then target
+    else front || list_reduce(list_prepend('', string_split(substr(path, 2), '/')), lambda w, p:
+           case p when '..' then regexp_replace(w, '/[^/]*$', '') when '.' then w else w || '/' || p end)
+         || case when string_split(path, '/')[-1] in ('.', '..') then '/' else '' end || substr(target, length(front) + length(path) + 1) end as target
+  from cut),
 links as (select {node("url")} as a, {node("target")} as b from whole),
 both_ways as (select a, b from links union select b, a from links union select a, a from links union select b, b from links),
 reached(a, b) as (select a, b from both_ways union select r.a, l.b from reached r join both_ways l on r.b = l.a),

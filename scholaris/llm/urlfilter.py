@@ -18,10 +18,11 @@ from scholaris.sources.workspace import stored
 
 # Only A to Z are lower-cased, whatever the locale.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_LINK = r"(?is)<link\b[^>]*?\brel\s*=\s*[\"']?canonical\b[^>]*>"
-_META = r"(?is)<meta\b[^>]*?\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-_HREF = r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
-_TARGET = r"(?is)\burl\s*=\s*[\"']?\s*([^\"'>\s]+)"
+_LINK, _META = r"(?is)<link\b[^>]*>", r"(?is)<meta\b[^>]*>"
+_VALUE = r"\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
+_TARGET = r"(?is)^[^;,]*[;,]\s*url\s*=\s*[\"']?\s*([^\"'>\s]+)"
+# Paths of more parts are compared as they are written, with their dots.
+MOST_PARTS = 1000
 
 
 @dataclass(frozen=True)
@@ -58,16 +59,18 @@ def host_and_path(df: DataFrame, url_column: str = "url") -> DataFrame:
 def ruled(places: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, path, rule, verdict) of the distinct places (host, path) that a rule fits.
 
-    `rules` has verdict, host and path and may be large. A place asks for its host and each
-    parent domain, with the starts of its path of every length that rules have, so that
-    finding rules is an equality join and no place meets rules that do not fit it. The
+    `rules` has verdict, host and path and may be large. A place asks for the parent domains,
+    itself included, of every number of labels that rules have, with the starts of its path of
+    every length that they have, so that finding rules is an equality join and no place meets rules that do not fit it. The
     longest rule decides; of equally long ones that with the longer host, then the allow.
     """
     lengths = [r[0] for r in rules.select(F.length("path")).distinct().orderBy(F.length("path")).collect()]
-    labels = F.split("host", r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    dots = F.length("host") - F.length(F.replace(F.col("host"), F.lit("."), F.lit("")))
+    # As many labels as rules' hosts have, so that a host of very many makes no more strings than others.
+    sizes = [r[0] for r in rules.select((dots + 1).alias("n")).distinct().orderBy("n").collect()]
+    parents = F.array(*[F.when(dots + 1 >= n, F.substring_index("host", ".", -n)) for n in sizes] or [F.lit(None).cast("string")])
     starts = F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths] or [F.lit(None).cast("string")])
-    asked = places.select("host", "path", F.explode(parents).alias("rule_host"))
+    asked = places.select("host", "path", F.explode(F.array_compact(parents)).alias("rule_host"))
     asked = asked.select("host", "path", "rule_host", F.explode(F.array_distinct(F.array_compact(starts))).alias("rule_path"))
     known = rules.select("verdict", F.col("host").alias("rule_host"), F.col("path").alias("rule_path")).distinct()
     fits = asked.join(known, ["rule_host", "rule_path"])
@@ -89,30 +92,69 @@ def node(url: Column) -> Column:
     return F.concat(F.translate(front, _UPPER, _LOWER), F.substring(plain, F.length(front) + 1, F.length(plain)))
 
 
-def declared_links(pages: DataFrame, url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """(a, b): the nodes of a page and of what its canonical link or meta refresh names.
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, in quotes or not; empty if it has none."""
+    pattern = rf"(?is)[\s\"'/]{name}{_VALUE}"
+    return F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
 
-    Names may be whole URLs, start with `//` or `/`, or be relative to the page's folder.
-    Pages without a link, or with null columns, give no rows.
-    """
-    html, url = F.col(html_column), F.col(url_column)
-    link, meta = F.regexp_extract(html, _LINK, 0), F.regexp_extract(html, _META, 0)
-    href = F.concat(*[F.regexp_extract(link, _HREF, i) for i in (1, 2, 3)])
-    named = F.explode(F.array(href, F.regexp_extract(meta, _TARGET, 1)))
-    # Few pages have either word: only those are searched by pattern.
-    likely = pages.where(F.lower(html).contains("canonical") | F.lower(html).contains("http-equiv"))
-    rows = likely.select(url.alias("url"), named.alias("name")).where("name != '' and instr(url, '://') > 0")
-    name = F.regexp_replace("name", "&amp;", "&")
-    scheme = F.regexp_extract("url", r"^[^:/?#]+:", 0)
-    site = F.regexp_extract("url", r"^[^:/?#]+://[^/?#]*", 0)
-    folder = F.regexp_extract("url", r"^[^:/?#]+://[^/?#]*(?:/(?:[^?#]*/)?)?", 0)
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with / without its . and .. parts; a .. too many stays at the root."""
+    parts = F.split(F.substring(path, 2, F.length(path)), "/")
+    joined = F.aggregate(
+        parts,
+        F.lit(""),
+        lambda whole, part: F.when(part == "..", F.regexp_replace(whole, r"/[^/]*$", ""))
+        .when(part == ".", whole)
+        .otherwise(F.concat(whole, F.lit("/"), part)),
+    )
+    open_end = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(joined, F.lit("/"))).otherwise(joined)
+    dotted = path.rlike(r"/\.\.?(/|$)") & (F.size(parts) <= MOST_PARTS)
+    return F.when(dotted, open_end).otherwise(path)
+
+
+def resolved(name: Column, url: Column) -> Column:
+    """The URL that a name on a page means: a whole URL, or one relative to scheme, site, folder or page."""
+    scheme = F.regexp_extract(url, r"^[^:/?#]+:", 0)
+    site = F.regexp_extract(url, r"^[^:/?#]+://[^/?#]*", 0)
+    page = F.regexp_extract(url, r"^[^?#]*", 0)
+    folder = F.regexp_extract(url, r"^[^:/?#]+://[^/?#]*(?:/(?:[^?#]*/)?)?", 0)
     folder = F.when(folder == site, F.concat(site, F.lit("/"))).otherwise(folder)
     whole = (
         F.when(name.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), name)
         .when(name.startswith("//"), F.concat(scheme, name))
         .when(name.startswith("/"), F.concat(site, name))
+        .when(name.startswith("?"), F.concat(page, name))
         .otherwise(F.concat(folder, name))
     )
+    front = F.regexp_extract(whole, r"^[^:/?#]+://[^/?#]*", 0)
+    path = F.regexp_extract(whole, r"^[^:/?#]+://[^/?#]*(/[^?#]*)", 1)
+    rest = F.substring(whole, F.length(front) + F.length(path) + 1, F.length(whole))
+    return F.when(path == "", whole).otherwise(F.concat(front, without_dots(path), rest))
+
+
+def declared_links(pages: DataFrame, url_column: str = "url", html_column: str = "html") -> DataFrame:
+    """(a, b): the nodes of a page and of what its canonical links and meta refreshes name.
+
+    All of them count, and `canonical` may be any word of a link's `rel`. Names may be whole
+    URLs, start with `//`, `/` or `?`, or be relative to the page's folder; . and .. in their
+    paths are followed. Names of a fragment alone, pages without a link, and null columns
+    give no rows.
+    """
+    html, url = F.col(html_column), F.col(url_column)
+    canonical = F.filter(
+        F.regexp_extract_all(html, F.lit(_LINK), F.lit(0)), lambda tag: attribute(tag, "rel").rlike(r"(?i)(^|\s)canonical(\s|$)")
+    )
+    refresh = F.filter(
+        F.regexp_extract_all(html, F.lit(_META), F.lit(0)), lambda tag: attribute(tag, "http-equiv").rlike(r"(?i)^\s*refresh\s*$")
+    )
+    hrefs = F.transform(canonical, lambda tag: F.trim(attribute(tag, "href")))
+    targets = F.transform(refresh, lambda tag: F.regexp_extract(attribute(tag, "content"), _TARGET, 1))
+    # Few pages have either word: only those are searched by pattern.
+    likely = pages.where(F.lower(html).contains("canonical") | F.lower(html).contains("http-equiv"))
+    rows = likely.select(url.alias("url"), F.explode(F.array_distinct(F.concat(hrefs, targets))).alias("name"))
+    rows = rows.where("name != '' and not startswith(name, '#') and instr(url, '://') > 0")
+    whole = resolved(F.regexp_replace("name", "&amp;", "&"), F.col("url"))
     return rows.select(node(F.col("url")).alias("a"), node(whole).alias("b")).distinct()
 
 

@@ -1,6 +1,7 @@
 """URL rules and aliases against a plain Python version."""
 
 import random
+import time
 
 import pytest
 
@@ -100,6 +101,16 @@ ALIASES = [
     ("http://w.org/fr/", '<link rel="canonical" href="http://evil.net/">', "http://evil.net/"),
     ("http://example.net/en/ok", '<link rel="canonical" href="http://evil2.net/">', "http://evil2.net/"),
     ("http://bare.com", '<link rel="canonical" href="here">', "http://bare.com/here"),
+    ("http://many.com/1", '<link rel="alternate canonical" href="http://one.net/x">', "http://one.net/x"),
+    ("http://many.com/2", '<link rel="canonical" href="http://w.com/"><p><link rel=canonical href="http://two.net/">', "http://two.net/"),
+    ("http://many.com/a/b/3", '<link rel="canonical" href="../../v/./four">', "http://many.com/v/four"),
+    ("http://many.com/v/four", '<link data-rel="x" href="http://four.net/" rel="CANONICAL">', "http://four.net/"),
+    ("http://many.com/5?q=1", '<link rel="canonical" href="?q=2#f">', "http://many.com/5?q=2"),
+    ("http://many.com/5?q=2", '<meta content="0;url=http://five.net/" http-equiv="refresh">', "http://five.net/"),
+    ("http://many.com/6/", '<link rel="canonical" href="./../../../example.com/..">', "http://many.com/"),
+    ("http://many.com/", '<meta http-equiv="refresh" content="9"><meta http-equiv="refresh" content="1; url=http://six.net/">', "http://six.net/"),
+    ("http://many.com/7", '<link rel="canonicals" href="http://no.net/"><link rel="canonical" href="#top">', None),
+    ("http://many.com/8", '<link rel="canonical" href="http://example.com/x/../de/8">', "http://example.com/de/8"),
     ("http://free.com/s", '<link rel="stylesheet" href="http://evil.net/"> canonical', None),
     (None, '<link rel="canonical" href="http://evil.net/">', None),
     ("http://free.com/z", None, None),
@@ -114,6 +125,44 @@ def test_aliases(spark):
     verdicts = {r.page_id: r.verdict for r in found}
     assert [verdicts[i] for i in range(6)] == ["block"] * 5 + ["allow"]
     assert verdicts[6] == verdicts[7] == verdicts[8] == "allow"
+    by_url = {u: verdicts[i] for i, (u, _, _) in enumerate(ALIASES)}
+    blocked = {u for u, v in by_url.items() if u and u.startswith("http://many.com") and v == "block"}
+    assert {u for u in by_url if u and u.startswith("http://many.com")} - blocked == {"http://many.com/7"}
+
+
+def test_names_that_only_look_like_links(spark):
+    """What is no canonical link: other words of rel, other attributes, comments on content."""
+    pages = [
+        (1, "http://a.com/", '<a rel="canonical" href="http://x.net/">'),
+        (2, "http://b.com/", '<link rel="icon" title="canonical" href="http://x.net/">'),
+        (3, "http://c.com/", '<meta name="http-equiv" content="0;url=http://x.net/">'),
+        (4, "http://d.com/", '<meta http-equiv="refresh" content="http://x.net/">'),
+        (5, "http://e.com/", '<link rel="canonical">'),
+    ]
+    found = urlfilter.judged(table(spark, pages), rules_table(spark)).collect()
+    assert {r.verdict for r in found} == {"allow"} and ordered(found) == ordered(brute(pages, RULES, []))
+
+
+def test_very_long_hosts_and_paths(spark):
+    """Hosts of very many labels make as few strings as any other."""
+    many = ".".join(["a"] * 300_000)
+    deep = "/".join([".."] * 600 + ["p"] * 300_000)
+    pages = [
+        (1, f"http://{many}.net/x", ""), (2, f"http://{many}.com/de/", ""), (3, f"http://{many}.example.com/de/", ""),
+        (4, "http://f.com/" + "q" * 1_000_000, ""), (5, "http://g.com/", f'<link rel="canonical" href="{deep}">'),
+    ]
+    started = time.monotonic()
+    found = urlfilter.judged(table(spark, pages), rules_table(spark)).collect()
+    assert ordered(found) == ordered(brute(pages, RULES, []))
+    assert time.monotonic() - started < 30
+
+
+@pytest.mark.parametrize(
+    ("path", "plain"),
+    [("/a/b", "/a/b"), ("/a/./b", "/a/b"), ("/a/../b", "/b"), ("/../..", "/"), ("/a/..", "/"), ("/a/b/.", "/a/b/"), ("/a//../b", "/a/b"), ("/a.../..b", "/a.../..b")],
+)
+def test_dots_in_paths(spark, path, plain):
+    assert spark.range(1).select(urlfilter.without_dots(urlfilter.F.lit(path))).first()[0] == plain
 
 
 def test_given_redirects(spark):
