@@ -31,29 +31,32 @@ class Bands:
     `limits` holds (bytes from, least, most) in ascending order: a document and each of its
     chunks is judged by the last entry whose `bytes from` its own length reaches. The least
     ratios lie above those of random words of letters and digits and below those of prose.
+    The greatest are 1.3 times what prose of that length reaches at the most, rounded: text
+    written two or three times over, and lines made from one template, lie above them.
     `chunks` holds (bytes from, bytes of a chunk) in the same way, by the document's length.
     A last chunk shorter than half a chunk is judged together with the one before it. A
     document is rejected as well if more than `bad_share` of its chunks lie outside.
     """
 
     limits: tuple[tuple[int, float, float], ...] = (
-        (0, 1.02, 5.0),
-        (128, 1.07, 5.0),
-        (160, 1.13, 5.0),
-        (192, 1.18, 5.0),
-        (224, 1.24, 5.0),
-        (256, 1.28, 5.0),
-        (320, 1.32, 5.0),
-        (384, 1.355, 5.0),
-        (448, 1.38, 5.0),
-        (512, 1.42, 5.0),
-        (640, 1.46, 5.0),
-        (768, 1.5, 5.0),
-        (1024, 1.54, 6.0),
-        (1536, 1.58, 6.0),
-        (2048, 1.62, 6.0),
-        (4096, 1.65, 6.5),
-        (16384, 1.7, 7.0),
+        (0, 1.02, 1.9),
+        (128, 1.07, 1.9),
+        (160, 1.13, 2.0),
+        (192, 1.18, 2.1),
+        (224, 1.24, 2.15),
+        (256, 1.28, 2.3),
+        (320, 1.32, 2.4),
+        (384, 1.355, 2.4),
+        (448, 1.38, 2.45),
+        (512, 1.42, 2.65),
+        (640, 1.46, 2.7),
+        (768, 1.5, 2.8),
+        (1024, 1.54, 2.95),
+        (1536, 1.58, 3.15),
+        (2048, 1.62, 3.4),
+        (4096, 1.65, 3.6),
+        (16384, 1.7, 3.8),
+        (65536, 1.7, 4.0),
     )
     chunks: tuple[tuple[int, int], ...] = ((0, 256), (2048, 512), (16384, 4096))
     bad_share: float = 0.25

@@ -8,6 +8,7 @@ the windows that score highest stand for their document. A document's score is t
 highest window, brought to a probability on documents that were held back.
 """
 
+import functools
 import itertools
 import pickle
 import re
@@ -148,7 +149,8 @@ class Scorer:
             added, start = sorted(new), len(self.places)
             self.places.update(zip(added, range(start, start + len(added)), strict=True))
             if len(self.places) > len(self.table):
-                grown = np.zeros((2 * len(self.places), self.table.shape[1]), np.float32)
+                room = max(len(self.places), min(2 * len(self.places), self.most))
+                grown = np.zeros((room, self.table.shape[1]), np.float32)
                 grown[:start] = self.table[:start]
                 self.table = grown
             for at in range(0, len(added), 4096):
@@ -186,6 +188,12 @@ class Scorer:
         return np.array(best, np.float32)
 
 
+@functools.lru_cache(maxsize=1)
+def scorer_of(model: Model) -> Scorer:
+    """One for a worker process, so that later tasks find the words of earlier ones."""
+    return Scorer(model)
+
+
 def _line(logits: np.ndarray, labels: np.ndarray, pull: float = 0.5, steps: int = 400) -> tuple[float, float]:
     """(slope, offset) of the logistic line from logits to labels, drawn to a moderate one.
 
@@ -329,7 +337,7 @@ def scored(
     kind = rows.schema[id_column].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.value)
+        scorer = scorer_of(model.value)
         for batch in small_batches(batches, "text"):
             scores = model.value.probability(scorer(texts(batch.column(1))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], [id_column, "score"])

@@ -105,3 +105,39 @@ def test_chunks_cover_the_text():
         assert b"".join(chunks) == text
         assert all(len(x) == size for x in chunks[:-1])
         assert n < size or size // 2 <= len(chunks[-1]) < size * 3 // 2
+
+
+LENGTHS = [400, 512, 640, 768, 1024, 1536, 2048, 4096, 9000, 16384, 40000, 70000]
+
+
+@pytest.mark.parametrize("n", LENGTHS)
+def test_templates_of_every_band(n):
+    """Lines of one template with three changing numbers, which the base rules let through."""
+    rng = random.Random(n)
+    measure = Measure(Bands())
+    for _ in range(10):
+        words = " ".join("".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randint(2, 8))) for _ in range(6))
+        lines = [f"{rng.randint(0, 999)} {words} {rng.randint(0, 99)} {rng.randint(0, 9999)}" for _ in range(n // len(words) + 1)]
+        text = "\n".join(lines)[:n]
+        assert not measure(text.encode())[-1], text[:200]
+
+
+@pytest.mark.parametrize("n", LENGTHS)
+@pytest.mark.parametrize("times", [2, 3, 5])
+def test_prose_written_several_times_over(n, times):
+    rng = random.Random(n * times)
+    measure = Measure(Bands())
+    for _ in range(10):
+        part = prose(rng, n)[: n // times]
+        assert not measure(" ".join([part] * times).encode())[-1]
+
+
+@pytest.mark.parametrize("n", LENGTHS)
+def test_prose_stays_far_from_the_greatest_ratios(n):
+    rng = random.Random(n)
+    bands = Bands()
+    measure = Measure(bands)
+    for _ in range(10):
+        text = prose(rng, n)[:n].encode()
+        most = [limit[2] for limit in bands.limits if limit[0] <= len(text)][-1]
+        assert measure(text)[-1] and measure.ratio(text) < most / 1.15
