@@ -38,12 +38,14 @@ BLOCK_CELLS = 1 << 22
 TOGETHER = 128
 # Non-essential terms probed before vectors are dropped again.
 PROBE = 8
+# One in so many vectors still competitive after the essential terms is many.
+MANY = 64
 # Below every score.
 LOWEST = -(2**62)
 
 
 class Best:
-    """The k best of each query so far, in rows (query, score, vec_id, row)."""
+    """The k best so far of some queries, in rows (query, score, vec_id, row)."""
 
     def __init__(self, least: np.ndarray, k: int):
         self.k, self.least = k, least.copy()
@@ -77,21 +79,26 @@ class Shard:
         open_after[:, :-1] = np.cumsum(np.take_along_axis(shares, order, axis=1)[:, ::-1], axis=1)[:, ::-1]
         return order, open_after, np.minimum((open_after >= least[:, None]).sum(axis=1), dimensions)
 
-    def search(self, queries: np.ndarray, own: np.ndarray, numbers: np.ndarray, best: Best) -> None:
+    def search(self, queries: np.ndarray, own: np.ndarray, best: Best) -> None:
         """Add this shard's vectors to the best of some queries, without the query's own row.
 
-        Queries are `numbers` in `best`. Where k are known from vectors of smaller ids,
-        equal scores come too late.
+        Where k are known from vectors of smaller ids, equal scores come too late.
         """
         dimensions = queries.shape[1]
-        least = best.least[numbers] + best.full[numbers]
+        least = best.least + best.full
         order, open_after, essential = self.terms(queries, least)
         weights = np.take_along_axis(queries, order, axis=1)
         scattered = np.zeros_like(queries)
         np.put_along_axis(scattered, order, np.where(np.arange(dimensions) < essential[:, None], weights, 0), axis=1)
         partial = scattered @ self.components
         # A vector in no essential posting has nothing above 0 here, and falls out with the bound.
-        query, vector = np.nonzero(partial + open_after[np.arange(len(queries)), essential][:, None] >= least[:, None])
+        competitive = partial + open_after[np.arange(len(queries)), essential][:, None] >= least[:, None]
+        if np.count_nonzero(competitive) * MANY > competitive.size:
+            # So many are left that probing them all at once on the other terms costs least.
+            partial += (queries - scattered) @ self.components
+            competitive &= partial >= least[:, None]
+            essential = np.full(len(queries), dimensions)
+        query, vector = np.nonzero(competitive)
         partial, at = partial[query, vector], essential[query]
         while (more := at < dimensions).any():
             done = ~more
@@ -103,7 +110,8 @@ class Shard:
             left = done | (partial + open_after[query, at] >= least[query])
             query, vector, partial, at = query[left], vector[left], partial[left], at[left]
         good = (partial >= least[query]) & (self.rows[vector] != own[query])
-        best.add(numbers[query[good]], partial[good], self.ids[vector[good]], self.rows[vector[good]])
+        if good.any():
+            best.add(query[good], partial[good], self.ids[vector[good]], self.rows[vector[good]])
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -121,14 +129,16 @@ def search(ids, rows, vectors, queries, own, least, k: int) -> np.ndarray:
     bound = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(queries.shape[1], 1)
     kind = np.float64 if bound < 2.0**53 else np.int64
     order = np.lexsort((rows, ids))
-    best, asked = Best(least, k), queries.astype(kind)
+    asked = queries.astype(kind)
+    groups = [slice(at, at + TOGETHER) for at in range(0, len(asked), TOGETHER)]
+    bests = [Best(least[group], k) for group in groups]
     for start in range(0, len(order), SHARD):
         part = order[start : start + SHARD]
         shard = Shard(ids[part], rows[part], vectors[part].astype(kind))
-        for at in range(0, len(asked), TOGETHER):
-            numbers = np.arange(at, min(at + TOGETHER, len(asked)))
-            shard.search(asked[numbers], own[numbers], numbers, best)
-    return best.rows
+        for group, best in zip(groups, bests, strict=True):
+            shard.search(asked[group], own[group], best)
+    found = [best.rows + [[group.start], [0], [0], [0]] for group, best in zip(groups, bests, strict=True)]
+    return np.concatenate(found or [np.zeros((4, 0), np.int64)], axis=1)
 
 
 def whole_vectors(table: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:

@@ -1,6 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 from scholaris.llm import licenses, urlfilter
+from scholaris.llm.licensedigests import DIGESTS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -110,6 +111,8 @@ where rank <= 20
 
 def _licenses() -> str:
     known = ", ".join(f"({_text(name)}, {_text(text)})" for name, text in licenses.KNOWN)
+    listed = ", ".join(f"({_text(name)}, {_text(digest)})" for name, digest in DIGESTS)
+    mark = "[ \\t*#/;|%<>=!-]*"
     spellings = ", ".join(f"{_text(a)}: {_text(b)}" for a, b in licenses.EQUIVALENT.items())
     small = f"translate(line, '{_UPPER}', '{_LOWER}')"
     plain = f"regexp_replace({small}, '[\\x{{2010}}-\\x{{201F}}\\x{{A0}}\\x{{A9}}\\x{{AB}}\\x{{BB}}]|[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]', ' ', 'g')"
@@ -122,13 +125,17 @@ split as (select kind, row, string_split(text, chr(10)) as lines from texts),
 lines as (select kind, row, unnest(lines) as line, generate_subscripts(lines, 1) as n from split),
 words as (
   select kind, row, n, list_filter(string_split({plain}, ' '), lambda w: w <> '') as w from lines
-  where not regexp_matches({small}, '^[ \\t*#/;|%<>=!-]*(?:copyright\\b|\\(c\\)|©|all rights reserved\\b)')),
+  where not regexp_matches({small}, '^{mark}(?:copyright\\b|\\(c\\)|©|all rights reserved\\b)')
+     or regexp_matches({small}, '^{mark}copyright[ \\t]+(?:holders?|owners?|notices?|laws?|licenses?|statements?|and|or|in|to|interests?)\\b')),
 canonical as (
   select kind, row, n, array_to_string(list_transform(w, lambda x: coalesce(map {{{spellings}}}[x], x)), ' ') as line
   from words where len(w) > 0),
 wholes as (select kind, row, string_agg(line, ' ' order by n) as whole, count(*) as n from canonical group by kind, row),
+digests(license, digest) as (values {listed}),
 named as (
-  select sha256(whole) as digest, min(license) as license from texts join wholes using (kind, row) where kind = 'k' group by 1),
+  select digest, min(license) as license
+  from (select license, sha256(whole) as digest from texts join wholes using (kind, row) where kind = 'k'
+        union all select license, digest from digests) group by digest),
 noticed as (
   select c.row, string_agg(distinct license, ',' order by license) as notices
   from canonical c join wholes using (kind, row) join named on digest = sha256(c.line)

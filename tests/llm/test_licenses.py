@@ -95,3 +95,24 @@ For more information, please refer to <https://unlicense.org>
 def test_copyright_lines_are_not_broken_sentences():
     lines = b"Copyright 2020 x\nCopyright holders be liable\n * Copyright (c) x\ncopyright notice, and\nCopyright Ann Other"
     assert canonical_lines(lines) == [b"copyright holders be liable", b"copyright notice and"]
+
+
+def test_the_sql_finds_the_same(spark, documents):
+    """Whole licenses, varied, broken in lines and shipped by the system, beside prose, by query and by SQL."""
+    import glob
+
+    import duckdb
+
+    from scholaris.llm.licensedigests import DIGESTS
+    from scholaris.llm.oracle import ORACLE
+
+    shipped = [open(f, errors="replace").read() for f in sorted(glob.glob("/usr/share/common-licenses/*"))]
+    broken = MIT.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS OR\nCOPYRIGHT HOLDERS").replace("The above copyright", "The above\ncopyright")
+    texts = [*VARIED, *(t for _, t in KNOWN), *shipped, broken, "copyright law\nReleased under the MIT License.\nx", "copyright 2020\n(c)\n", None, ""]
+    found = licenses.scanned(documents(texts), known_table(spark), known_digests=DIGESTS).collect()
+    con = duckdb.connect()
+    con.execute("create table documents(doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", list(enumerate(texts)))
+    expected = sorted(con.execute(f"select doc_id, digest, license, notices from ({ORACLE['op9_license_digests']}) o").fetchall())
+    assert sorted((r.doc_id, r.digest, r.license, ",".join(r.notices)) for r in found) == expected
+    assert len({r[2] for r in expected}) > (8 if shipped else 5)

@@ -65,9 +65,11 @@ def test_odd_rows(spark):
     assert top_k(table(spark, [(20, [], "x"), (1, [], "x")])).count() == 1
 
 
+@pytest.mark.parametrize("many", [0, 64, 10**9])
 @pytest.mark.parametrize("known", [False, True])
-def test_search_prunes_and_stays_exact(known):
-    """With and without scores to beat, over hot copies, whichever way ties fall."""
+def test_search_prunes_and_stays_exact(monkeypatch, known, many):
+    """With and without scores to beat, probing one by one or together, over hot copies, whichever way ties fall."""
+    monkeypatch.setattr(maxscore, "MANY", many)
     rng = np.random.default_rng(2)
     vectors = np.floor(64 * rng.normal(0, 1, (9000, 32)) * (rng.random((9000, 32)) < 0.15)).astype(np.int64)
     vectors[::3] = vectors[0]
