@@ -1,0 +1,53 @@
+"""Percentiles from merged sketches: how far their ranks are off, group by group."""
+
+import random
+
+import pytest
+
+from scholaris.operators import sketches
+from scholaris.sources.workspace import stored
+
+
+def within(values, value, percent, error):
+    below, upto = sum(v < value for v in values), sum(v <= value for v in values)
+    rank = percent / 100 * len(values)
+    return below - 1 <= rank + error * len(values) and upto + 1 >= rank - error * len(values)
+
+
+@pytest.mark.parametrize("k", [200, sketches.K])
+def test_rank_errors_of_groups_of_any_size(spark, k):
+    rng = random.Random(k)
+    groups = {"hot": 30_000, "mid": 3000, "small": 40, "one": 1}
+    rows = [(name, load, rng.choice([rng.gauss(0, 1), round(rng.random(), 1)])) for name, n in groups.items() for load in (1, 2, 3) for _ in range(n // 3 or load == 1)]
+    df = spark.createDataFrame(rows, "g string, load long, v double").repartition(8)
+    by_load = stored(sketches.sketched(df, ["g", "load"], "v", k), "s")
+    percents = [0.0, 1.0, 10.0, 50.0, 90.0, 99.0, 100.0]
+    found = {r.g: r for r in sketches.percentiles(sketches.merged(by_load, ["g"]), ["g"], percents).collect()}
+    assert set(found) == set(groups)
+    for name, row in found.items():
+        values = [v for g, _, v in rows if g == name]
+        assert row.n == len(values)
+        # The bound holds with 99 % confidence for one rank: here, twice it for all of them.
+        assert all(within(values, row[f"p{p:g}"], p, 2 * sketches.rank_error(k)) for p in percents), name
+        assert (row.p0, row.p100) == (min(values), max(values))
+
+
+def test_nulls_and_nan_are_no_values(spark):
+    rows = [("a", None), ("a", float("nan")), ("a", 2.0), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    found = sketches.percentiles(sketches.sketched(df, ["g"], "v"), ["g"], [50.0]).collect()
+    assert [(r.g, r.n, r.p50) for r in found] == [("a", 1, 2.0)]
+
+
+def test_small_groups_are_exact(spark):
+    df = spark.range(101).selectExpr("'g' as g", "id as v")
+    one = sketches.sketched(df, ["g"], "v")
+    row = sketches.percentiles(one, ["g"], [0.0, 25.0, 50.0, 75.0, 100.0]).first()
+    assert [row[f"p{p}"] for p in (0, 25, 50, 75, 100)] == pytest.approx([0, 25, 50, 75, 100], abs=1)
+    assert sketches.share_below(one, ["g"], 50).first().share == pytest.approx(51 / 101)
+
+
+def test_reading_reads_the_sketches_only(spark):
+    facts = stored(spark.range(1000).selectExpr("id % 3 as g", "id as v"), "facts")
+    kept = stored(sketches.sketched(facts, ["g"], "v"), "kept")
+    assert set(sketches.percentiles(sketches.merged(kept, ["g"]), ["g"], [50.0]).inputFiles()) == set(kept.inputFiles())
