@@ -1,14 +1,16 @@
 """Token ids of a corpus in binary files, in the order of the document ids.
 
-Texts are encoded where they lie and their ids written down, two to four bytes each; these,
-not the texts, are range-partitioned by document and sorted. Each task writes the ids of
-its range as images in the format of `pfor`. Spark's Parquet writer stores an image as one row,
+Texts are encoded where they lie, and their token ids, two to four bytes each, go to ranges
+of document ids whose bounds come from a sample of the ids alone. Each task sorts its range
+and writes it as images in the format of `pfor`. Spark's Parquet writer stores an image as one row,
 beside the ids and lengths of its documents: the commit is Spark's, so a lost executor
 leaves no half file, and any store that Spark writes to will do.
 """
 
+import bisect
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,26 +21,64 @@ from pyspark.sql import functions as F
 from scholaris.llm import pfor
 from scholaris.llm.arrow import map_batches, small_batches, texts
 from scholaris.llm.wordids import word_ids
-from scholaris.operators.ranking import POSITION, positioned
-from scholaris.sources.workspace import new_path, stored
+from scholaris.sources.workspace import new_path
 
 END_ID = 2
 # An image is closed once it holds so many ids; a document is never cut.
 IMAGE_IDS = 1 << 20
+# Ids drawn for each range to find the bounds, and for all of them at the most.
+SAMPLED, MOST_SAMPLED = 100, 1_000_000
 
 
-def encoded(docs: DataFrame, tokenizer: str, id_column: str, text_column: str) -> DataFrame:
-    """(id, tokens binary) of every text: its ids as little-endian unsigned numbers, of 16 bits if all of the vocabulary fit in."""
+@dataclass(frozen=True)
+class Ranges:
+    """Parts of the order of the ids: the first `nulls` of them for null, then those between the bounds."""
+
+    nulls: int
+    bounds: list
+
+    def of(self, value) -> tuple[int, int]:
+        """The first and the last part that a row of this id may be in; more than one for a frequent id."""
+        if value is None:
+            return 0, max(self.nulls - 1, 0)
+        return self.nulls + bisect.bisect_left(self.bounds, value), self.nulls + bisect.bisect_right(self.bounds, value)
+
+
+def ranges(docs: DataFrame, id_column: str, parts: int) -> Ranges:
+    """Ranges of about equally many rows, by a sample of bounded size; an id on many rows is several bounds."""
+    column = F.col(id_column)
+    rows, known = docs.agg(F.count("*"), F.count(column)).first()
+    nulls = round(parts * (rows - known) / max(rows, 1))
+    wanted = min(SAMPLED * parts, MOST_SAMPLED)
+    drawn = docs.select(column).where(column.isNotNull() & (F.rand(11) * known < wanted)).limit(2 * wanted)
+    values = sorted(r[0] for r in drawn.collect())
+    left = max(parts - nulls, 1)
+    return Ranges(min(nulls, parts - 1), [values[len(values) * i // left] for i in range(1, left)] if values else [])
+
+
+def encoded(docs: DataFrame, tokenizer: str, id_column: str, text_column: str, parts: int) -> DataFrame:
+    """(part, id, tokens binary) of every text: the range of its id, and its token ids as little-endian
+    unsigned numbers, of 16 bits if all of the vocabulary fit in.
+
+    Rows of an id that has several parts take turns, from one that each task begins with.
+    """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
+    given = ranges(docs, id_column, parts)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_ids(tokenizer)
+        encoder, turn = word_ids(tokenizer), TaskContext.get().partitionId()
         for batch in small_batches(batches, "text"):
+            places = []
+            for value in batch.column(0).to_pylist():
+                first, last = given.of(value)
+                places.append(first + turn % (last - first + 1))
+                turn += 1
             found = [np.frombuffer(encoder.ids(text), "<u4").astype(encoder.kind).tobytes() for text in texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "tokens"])
+            columns = [pa.array(places, pa.int32()), batch.column(0), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "id", "tokens"])
 
-    return map_batches(rows, work, f"id {kind}, tokens binary")
+    return map_batches(rows, work, f"part int, id {kind}, tokens binary")
 
 
 def write(
@@ -46,23 +86,24 @@ def write(
 ) -> None:
     """Write the ids of every text, and `end_id` after each, to `path`.
 
-    Null ids come first, equal ids in the order of the files that their ids were written to,
-    null texts are empty. An empty table gives no images. Other columns are not read. Ranges
-    go by id and place, so that an id, or null, on a third of all rows is split like others.
+    Null ids come first, equal ids in any order, null texts are empty. An empty table gives
+    no images. Other columns are not read. An id, or null, on a third of all rows has a
+    third of the ranges, over which its rows are dealt in turn.
     """
-    tokens = positioned(stored(encoded(docs, tokenizer, id_column, text_column), "encoded"), in_files=True)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tokens = encoded(docs, tokenizer, id_column, text_column, parts)
     kind = tokens.schema["id"].dataType.simpleString()
-    ordered = tokens.repartitionByRange("id", *POSITION).sortWithinPartitions("id", *POSITION).select("id", "tokens")
+    ordered = tokens.repartitionById(parts, "part").sortWithinPartitions("id")
     names = ["part", "before", "n", "ids", "lengths", "image"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stored_as = word_ids(tokenizer).kind
         end = np.array([end_id], "<u4")
-        part, before = TaskContext.get().partitionId(), 0
-        ids, lengths, parts, held = [], [], [], 0
+        part, before = None, 0
+        ids, lengths, numbers_of, held = [], [], [], 0
 
         def image() -> pa.RecordBatch:
-            numbers = np.concatenate(parts)
+            numbers = np.concatenate(numbers_of)
             columns = [
                 pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([len(numbers)], pa.int64()),
                 pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(ids[0].type)),
@@ -71,16 +112,17 @@ def write(
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in small_batches(batches, "tokens"):
-            ids.append(batch.column(0))
-            for one in batch.column(1).to_pylist():
+            part = batch.column(0)[0].as_py()
+            ids.append(batch.column(1))
+            for one in batch.column(2).to_pylist():
                 own = np.frombuffer(one, stored_as).astype("<u4")
-                parts += (own, end)
+                numbers_of += (own, end)
                 lengths.append(len(own) + 1)
                 held += len(own) + 1
             if held >= image_ids:
                 yield image()
                 before += held
-                ids, lengths, parts, held = [], [], [], 0
+                ids, lengths, numbers_of, held = [], [], [], 0
         if lengths:
             yield image()
 
