@@ -8,15 +8,21 @@ import functools
 import re
 from array import array
 from collections.abc import Callable
+from os.path import commonprefix
 
 from tokenizers import Tokenizer
 
 # What the file's pre-tokenizer never joins: a run of letters, and a run of ASCII that
 # holds neither letters nor an apostrophe. Letters are a to z and the small ones of
-# Latin-1, in UTF-8; words with anything else go to the library whole.
-_RUNS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[!-&(-@\[-`{-~]+")
+# Latin-1, in UTF-8; words with anything else go to the library whole, so that in what is
+# looked at here a byte beyond ASCII is part of such a letter.
+_RUNS = re.compile(rb"[a-z\x80-\xbf\xc3]+|[!-&(-@\[-`{-~]+")
+# From the first character of a word that is neither to the word's end, in text whose only
+# white space is the space. Bytes of a character after its first are left to the first.
+_OTHERS = re.compile(rb"(?:[^ !-&(-@\[-`a-~\x80-\xbf\xc3]|\xc3(?![\x9f-\xb6\xb8-\xbf]))[^ ]*")
+_SPACES = bytes(32 if b in b"\t\n\x0b\x0c\r" else b for b in range(256))
 _LETTER_STARTS = frozenset(b"abcdefghijklmnopqrstuvwxyz\xc3")
-MOST_WORDS, MOST_RUNS = 300_000, 150_000
+MOST_WORDS, MOST_RUNS = 50_000, 400_000
 
 
 def _byte_characters() -> dict[int, str]:
@@ -66,7 +72,9 @@ class WordIds:
             raise ValueError("added tokens that take in what stands around them")
         self.special = {t.content.encode(): _packed([i]) for i, t in added.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
-        self.special_strings = re.compile(b"(" + b"|".join(map(re.escape, longest_first)) + b")") if added else None
+        self.special_strings = re.compile(b"(" + b"|".join(map(re.escape, longest_first)) + b")")
+        # A plain search for how they all begin settles nearly every text.
+        self.special_start = commonprefix(longest_first) if added else None
         # What is left between them goes to the library in small letters, and holds none.
         self.tokenizer.encode_special_tokens = True
         # The narrowest numbers that hold every id.
@@ -74,7 +82,7 @@ class WordIds:
         self.model = self.tokenizer.model
         self.characters = {i: c for i, c in _byte_characters().items() if chr(i) != c}
         self.runs = _Store(self._run, most_runs)
-        self.words = _Store(self._word, most_words)
+        self.words = _Store(self._library, most_words)
 
     def _library(self, text: bytes) -> bytes:
         return _packed(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids)
@@ -86,14 +94,8 @@ class WordIds:
         characters = run.decode() if run.isascii() else run.decode("latin-1").translate(self.characters)
         return _packed([token.id for token in self.model.tokenize(characters)])
 
-    def _word(self, word: bytes) -> bytes:
-        runs = _RUNS.findall(word)
-        if sum(map(len, runs)) < len(word):
-            return self._library(word)
-        return self.runs[word] if len(runs) == 1 else b"".join([self.runs[run] for run in runs])
-
     def ids(self, text: bytes) -> bytes:
-        if self.special_strings and self.special_strings.search(text):
+        if self.special_start is not None and self.special_start in text and self.special_strings.search(text):
             parts = self.special_strings.split(text)
             return b"".join([self.special[x] if i % 2 else self._plain_ids(x) for i, x in enumerate(parts)])
         return self._plain_ids(text)
@@ -103,7 +105,16 @@ class WordIds:
         # (U+0300 to U+036F) could compose differently with the small letter.
         if b"\xcc" not in text and b"\xcd" not in text:
             text = text.lower()
-        return b"".join([self.words[word] for word in text.split()])
+        text = text.translate(_SPACES)
+        # Words with other characters are looked up whole, all between them run by run.
+        found, start = [], 0
+        for other in _OTHERS.finditer(text):
+            left = text.rfind(b" ", start, other.start()) + 1 or start
+            found += map(self.runs.__getitem__, _RUNS.findall(text, start, left))
+            start = other.end()
+            found.append(self.words[text[left:start]])
+        found += map(self.runs.__getitem__, _RUNS.findall(text, start))
+        return b"".join(found)
 
 
 @functools.lru_cache(maxsize=2)
