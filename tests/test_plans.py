@@ -6,7 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from scholaris.operators import star
+from scholaris.operators import integrity, star
+from scholaris.operators.ranking import positioned
 from scholaris.plans.catalog import QUERIES, load
 from scholaris.sources.workspace import clear_workspace, stored, workspace
 
@@ -76,11 +77,21 @@ def test_inputs_are_joined_once(spark, name):
 def test_duplicates_take_two_shuffles(spark):
     """One by range, seen in the stored table; one to look at the row before."""
     plan = plan_of(QUERIES["duplicate_rows_marked"](spark, DIRECTORY))
-    assert len(re.findall(r"Exchange hashpartitioning", plan.split("BroadcastExchange")[0])) == 1
+    rows = plan.split("BroadcastExchange")[0]
+    assert len(re.findall(r"Exchange rangepartitioning\(__part", rows)) == 1 and "Exchange hashpartitioning" not in rows
     assert "SortMergeJoin" not in plan
     clear_workspace(spark)
 
 
+def test_ranges_are_dealt_evenly_where_duplicates_are_marked(spark, partitions):
+    partitions(16)
+    rows = spark.range(160_000).selectExpr("if(id % 3 = 0, 0, id) as key", "id as place").repartition(4)
+    marked = integrity.duplicate_rows(positioned(rows), "key", ["place"])
+    sizes = [r[1] for r in marked.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 160_000 and max(sizes) <= 2 * 160_000 / 16
+    assert marked.where("is_duplicate").count() == 160_000 - marked.select("key").distinct().count()
+
+
 def test_a_scorecard_passes_three_times_over_a_table(spark):
     plan = plan_of(QUERIES["quality_scorecard"](spark, DIRECTORY))
     # Keys and outliers of five tables, their one-row statistics, and the supplier count of the fixture.
