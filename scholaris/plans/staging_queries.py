@@ -68,6 +68,21 @@ def partitioned_fact_scan(t: Tables):
     return written.filter(C("academic_year") == 2018)
 
 
+@query(
+    "grants_by_year_and_department",
+    """select g.grant_id, g.award_amount, g.funding_agency, g.publication_count, year(g.start_date) as award_year, f.department
+       from grants g join faculty f on g.pi_id = f.faculty_id where year(g.start_date) = 1996 and f.department = 'NATION_3'""",
+)
+def grants_by_year_and_department(t: Tables):
+    """One department's grants of one year, from folders by both."""
+    kept = ["grant_id", "award_amount", "funding_agency", "publication_count"]
+    rows = t.staged_grants_by_department.select(*kept, F.year("start_date").cast("long").alias("award_year"), "department")
+    path = new_path(t.spark, "grants-by-year")
+    files.write_partitioned(rows, path, ["award_year", "department"], ["grant_id"])
+    written = t.spark.read.schema(rows.schema).parquet(path)
+    return written.filter((C("award_year") == 1996) & (C("department") == "NATION_3"))
+
+
 _SUMMARY = """select s.major, e.year as academic_year, count(*) as total_enrollments, round(avg(e.grade_point), 6) as avg_gpa
               from enrollments e join students s using (student_id) where {} group by 1, 2"""
 

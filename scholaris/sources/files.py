@@ -50,15 +50,15 @@ def with_load_timestamp(df: DataFrame, at: datetime | Column | None = None) -> D
     return df.withColumn("load_timestamp", F.current_timestamp() if at is None else at)
 
 
-def saved(df: DataFrame, path: str, by: str | None = None) -> tuple[DataFrame, int]:
-    """Write a table, in a folder for each value of `by` if given; returns it as written, and its rows.
+def saved(df: DataFrame, path: str, by: str | list[str] | None = None) -> tuple[DataFrame, int]:
+    """Write a table, in folders for the values of `by` if given; returns it as written, and its rows.
 
     The rows are counted as they are written, in the last stage, where Spark counts a task
     once however often it was tried; what is written is not read for it.
     """
     rows = Observation()
     writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    (writer.partitionBy(by) if by else writer).parquet(path)
+    (writer.partitionBy(*_listed(by)) if by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), int(rows.get.get("rows", 0))
 
 
@@ -101,13 +101,18 @@ def run_query(spark: SparkSession, sql: str, max_results: int | None = None, **t
     return result if max_results is None else result.limit(max_results)
 
 
-def write_partitioned(df: DataFrame, path: str, by: str, sort: list[str]) -> int:
-    """One directory per value of `by`, sorted across and inside its files; returns the rows.
+def _listed(columns: str | list[str]) -> list[str]:
+    return [columns] if isinstance(columns, str) else list(columns)
+
+
+def write_partitioned(df: DataFrame, path: str, by: str | list[str], sort: list[str]) -> int:
+    """Folders for the values of `by`, one column inside another, sorted across and inside their files; returns the rows.
 
     The range shuffle gives every task an equal share: a value that holds most of the
     table gets many files, provided that `sort` tells its rows apart.
     """
-    ordered = df.repartitionByRange(by, *sort).sortWithinPartitions(by, *sort)
+    place = [*_listed(by), *sort]
+    ordered = df.repartitionByRange(*place).sortWithinPartitions(*place)
     return saved(ordered, path, by)[1]
 
 

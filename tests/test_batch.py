@@ -64,6 +64,16 @@ def test_partitioned_scan_reads_one_partition(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in one._jdf.queryExecution().executedPlan().toString()
 
 
+def test_folders_by_two_columns(spark, tmp_path):
+    path = str(tmp_path / "p")
+    df = spark.range(1000).selectExpr("id % 4 as year", "concat('d ', id % 3) as department", "id")
+    assert files.write_partitioned(df, path, ["year", "department"], ["id"]) == 1000
+    one = spark.read.schema(df.schema).parquet(path).filter("year = 2 and department = 'd 1'")
+    assert sorted(r.id for r in one.collect()) == [i for i in range(1000) if i % 4 == 2 and i % 3 == 1]
+    read = [r.f for r in one.select(F.input_file_name().alias("f")).distinct().collect()]
+    assert read and all("year=2/department=d%201" in f for f in read)
+
+
 def test_retention_keeps_the_boundary_and_undated_rows(spark, tmp_path):
     rows = [(datetime(2024, 1, 1),), (datetime(2024, 1, 8),), (datetime(2023, 12, 31, 23),), (None,)]
     df = spark.createDataFrame(rows, "ts timestamp_ntz")
