@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from scholaris import settings
 from scholaris.functions.numeric import is_outlier, without_nan
-from scholaris.sources.workspace import stored
+from scholaris.sources.workspace import stored, stored_together
 
 C = F.col
 
@@ -136,9 +136,9 @@ def _moments(df: DataFrame) -> list[Column]:
 def statistics(
     df: DataFrame, table: str, as_of: date = settings.AS_OF, nullable: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row, from one pass and written down: all that the row checks and the outliers need of a table."""
+    """One row, from one pass: all that the row checks and the outliers need of a table."""
     aggregates, _ = _row_aggregates(df, table, as_of, nullable, ROW_CHECKS)
-    return stored(without_nan(df).agg(*map(F.expr, aggregates), *_moments(df)), "statistics")
+    return without_nan(df).agg(*map(F.expr, aggregates), *_moments(df))
 
 
 def row_checks(
@@ -198,29 +198,33 @@ def completeness_by_column(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def moments(df: DataFrame) -> DataFrame:
+    """One row: count, mean and deviation of each screened column."""
+    return without_nan(screened(df)).agg(*_moments(df))
+
+
 def anomalies(df: DataFrame, table: str, known: DataFrame | None = None) -> DataFrame:
     """Values more than the z-limit away from the mean, per screened numeric column.
 
     Columns without spread are listed with `screened` false. One pass counts the outliers
-    of all columns against the moments in `known`, the table's `statistics`; without it, a
-    pass over the screened columns comes first.
+    of all columns against the moments in `known`, the table's `statistics` as they are
+    stored; without it, a pass over the screened columns comes first.
     """
     columns = _screened(df)
     values = without_nan(df.select(*columns))
-    if known is None:
-        known = stored(values.agg(*_moments(df)), "moments")
+    known = stored(moments(df), "moments") if known is None else known
     counts, cells = [], []
     for name in columns:
         # One row that is written down: looking a value up in it costs next to nothing.
-        moments = known.select(f"{name}_moments").scalar()
-        mean, deviation = moments.getField("mean"), moments.getField("deviation")
-        screened = F.coalesce(deviation > 0, F.lit(False))
-        counts.append(F.count_if(screened & is_outlier(name, mean, deviation, settings.Z_LIMIT)).alias(name))
+        found = known.select(f"{name}_moments").scalar()
+        mean, deviation = found.getField("mean"), found.getField("deviation")
+        spread = F.coalesce(deviation > 0, F.lit(False))
+        counts.append(F.count_if(spread & is_outlier(name, mean, deviation, settings.Z_LIMIT)).alias(name))
         cells.append(
             F.struct(
                 F.lit(name).alias("column_name"),
-                moments.getField("n").alias("checked_values"),
-                screened.alias("screened"),
+                found.getField("n").alias("checked_values"),
+                spread.alias("screened"),
                 C(name).alias("anomalous"),
             )
         )
@@ -228,12 +232,14 @@ def anomalies(df: DataFrame, table: str, known: DataFrame | None = None) -> Data
 
 
 def anomalies_of(tables: dict[str, DataFrame], known: dict[str, DataFrame] | None = None) -> DataFrame:
-    return union([anomalies(df, name, (known or {}).get(name)) for name, df in tables.items() if _screened(df)])
+    tables = {name: df for name, df in tables.items() if _screened(df)}
+    known = known or stored_together({name: moments(df) for name, df in tables.items()}, "moments")
+    return union([anomalies(df, name, known[name]) for name, df in tables.items()])
 
 
 def scored(tables: dict[str, DataFrame], as_of: date = settings.AS_OF) -> DataFrame:
     """The scorecard of all tables: a pass for the rules and moments, one for the keys, one for the outliers."""
-    known = {name: statistics(df, name, as_of) for name, df in tables.items()}
+    known = stored_together({name: statistics(df, name, as_of) for name, df in tables.items()}, "statistics")
     checks = [row_checks(df, name, as_of, known=known[name]) for name, df in tables.items()]
     unique = [uniqueness(df, name) for name, df in tables.items()]
     return scorecard(union([*checks, *unique]), anomalies_of(tables, known))

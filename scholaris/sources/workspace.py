@@ -3,8 +3,9 @@
 import re
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +67,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_together(frames: dict[str, DataFrame], name: str) -> dict[str, DataFrame]:
+    """Each frame written out and read back, all at the same time: small jobs that would wait for each other."""
+    with ThreadPoolExecutor(max_workers=max(len(frames), 1)) as pool:
+        # Each thread works in a copy of this context, so that a block still knows its tables.
+        tasks = {key: pool.submit(copy_context().run, stored, df, f"{name}-{key}") for key, df in frames.items()}
+        return {key: task.result() for key, task in tasks.items()}
+
+
 def clear_workspace(spark: SparkSession) -> None:
     """Delete this application's intermediate tables, once no result needs them."""
     _delete(spark, workspace(spark))
