@@ -192,7 +192,7 @@ _ENROLLED = "select distinct e.year, student_id from enrollments e join students
 
 def _member_bits(t: Tables):
     """Students of each year as bitmaps on their dense keys, stored once."""
-    yearly = t.known_years.select("student_id", "academic_year")
+    yearly = t.enrollments.select("student_id", F.col("year").alias("academic_year")).distinct()
     keys = t.dim_student.select("student_id", "student_key")
     return stored(distinct.bitmaps(yearly.join(keys, "student_id"), "academic_year", "student_key"), "members")
 
@@ -237,7 +237,7 @@ _PERCENTS = (5.0, 25.0, 50.0, 75.0, 95.0)
 def percentiles_from_sketches(t: Tables):
     """Percentiles of grade points by major, merged from a sketch for each major and year, and whether
     the rank of each is as near as promised, held against all rows."""
-    rows = t.landed().known_enrollments.select("major", "academic_year", "grade_point")
+    rows = stored(t.known_enrollments.select("major", "academic_year", "grade_point"), "known")
     by_load = stored(sketches.sketched(rows, ["major", "academic_year"], "grade_point"), "sketches")
     found = sketches.percentiles(sketches.merged(by_load, ["major"]), ["major"], list(_PERCENTS))
     cells = [F.struct(F.lit(p).alias("percent"), F.col(f"p{p:g}").alias("value")) for p in _PERCENTS]

@@ -192,12 +192,14 @@ def summary_delta_merge(t: Tables):
     Yesterday the last fall term was missing, B grades were lower by half a point, and
     spring rows stood there a second time.
     """
-    rows = t.landed().known_enrollments
-    after = rows.select("enrollment_id", "major", "academic_year", "grade_point")
+    after_columns = ["enrollment_id", "major", "academic_year", "grade_point"]
+    # The outcome of the joins is read several times: written down once, in the columns it takes.
+    rows = stored(t.known_enrollments.select(*after_columns, "grade", "semester"), "known")
+    after = rows.select(after_columns)
     last = rows.agg(F.max("academic_year")).scalar()
     lower = F.when(C("grade").startswith("B"), C("grade_point") - 0.5).otherwise(C("grade_point"))
     before = rows.where((C("academic_year") < last) | (C("semester") != "Fall")).withColumn("grade_point", lower)
-    before = before.select(after.columns).unionByName(after.where(rows["semester"] == "Spring"))
+    before = before.select(after_columns).unionByName(rows.where(C("semester") == "Spring").select(after_columns))
     groups, value = ["major", "academic_year"], "grade_point"
     summary = stored(incremental.states(before, groups, value), "summary")
     feed = stored(incremental.change_feed(before, after), "feed")

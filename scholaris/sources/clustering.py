@@ -19,13 +19,11 @@ SAMPLE = 20_000
 def bounds(df: DataFrame, columns: list[str], bits: int = BITS, sample: int = SAMPLE) -> dict[str, list]:
     """Upper ends of the ranges of each column, from a sample of bounded size.
 
-    Rows are drawn by a hash of their values, so that the same table gives the same bounds;
-    nulls are below all ranges. The bounds shape the files, never the result.
+    Rows are drawn in one pass by a hash of their values and place, the least first; nulls
+    are below all ranges. The bounds shape the files, never the result.
     """
-    total = df.count()
-    share = max(1, total // sample)
-    drawn = df.select(*columns).where(F.pmod(F.xxhash64(*columns, F.monotonically_increasing_id()), F.lit(share)) == 0)
-    rows = drawn.limit(4 * sample).collect()
+    drawn = df.select(*columns, F.xxhash64(*columns, F.monotonically_increasing_id()).alias("__drawn"))
+    rows = drawn.orderBy("__drawn").limit(sample).collect()
     found = {}
     for place, name in enumerate(columns):
         values = sorted(r[place] for r in rows if r[place] is not None)
