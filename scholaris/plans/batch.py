@@ -9,6 +9,7 @@ rows; an error ends the run and is raised after the log has been written.
 
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from scholaris.functions.numeric import map_total
 from scholaris.operators import integrity, quality, reports, star, views
 from scholaris.operators.ranking import positioned
 from scholaris.sources import files, versions
-from scholaris.sources.workspace import children, intermediate_tables, replace_folder
+from scholaris.sources.workspace import children, in_turn, intermediate_tables, replace_folder, together
 
 C = F.col
 ENTRY = "run_id string, step int, phase string, status string, detail map<string,long>, error string, logged_at timestamp"
@@ -198,7 +199,7 @@ def layer(spark: SparkSession, directory: str, name: str) -> str:
 
 
 def transform(staged: dict[str, DataFrame], directory: str, registry: str, load: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """Build and save the star schema, dimensions before the facts that use them.
+    """Build and save the star schema, dimensions before the facts that use them, the rest at the same time.
 
     Returns the tables and their rows, counted as they were written.
     """
@@ -207,37 +208,56 @@ def transform(staged: dict[str, DataFrame], directory: str, registry: str, load:
     def placed(name: str) -> DataFrame:
         return positioned(staged[name], in_files=True)
 
-    def save(name: str, build: Callable[[], DataFrame]) -> None:
-        built[name], rows[name] = files.saved(build(), f"{directory}/{name}")
-
-    save("dim_student", lambda: star.lasting_students(s["students"], f"{registry}/student", load))
-    save("dim_faculty", lambda: star.lasting_faculty(s["faculty"], f"{registry}/faculty", load))
-    save("dim_course", lambda: star.lasting_courses(s["courses"], f"{registry}/course", load))
-    save("dim_department", lambda: star.dim_department(s["faculty"]))
-    save("dim_funding_agency", lambda: star.dim_funding_agency(s["grants"]))
-    save("dim_date", lambda: star.dim_date(s["students"]))
-    save("fact_research_grant", lambda: star.fact_research_grant(placed("grants"), built["dim_faculty"]))
-    save("fact_student_performance", lambda: star.fact_student_performance(s["enrollments"], s["students"]))
-    save(
-        "fact_faculty_productivity",
-        lambda: star.fact_faculty_productivity(s["faculty"], s["grants"], s["courses"]),
-    )
-    save("fact_course_performance", lambda: star.fact_course_performance(s["courses"], s["enrollments"]))
-    fact, path = star.fact_enrollment(placed("enrollments"), built["dim_student"]), f"{directory}/fact_enrollment"
-    rows["fact_enrollment"] = files.write_partitioned(fact, path, "academic_year", ["student_key", "enrollment_key"])
-    built["fact_enrollment"] = fact.sparkSession.read.schema(fact.schema).parquet(path)
+    def save(name: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
+        def work() -> None:
+            built[name], rows[name] = files.saved(build(), f"{directory}/{name}")
+
+        return work
+
+    def save_enrollments() -> None:
+        fact = star.fact_enrollment(placed("enrollments"), built["dim_student"])
+        path = f"{directory}/fact_enrollment"
+        rows["fact_enrollment"] = files.write_partitioned(fact, path, "academic_year", ["student_key", "enrollment_key"])
+        built["fact_enrollment"] = fact.sparkSession.read.schema(fact.schema).parquet(path)
+
+    save_grants = save("fact_research_grant", lambda: star.fact_research_grant(placed("grants"), built["dim_faculty"]))
+    apart = {
+        "dim_student": save("dim_student", lambda: star.lasting_students(s["students"], f"{registry}/student", load)),
+        "dim_faculty": save("dim_faculty", lambda: star.lasting_faculty(s["faculty"], f"{registry}/faculty", load)),
+        "dim_course": save("dim_course", lambda: star.lasting_courses(s["courses"], f"{registry}/course", load)),
+        "dim_department": save("dim_department", lambda: star.dim_department(s["faculty"])),
+        "dim_funding_agency": save("dim_funding_agency", lambda: star.dim_funding_agency(s["grants"])),
+        "dim_date": save("dim_date", lambda: star.dim_date(s["students"])),
+        "fact_student_performance": save(
+            "fact_student_performance", lambda: star.fact_student_performance(s["enrollments"], s["students"])
+        ),
+        "fact_faculty_productivity": save(
+            "fact_faculty_productivity", lambda: star.fact_faculty_productivity(s["faculty"], s["grants"], s["courses"])
+        ),
+        "fact_course_performance": save(
+            "fact_course_performance", lambda: star.fact_course_performance(s["courses"], s["enrollments"])
+        ),
+    }
+    # What no other table waits for runs beside the dimensions and their facts.
+    together(apart | {"dim_student": in_turn(apart["dim_student"], save_enrollments), "dim_faculty": in_turn(apart["dim_faculty"], save_grants)})
     return built, rows
 
 
 def publish(built: dict[str, DataFrame], staged: dict[str, DataFrame], directory: str, salt: str) -> None:
     """Save the governed outputs and the summary that dashboards read."""
-    rows = views.fact_rows(built["fact_enrollment"], built["dim_student"])
-    safe = _saved(views.student_enrollment_safe(rows, salt), f"{directory}/student_enrollment_safe")
-    _saved(reports.enrollment_summary(safe), f"{directory}/enrollment_summary")
+
+    def rows() -> None:
+        whole = views.fact_rows(built["fact_enrollment"], built["dim_student"])
+        safe = _saved(views.student_enrollment_safe(whole, salt), f"{directory}/student_enrollment_safe")
+        _saved(reports.enrollment_summary(safe), f"{directory}/enrollment_summary")
+
     sums = views.fact_grant_sums(built["fact_research_grant"], built["dim_faculty"])
-    _saved(views.faculty_research_safe(sums), f"{directory}/faculty_research_safe")
-    _saved(views.student_masked(staged["students"], salt), f"{directory}/student_masked")
-    _saved(views.faculty_masked(staged["faculty"], salt), f"{directory}/faculty_masked")
+    others = {
+        "faculty_research_safe": views.faculty_research_safe(sums),
+        "student_masked": views.student_masked(staged["students"], salt),
+        "faculty_masked": views.faculty_masked(staged["faculty"], salt),
+    }
+    together({"rows": rows} | {name: partial(_saved, df, f"{directory}/{name}") for name, df in others.items()})
 
 
 # The star tables that take their rows from one source each.

@@ -1,6 +1,7 @@
 """Files in and out: typed CSV, staging loads, partitioned tables, retention and logs."""
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from scholaris.functions.numeric import without_nan
 from scholaris.operators.integrity import row_counts
 from scholaris.schemas import STAGING
+from scholaris.sources.workspace import together
 
 C = F.col
 
@@ -63,11 +65,12 @@ def saved(df: DataFrame, path: str, by: str | list[str] | None = None) -> tuple[
 
 
 def load_counted(tables: dict[str, DataFrame], directory: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """Replace each staging table; returns the tables as written, with NaN as null, and their rows."""
-    loaded, counts = {}, {}
-    for name, df in tables.items():
-        loaded[name], counts[name] = saved(with_load_timestamp(without_nan(df)), f"{directory}/{name}")
-    return loaded, counts
+    """Replace each staging table; returns the tables as written, with NaN as null, and their rows.
+
+    All are written at the same time, small tables beside the large ones.
+    """
+    done = together({name: partial(saved, with_load_timestamp(without_nan(df)), f"{directory}/{name}") for name, df in tables.items()})
+    return {name: df for name, (df, _) in done.items()}, {name: rows for name, (_, rows) in done.items()}
 
 
 def load_staging(tables: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:

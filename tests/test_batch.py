@@ -1,6 +1,7 @@
 """Files, retention, partition refresh and the batch run."""
 
 import json
+import threading
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -330,3 +331,38 @@ def test_lineage_counted_on_staging_equals_the_run(spark, finished):
 def test_unknown_gate_mode_is_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         batch.run(spark, {}, str(tmp_path), "s", run_id="r3", on_fail="ignore")
+
+
+def test_jobs_run_together_and_all_end(spark):
+    meet, ended = threading.Barrier(2), []
+
+    def fails():
+        meet.wait(30)
+        raise ArithmeticError("first")
+
+    def works():
+        meet.wait(30)
+        ended.append(workspace.new_path(spark, "inside"))
+
+    with workspace.intermediate_tables(spark):
+        with pytest.raises(ArithmeticError):
+            workspace.together({"a": fails, "b": works})
+        assert len(ended) == 1 and workspace._scoped_paths.get() == ended
+    assert workspace.together({}) == {} and workspace.together({"b": int, "a": str}) == {"b": 0, "a": ""}
+
+
+def test_tables_do_not_wait_for_tables_they_do_not_need(spark, tmp_path, monkeypatch):
+    """Sources land at the same time; facts that need no key are written beside the dimensions."""
+    meet, write = threading.Barrier(2), files.saved
+
+    def saved(df, path, by=None):
+        if Path(path).name in ("students", "enrollments", "dim_student", "fact_course_performance"):
+            meet.wait(60)
+        return write(df, path, by)
+
+    monkeypatch.setattr(files, "saved", saved)
+    loaded, counts = files.load_counted(Tables(spark, SMALL).all(), f"{tmp_path}/staging")
+    assert list(loaded) == list(counts) == list(STAGING) and counts["students"] == 150
+    with workspace.intermediate_tables(spark):
+        built, rows = batch.transform(loaded, f"{tmp_path}/analytics", f"{tmp_path}/registry", "1")
+    assert rows == {name: df.count() for name, df in built.items()} and rows["dim_student"] == 150
