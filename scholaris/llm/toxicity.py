@@ -93,8 +93,12 @@ def windows_of(rows: np.ndarray, shape: gru.Shape) -> tuple[np.ndarray, np.ndarr
 
 def segments_of(text: bytes, shape: gru.Shape, most: int = WORDS) -> Iterator[list[str]]:
     """The words of a text, a long one in parts that share words so that no window is lost."""
-    words, overlap = words_of(text), shape.window - shape.step
-    most = most // shape.step * shape.step
+    overlap, most = shape.window - shape.step, most // shape.step * shape.step
+    if len(text) <= min(PIECE, most + overlap):
+        # It has no more words than bytes.
+        yield WORD.findall(text.decode().lower())
+        return
+    words = words_of(text)
     held = list(itertools.islice(words, most + overlap))
     while True:
         more = list(itertools.islice(words, most))
@@ -115,12 +119,19 @@ class Model:
         known = np.array([self.numbers.get(w, 0) for w in words], np.int64)
         return gru.word_rows(self.weights, words, known)[0]
 
+    def gates(self, words: list[str]) -> np.ndarray:
+        """The same as `gru.by_gate` has it, at most 4,096 words at a time."""
+        known = np.array([self.numbers.get(w, 0) for w in words], np.int64)
+        parts = [gru.word_gates(self.weights, words[at : at + 4096], known[at : at + 4096]) for at in range(0, len(words), 4096)]
+        return np.concatenate(parts, axis=1) if parts else np.zeros((6, 1, self.shape.state), np.float32)
+
     def logits(self, table: np.ndarray, windows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Of windows given by their words' places in `gates`."""
         order = np.argsort(-lengths, kind="stable")
         found = np.empty(len(windows), np.float32)
         for at in range(0, len(windows), WINDOWS):
             part = order[at : at + WINDOWS]
-            found[part] = gru.window_logits(self.weights, table, windows[part], lengths[part])[0]
+            found[part] = gru.scores(self.weights, table, windows[part], lengths[part])
         return found
 
     def probability(self, logits: np.ndarray) -> np.ndarray:
@@ -136,27 +147,29 @@ class Scorer:
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
-        self.table = np.zeros((1, 6 * self.model.shape.state), np.float32)
+        self.table = np.zeros((6, 1, self.model.shape.state), np.float32)
 
     def look_up(self, words: list[str]) -> np.ndarray:
-        """The words' rows in the table; new words are run through the character network."""
-        new = set(words).difference(self.places)
-        if new and len(self.places) + len(new) > self.most:
+        """The words' places in the table; new words are run through the character network."""
+        found = np.fromiter(map(self.places.get, words, itertools.repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(found < 0).tolist()
+        if not missing:
+            return found
+        new = {words[i] for i in missing}
+        if len(self.places) + len(new) > self.most:
             self.forget()
-            new = set(words)
-        if new:
-            # In order, so that a batch is the same whenever it is run.
-            added, start = sorted(new), len(self.places)
-            self.places.update(zip(added, range(start, start + len(added)), strict=True))
-            if len(self.places) > len(self.table):
-                room = max(len(self.places), min(2 * len(self.places), self.most))
-                grown = np.zeros((room, self.table.shape[1]), np.float32)
-                grown[:start] = self.table[:start]
-                self.table = grown
-            for at in range(0, len(added), 4096):
-                rows = self.model.rows(added[at : at + 4096])
-                self.table[start + at : start + at + len(rows)] = rows
-        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+            new, missing = set(words), range(len(words))
+        # In order, so that a batch is the same whenever it is run.
+        added, start = sorted(new), len(self.places)
+        self.places.update(zip(added, range(start, start + len(added)), strict=True))
+        if len(self.places) > self.table.shape[1]:
+            room = max(len(self.places), min(2 * len(self.places), self.most))
+            grown = np.zeros((6, room, self.table.shape[2]), np.float32)
+            grown[:, :start] = self.table[:, :start]
+            self.table = grown
+        self.table[:, start : start + len(added)] = self.model.gates(added)
+        found[missing] = [self.places[words[i]] for i in missing]
+        return found
 
     def __call__(self, given: Iterable[bytes]) -> np.ndarray:
         """The greatest logit of any window of each text."""
@@ -250,8 +263,7 @@ def train(given: list[bytes], labels: np.ndarray, training: Training = Training(
             adam.step(change)
 
     def everything() -> np.ndarray:
-        table = np.concatenate([model.rows(words[at : at + 4096]) for at in range(0, len(words), 4096)] or [np.zeros((1, 6 * shape.state), np.float32)])
-        return model.logits(table, windows, lengths)
+        return model.logits(model.gates(words), windows, lengths)
 
     for turn in range(passes):
         adam.rate = training.rate * (1 - turn / passes) ** 0.5

@@ -63,3 +63,16 @@ def test_states_run_both_ways():
             z, r = (1 / (1 + np.exp(-(gates[t, 0, i : i + 2] + a[i : i + 2]))) for i in (0, 2))
             h = z * h + (1 - z) * np.tanh(gates[t, 0, 4:] + r * (a[4:] + bias))
             assert states[t][0] == pytest.approx(h)
+
+
+def test_scoring_equals_the_pass_that_keeps_gradients():
+    """Both levels, sequences of all lengths, and a batch of one."""
+    p, numbers, windows, lengths, *_ = sample()
+    p = {k: v.astype(np.float32) for k, v in p.items()}
+    rows, _ = gru.word_rows(p, WORDS, numbers)
+    gates = gru.word_gates(p, WORDS, numbers)
+    assert gates.shape == (6, len(WORDS), SMALL.state) and all(x.flags.c_contiguous for x in gates)
+    assert gates == pytest.approx(gru.by_gate(rows), abs=1e-5)
+    for some in (slice(None), slice(2, 3), slice(5, 6), slice(0, 2)):
+        expected = gru.window_logits(p, rows, windows[some], lengths[some])[0]
+        assert gru.scores(p, gates, windows[some], lengths[some]) == pytest.approx(expected, abs=1e-5)
